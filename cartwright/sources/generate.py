@@ -1,0 +1,138 @@
+"""Synthetic shop events as Spark jobs.
+
+One event or journey is produced per id of an input table. All choices are repeatable draws keyed by the
+id, so a task that runs again gives the same rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from cartwright.functions.events import draw, session_bucket
+from cartwright.functions.money import from_cents
+from cartwright.sources.commerce import RAW_COLUMNS
+
+# Category, brand and list prices; weights in percent; user ids; period in days.
+CATALOGUE = [
+    ("electronics.smartphone", "Apple", [599, 799, 999, 1199]),
+    ("electronics.smartphone", "Samsung", [399, 599, 799, 999]),
+    ("electronics.smartphone", "Xiaomi", [199, 299, 399, 499]),
+    ("electronics.laptop", "Apple", [999, 1299, 1799, 2399]),
+    ("electronics.laptop", "Dell", [599, 799, 999, 1299]),
+    ("electronics.laptop", "Lenovo", [499, 699, 899, 1099]),
+    ("electronics.tablet", "Apple", [329, 449, 799, 1099]),
+    ("electronics.tablet", "Samsung", [249, 399, 549, 699]),
+    ("appliances.kitchen", "Philips", [29, 49, 79, 129]),
+    ("appliances.kitchen", "Tefal", [39, 59, 89, 149]),
+    ("appliances.environment", "Dyson", [299, 399, 499, 699]),
+    ("furniture.living_room", "IKEA", [99, 199, 299, 499]),
+    ("furniture.bedroom", "IKEA", [149, 249, 399, 599]),
+    ("computers.components", "Corsair", [49, 99, 149, 199]),
+    ("computers.components", "Logitech", [29, 59, 99, 149]),
+    ("accessories.bag", "Samsonite", [79, 129, 199, 299]),
+    ("sport.fitness", "Nike", [49, 79, 129, 199]),
+    ("sport.fitness", "Adidas", [39, 69, 99, 149]),
+]
+EVENT_WEIGHTS = [("view", 70), ("cart", 20), ("purchase", 8), ("remove_from_cart", 2)]
+JOURNEY_WEIGHTS = [("view_only", 50), ("view_cart", 25), ("view_cart_purchase", 20), ("view_purchase", 5)]
+# Minutes after the start and event type of each step; a view-only journey has one to five views.
+JOURNEY_STEPS = {
+    "view_only": [(0, "view"), (2, "view"), (4, "view"), (6, "view"), (8, "view")],
+    "view_cart": [(0, "view"), (5, "cart")],
+    "view_cart_purchase": [(0, "view"), (3, "cart"), (10, "purchase")],
+    "view_purchase": [(0, "view"), (1, "purchase")],
+}
+FIRST_USER = 100_000
+USERS = 100_000
+PERIOD_DAYS = 180
+PRODUCTS_PER_BRAND = 100
+PRICE_SPREAD_CENTS = 1000
+ID_SPACE = 10**10
+
+# Chance in percent of each payment method, tried in this order with a new draw each.
+PAYMENT_CHANCES = [("credit_card", 40), ("debit_card", 70), ("paypal", 85), ("bank_transfer", 95)]
+PAYMENT_DEFAULT = "cash"
+
+
+def weighted(name: str, key: Column, weights: list[tuple[str, int]]) -> Column:
+    """One of the labels, with the given weights, which add up to 100."""
+    ticket, reached, branches = draw(name, key, 100), 0, []
+    for label, weight in weights:
+        reached += weight
+        branches.append(F.when(ticket < reached, label))
+    return F.coalesce(*branches)
+
+
+def payment_method(key: Column) -> Column:
+    """A payment method for rows from before the column existed."""
+    method = F.lit(PAYMENT_DEFAULT)
+    for label, chance in reversed(PAYMENT_CHANCES):
+        method = F.when(draw(f"payment-{label}", key, 100) < chance, label).otherwise(method)
+    return method
+
+
+def _hash_id(text: Column) -> Column:
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long") % ID_SPACE
+
+
+def _choices(ids: DataFrame, key: str, end: str) -> DataFrame:
+    """Product, price, user and start time drawn for each id; the period ends at `end`."""
+    k = F.col(key)
+    shelf = F.array(
+        *[
+            F.struct(F.lit(code).alias("code"), F.lit(brand).alias("brand"), F.array(*map(F.lit, prices)).alias("prices"))
+            for code, brand, prices in CATALOGUE
+        ]
+    )
+    picked = ids.select(k.alias("key"), F.get(shelf, draw("shelf", k, len(CATALOGUE)).cast("int")).alias("item"))
+    k = F.col("key")
+    item = F.concat_ws("_", "item.code", "item.brand", draw("product", k, PRODUCTS_PER_BRAND) + 1)
+    spread = draw("spread", k, 2 * PRICE_SPREAD_CENTS + 1) - PRICE_SPREAD_CENTS
+    list_price = F.get("item.prices", draw("price", k, 4).cast("int"))
+    day = F.date_add(F.date_sub(F.to_date(F.lit(end)), PERIOD_DAYS), draw("day", k, PERIOD_DAYS + 1).cast("int"))
+    return picked.select(
+        "key",
+        _hash_id(item).alias("product_id"),
+        _hash_id(F.col("item.code")).alias("category_id"),
+        F.col("item.code").alias("category_code"),
+        F.col("item.brand").alias("brand"),
+        from_cents(F.greatest(F.lit(1), list_price * 100 + spread)).alias("price"),
+        (draw("user", k, USERS) + FIRST_USER).alias("user_id"),
+        F.timestamp_add("SECOND", draw("second", k, 86_401).cast("int"), day.cast("timestamp")).alias("start"),
+    )
+
+
+def generate_events(ids: DataFrame, key: str, end: str) -> DataFrame:
+    """One independent event per id."""
+    return _choices(ids, key, end).select(
+        F.col("start").alias("event_time"),
+        weighted("type", F.col("key"), EVENT_WEIGHTS).alias("event_type"),
+        *RAW_COLUMNS[2:8],
+        session_bucket(F.col("user_id"), F.col("start")).alias("user_session"),
+    )
+
+
+def generate_journeys(ids: DataFrame, key: str, end: str) -> DataFrame:
+    """One visit per id, as one to five events of one user and product in one session."""
+    steps = F.create_map(
+        *[
+            part
+            for kind, plan in JOURNEY_STEPS.items()
+            for part in (
+                F.lit(kind),
+                F.array(*[F.struct(F.lit(m).alias("minute"), F.lit(e).alias("event_type")) for m, e in plan]),
+            )
+        ]
+    )
+    visits = _choices(ids, key, end).withColumn("kind", weighted("journey", F.col("key"), JOURNEY_WEIGHTS))
+    plan = steps[F.col("kind")]
+    views = draw("views", F.col("key"), 5) + 1
+    length = F.when(F.col("kind") == "view_only", views).otherwise(F.size(plan)).cast("int")
+    opened = visits.withColumn("step", F.explode(F.slice(plan, F.lit(1), length)))
+    return opened.select(
+        F.timestamp_add("MINUTE", F.col("step.minute"), F.col("start")).alias("event_time"),
+        F.col("step.event_type").alias("event_type"),
+        *RAW_COLUMNS[2:8],
+        session_bucket(F.col("user_id"), F.col("start")).alias("user_session"),
+    )
