@@ -24,6 +24,11 @@ def ratio(numerator: Column, denominator: Column, scale: int) -> Column:
     return F.round(quotient, scale).cast("double")
 
 
+def exact_mean(cents: Column, count: Column) -> Column:
+    """Unrounded average amount. One division, so that the result is the double closest to the average."""
+    return cents.cast("double") / (count * 100).cast("double")
+
+
 def mean_cents(cents: Column, count: Column) -> Column:
     """Average amount rounded to cents."""
     return ratio(cents, count * 100, 2)

@@ -51,13 +51,11 @@ def observed_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
 
 
 def export_csv(df: DataFrame, path: str, columns: Iterable[str] | None = None) -> None:
-    """CSV with a header in parallel: strings quoted, null as an empty field, every row kept."""
+    """CSV with a header, written in parallel: null is an empty field, an empty text is `""`, every row is kept."""
     chosen = df.select(*columns) if columns else df
     (
         chosen.write.mode("overwrite")
         .option("header", True)
-        .option("quoteAll", True)
-        .option("nullValue", None)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("escape", '"')

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cartwright.functions import events as ev
 from cartwright.functions import segments as sg
-from cartwright.functions.money import conversion_rate, from_cents, mean_cents, percent, ratio, to_cents
+from cartwright.functions.money import conversion_rate, exact_mean, from_cents, mean_cents, percent, ratio, to_cents
 from cartwright.operators.ranking import WINDOW_ROWS, add_dense_ranks, add_ntiles
 from cartwright.plans.silver import count_type, of_type, purchase_cents
 
@@ -32,7 +32,6 @@ def _sales_by_day(events: DataFrame) -> DataFrame:
 
 def daily_sales(silver: DataFrame) -> DataFrame:
     """Purchases by day and category, job variant."""
-    revenue = from_cents(F.col("cents"))
     parts = ev.date_parts(F.col("event_date"), "sale")
     return _sales_by_day(silver).select(
         "event_date",
@@ -41,8 +40,8 @@ def daily_sales(silver: DataFrame) -> DataFrame:
         "order_count",
         "unique_customers",
         "unique_products",
-        revenue.alias("total_revenue"),
-        (revenue / F.col("order_count")).alias("avg_order_value"),
+        from_cents(F.col("cents")).alias("total_revenue"),
+        exact_mean(F.col("cents"), F.col("order_count")).alias("avg_order_value"),
         "min_order_value",
         "max_order_value",
         mean_cents(F.col("cents"), F.col("unique_customers")).alias("revenue_per_customer"),
@@ -195,15 +194,14 @@ def last_purchase_date(events: DataFrame) -> Column:
 def rfm_base(silver: DataFrame, reference_date: Column | None = None) -> DataFrame:
     """Recency, frequency and monetary value per purchaser, against the last purchase date of all."""
     reference_date = last_purchase_date(silver) if reference_date is None else reference_date
-    spent = from_cents(F.col("cents"))
     return _customers(silver).select(
         "user_id",
         F.datediff(reference_date, "last_purchase_date").alias("recency"),
         "frequency",
-        spent.alias("monetary"),
+        from_cents(F.col("cents")).alias("monetary"),
         "first_purchase_date",
         "last_purchase_date",
-        (spent / F.col("frequency")).alias("avg_order_value"),
+        exact_mean(F.col("cents"), F.col("frequency")).alias("avg_order_value"),
         "unique_products_bought",
     )
 
@@ -316,7 +314,7 @@ def product_performance(silver: DataFrame) -> DataFrame:
         "carts",
         "purchases",
         from_cents(F.col("revenue_cents")).alias("total_revenue"),
-        (from_cents(F.col("price_cents")) / F.col("events")).alias("avg_price"),
+        exact_mean(F.col("price_cents"), F.col("events")).alias("avg_price"),
         "unique_users",
         conversion_rate(carts, views, 2).alias("cart_rate"),
         conversion_rate(purchases, views, 4).alias("purchase_rate"),

@@ -34,6 +34,14 @@ def _usd(cents: str) -> str:
     return f"(({cents})/100.0::double)"
 
 
+def _avg(cents: str, count: str) -> str:
+    return f"(cast({cents} as double)/cast(({count})*100 as double))"
+
+
+def _rounded(column: str) -> str:
+    return f"cast(cast({column} as decimal(18,2)) as double)"
+
+
 def _cents(column: str) -> str:
     return f"cast(cast({column} as decimal(18,2))*100 as bigint)"
 
@@ -209,7 +217,7 @@ CTES: dict[str, tuple[str, list[str]]] = {
     ),
     "rfm": (
         f"""SELECT user_id, recency, frequency, {_usd('cents')} AS monetary, first_purchase_date, last_purchase_date,
-        {_usd('cents')}/frequency AS avg_order_value, unique_products_bought, r_score, f_score, m_score,
+        {_avg('cents','frequency')} AS avg_order_value, unique_products_bought, r_score, f_score, m_score,
         r_score+f_score+m_score AS rfm_score, r_score||''||f_score||''||m_score AS rfm_string,
         {_segment(sg.SEGMENTS_8, sg.SEGMENTS_8_DEFAULT.replace("'", "''"))} AS customer_segment,
         (SELECT max(last_purchase_date) FROM buyers) AS segment_date, cents FROM scored""",
@@ -217,7 +225,7 @@ CTES: dict[str, tuple[str, list[str]]] = {
     ),
     "products": (
         f"""SELECT product_id, category_level1, category_level2, brand, {_n('view')} AS views, {_n('cart')} AS carts,
-        {_n('purchase')} AS purchases, {BOUGHT} AS cents, {_usd(SUM_CENTS)}/count(*) AS avg_price,
+        {_n('purchase')} AS purchases, {BOUGHT} AS cents, {_avg(SUM_CENTS,'count(*)')} AS avg_price,
         {_mean(SUM_CENTS, 'count(*)')} AS rounded_price, count(distinct user_id) AS unique_users
         FROM silver GROUP BY product_id, category_level1, category_level2, brand""",
         ["silver"],
@@ -291,7 +299,7 @@ def _with(body: str, *names: str) -> str:
 
 SALES_COLUMNS = (
     f"event_date, category_level1, category_level2, order_count, unique_customers, unique_products, "
-    f"{_usd('cents')} AS total_revenue, {_usd('cents')}/order_count AS avg_order_value, min_order_value, max_order_value, "
+    f"{_usd('cents')} AS total_revenue, {_avg('cents','order_count')} AS avg_order_value, min_order_value, max_order_value, "
     f"{_mean('cents','unique_customers')} AS revenue_per_customer, sale_year, sale_month, sale_quarter, sale_week"
 )
 FUNNEL_COLUMNS = (
@@ -399,7 +407,7 @@ def oracle_sql() -> dict[str, str]:
         + " AS segment FROM rfm"
     )
     merged = (
-        f"SELECT {_key_md5(*KEY.split(', '))} AS event_id, event_time, event_type, product_id, user_id, price, brand, _ingestion_time FROM silver"
+        f"SELECT {_key_md5(*KEY.split(', '))} AS event_id, event_time, event_type, product_id, user_id, {_rounded('price')} AS price, brand, _ingestion_time FROM silver"
     )
     latest_raw = _with(f"SELECT {RAW}, _ingestion_time FROM latest", "latest")
     monthly = f"""SELECT sale_year, sale_month, category_level1, cast(sum(order_count) as bigint) AS total_orders,
@@ -415,11 +423,12 @@ def oracle_sql() -> dict[str, str]:
     rfm_asof = f"""user_id, datediff('day', last_purchase_date, DATE '{q.AS_OF}') AS recency, frequency,
         {_usd('cents')} AS monetary, first_purchase_date, last_purchase_date, {_mean('cents','frequency')} AS avg_order_value,
         unique_products_bought, datediff('day', first_purchase_date, last_purchase_date) AS customer_lifespan_days"""
-    payments = "NULL"
     payment_key = "user_session||'/'||cast(event_time as varchar)"
     payments = f"'{generate.PAYMENT_DEFAULT}'"
     for label, chance in reversed(generate.PAYMENT_CHANCES):
         payments = f"CASE WHEN {_draw(f'payment-{label}', payment_key, 100)} < {chance} THEN '{label}' ELSE {payments} END"
+    # The CSV reader gives null for an empty text.
+    csv_raw = RAW.replace("brand", "nullif(brand,'') AS brand")
     steps = _values(
         [(kind, n, minute, event) for kind, plan in generate.JOURNEY_STEPS.items() for n, (minute, event) in enumerate(plan)],
         "kind, n, minute, event_type",
@@ -434,8 +443,8 @@ def oracle_sql() -> dict[str, str]:
 
     return {
         # scans, sources, sinks
-        "scan_csv_events": bronze(RAW),
-        "scan_csv_cast": bronze(RAW),
+        "scan_csv_events": bronze(csv_raw),
+        "scan_csv_cast": bronze(csv_raw),
         "bronze_lineage": bronze(
             f"event_time, event_type, user_id, TIMESTAMP '{_first[0]}' AS _ingestion_time, '{_first[1]}' AS _batch_id, true AS from_csv"
         ),
@@ -465,6 +474,8 @@ def oracle_sql() -> dict[str, str]:
                 "daily_sales",
                 {
                     "total_revenue": _usd("cents"),
+                    "min_order_value": _rounded("min_order_value"),
+                    "max_order_value": _rounded("max_order_value"),
                     "avg_order_value": _mean("cents", "order_count"),
                     "revenue_per_customer": _mean("cents", "unique_customers"),
                 },
@@ -480,6 +491,8 @@ def oracle_sql() -> dict[str, str]:
                 "daily_sales",
                 {
                     "total_revenue": _usd("cents"),
+                    "min_order_value": _rounded("min_order_value"),
+                    "max_order_value": _rounded("max_order_value"),
                     "avg_order_value": _mean("cents", "order_count"),
                     "revenue_per_customer": _mean("cents", "unique_customers"),
                 },
@@ -530,7 +543,7 @@ def oracle_sql() -> dict[str, str]:
         "stg_events": silver(
             f"""{_key_md5(*KEY.split(', '))} AS event_id, event_time, event_date, event_year, event_month, day(event_date) AS event_day,
             event_hour, dayofweek(event_date)+1 AS day_of_week, event_type, product_id, category_id, category_code, category_level1,
-            category_level2, category_level3, brand, brand_normalized, price, {RAW_PRICE_TIER.format(p='raw_price')} AS price_tier,
+            category_level2, category_level3, brand, brand_normalized, {_rounded('price')} AS price, {RAW_PRICE_TIER.format(p='raw_price')} AS price_tier,
             user_id, user_session, NULL::varchar AS payment_method, is_weekend, _ingestion_time, _batch_id"""
         ),
         "surrogate_key": bronze(f"{BRONZE_ID}, {_key_md5(*KEY.split(', '))} AS event_id"),
@@ -563,14 +576,14 @@ def oracle_sql() -> dict[str, str]:
         "dim_products": _with(
             f"""SELECT product_id, category_id, category_code, brand, any_value(category_level1) AS category_level1,
             any_value(category_level2) AS category_level2, any_value(category_level3) AS category_level3,
-            any_value(brand_normalized) AS brand_normalized, {_usd(SUM_CENTS)}/count(*) AS avg_price, min(price) AS min_price,
+            any_value(brand_normalized) AS brand_normalized, {_avg(SUM_CENTS,'count(*)')} AS avg_price, min(price) AS min_price,
             max(price) AS max_price, count(*) AS total_events, {_n('view')} AS view_count, {_n('cart')} AS cart_count,
             {_n('purchase')} AS purchase_count FROM silver GROUP BY product_id, category_id, category_code, brand""",
             "silver",
         ),
         "stg_products": _with(
             f"""SELECT s.product_id, l.category_id, l.category_code, l.category_level1, l.category_level2, l.category_level3, l.brand,
-            l.brand_normalized, {_mean(SUM_CENTS, 'count(*)')} AS avg_price, min(s.price) AS min_price, max(s.price) AS max_price,
+            l.brand_normalized, {_mean(SUM_CENTS, 'count(*)')} AS avg_price, {_rounded('min(s.price)')} AS min_price, {_rounded('max(s.price)')} AS max_price,
             count(*) AS total_events, {_n('view')} AS view_count, {_n('cart')} AS cart_count, {_n('purchase')} AS purchase_count,
             {_pct(_n('cart'), _n('view'))} AS view_to_cart_rate, {_pct(_n('purchase'), _n('cart'))} AS cart_to_purchase_rate
             FROM silver s JOIN (SELECT product_id, category_id, category_code, category_level1, category_level2, category_level3, brand, brand_normalized
@@ -580,7 +593,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "dim_users": _with(
             f"""SELECT user_id, first_seen, last_seen, total_events, total_views, total_carts, total_purchases, {_usd('cents')} AS total_spent,
-            total_purchases AS purchase_count, coalesce({_usd('cents')}/nullif(total_purchases,0),0) AS avg_order_value,
+            total_purchases AS purchase_count, coalesce({_avg('cents','nullif(total_purchases,0)')},0) AS avg_order_value,
             total_purchases>0 AS is_buyer FROM users""",
             "users",
         ),
@@ -594,8 +607,8 @@ def oracle_sql() -> dict[str, str]:
         "daily_sales": sales(f"SELECT {SALES_COLUMNS} FROM sales"),
         "fct_daily_sales": _with(
             f"""SELECT sale_id, sale_date, category_level1, category_level2, order_count, unique_customers, unique_products, total_revenue,
-            {_mean('cents','order_count')} AS avg_order_value, min_order_value, max_order_value,
-            {_mean('cents','unique_customers')} AS revenue_per_customer, {_div('order_count','unique_customers',2)} AS orders_per_customer,
+            {_mean('cents','order_count')} AS avg_order_value, {_rounded('min_order_value')} AS min_order_value,
+            {_rounded('max_order_value')} AS max_order_value, {_mean('cents','unique_customers')} AS revenue_per_customer, {_div('order_count','unique_customers',2)} AS orders_per_customer,
             sale_year, sale_month, sale_quarter, sale_week, dayofweek(sale_date)+1 AS sale_day_of_week, isodow(sale_date)>=6 AS is_weekend FROM stg_daily""",
             "stg_daily",
         ),
@@ -644,7 +657,7 @@ def oracle_sql() -> dict[str, str]:
         # annotated views
         "stg_daily_sales": sales(
             f"""SELECT event_date, category_level1, category_level2, order_count, unique_customers, unique_products, {_usd('cents')} AS total_revenue,
-            {_usd('cents')}/order_count AS avg_order_value, sale_year, sale_month, {_mean('cents','order_count')} AS revenue_per_order,
+            {_avg('cents','order_count')} AS avg_order_value, sale_year, sale_month, {_mean('cents','order_count')} AS revenue_per_order,
             {_div('order_count','unique_customers',2)} AS orders_per_customer FROM sales"""
         ),
         "stg_customer_rfm": rfm(

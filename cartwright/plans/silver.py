@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.functions import events as ev
-from cartwright.functions.money import from_cents, mean_cents, percent, ratio, to_cents
+from cartwright.functions.money import exact_mean, from_cents, mean_cents, percent, ratio, to_cents
 from cartwright.operators.dedupe import EVENT_KEY, latest_per_key
 
 CLEAN_COLUMNS = [
@@ -127,7 +127,7 @@ def dim_products(silver: DataFrame) -> DataFrame:
         *keys,
         *[level.alias(name) for name, level in ev.category_levels(F.col("category_code")).items()],
         F.lower("brand").alias("brand_normalized"),
-        (from_cents(F.col("cents")) / F.col("total_events")).alias("avg_price"),
+        exact_mean(F.col("cents"), F.col("total_events")).alias("avg_price"),
         "min_price",
         "max_price",
         "total_events",
@@ -186,8 +186,7 @@ def _user_counts() -> list[Column]:
 
 
 def dim_users(silver: DataFrame) -> DataFrame:
-    spent = from_cents(F.col("cents"))
-    bought = F.col("total_purchases")
+    spent, bought = F.col("cents"), F.col("total_purchases")
     return (
         silver.groupBy("user_id")
         .agg(*_user_counts())
@@ -199,9 +198,9 @@ def dim_users(silver: DataFrame) -> DataFrame:
             "total_views",
             "total_carts",
             "total_purchases",
-            spent.alias("total_spent"),
+            from_cents(spent).alias("total_spent"),
             bought.alias("purchase_count"),
-            F.when(bought > 0, spent / bought).otherwise(F.lit(0.0)).alias("avg_order_value"),
+            F.when(bought > 0, exact_mean(spent, bought)).otherwise(F.lit(0.0)).alias("avg_order_value"),
             (bought > 0).alias("is_buyer"),
         )
     )
