@@ -89,7 +89,7 @@ class Medallion:
         self.root = root
         self.source = source
         self.as_of = as_of
-        self._schemas: dict = {}
+        self._tables: dict[str, DataFrame] = {}
         self._locks = {name: Lock() for name in _TABLES}
 
     def path(self, name: str) -> str:
@@ -98,17 +98,16 @@ class Medallion:
     def __getitem__(self, name: str) -> DataFrame:
         """The named table; written first if this object has not written it yet."""
         with self._locks[name]:
-            if name not in self._schemas:
-                self._build(name)
-        schema = self._schemas[name]
-        return self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.names)
+            if name not in self._tables:
+                self._tables[name] = self._build(name)
+        return self._tables[name]
 
-    def _build(self, name: str) -> None:
+    def _build(self, name: str) -> DataFrame:
         build, partition_by, audit = _TABLES[name]
         df = build(self)
         stamped = df.withColumn(audit, F.current_timestamp()) if audit else df
         write_partitioned(stamped, self.path(name), *partition_by)
-        self._schemas[name] = stamped.schema
+        return self.spark.read.schema(stamped.schema).parquet(self.path(name)).select(*stamped.columns)
 
     def build(self, names: list[str]) -> None:
         """Builds tables at the same time, so that short stages of one fill the gaps of another.

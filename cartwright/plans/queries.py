@@ -50,7 +50,7 @@ class Inputs:
         """A written table without its audit column."""
         return self.lake[name].drop("_transform_time", "_created_at", "_aggregated_at")
 
-    @property
+    @cached_property
     def bronze(self) -> DataFrame:
         return commerce.bronze_events(self.spark, self.sf_dir)
 
