@@ -56,7 +56,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": CPUS,
             "spark.driver.memory": "16g",
             # The table is a few megabytes; keep the partitioned writers parallel at that size.
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
             "spark.ui.showConsoleProgress": "false",
         },
     )

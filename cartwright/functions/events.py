@@ -102,8 +102,8 @@ def week_start(date: Column) -> Column:
 
 def session_bucket(user_id: Column, event_time: Column) -> Column:
     """User, day and four-hour bucket."""
-    bucket = F.floor(F.hour(event_time) / F.lit(4))
-    return F.concat_ws("_", user_id, F.date_format(event_time, "yyyyMMdd"), bucket)
+    day = F.year(event_time) * 10_000 + F.month(event_time) * 100 + F.dayofmonth(event_time)
+    return F.concat_ws("_", user_id, day, F.floor(F.hour(event_time) / F.lit(4)))
 
 
 def surrogate_key(*columns: Column) -> Column:

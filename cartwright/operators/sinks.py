@@ -25,6 +25,15 @@ def write_partitioned(df: DataFrame, path: str, *partition_by: str, mode: str =
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
+def write_small_partitions(df: DataFrame, path: str, *partition_by: str) -> None:
+    """Like `write_partitioned`, for tables with a bounded number of rows per partition.
+
+    Every partition is one file, and the files are spread over all cores however small the table is.
+    """
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    df.repartition(tasks, *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+
 def append(df: DataFrame, path: str, *partition_by: str) -> None:
     write_partitioned(df, path, *partition_by, mode="append")
 

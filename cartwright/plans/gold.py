@@ -106,11 +106,16 @@ def _or_zero(part: Column, whole: Column) -> Column:
 
 
 def funnel_daily(silver: DataFrame) -> DataFrame:
-    """Daily funnel, job variant: rates over views are null without views, the others are 0."""
+    """Daily funnel, job variant."""
+    return funnel_rates(_funnel_counts(silver))
+
+
+def funnel_rates(counts: DataFrame) -> DataFrame:
+    """Rates of the job variant: those over views are null without views, the others are 0."""
     c = F.col
     day = c("event_date")
     average = F.when(c("unique_purchasers") > 0, mean_cents(c("cents"), c("unique_purchasers"))).otherwise(0.0)
-    return _funnel_counts(silver).select(
+    return counts.select(
         "event_date",
         "views",
         "carts",

@@ -369,8 +369,11 @@ def mv_segment_summary(i: Inputs) -> DataFrame:
 
 
 def _segment_query(rule: Callable) -> Callable[[Inputs], DataFrame]:
-    scores = (F.col("r_score"), F.col("f_score"), F.col("m_score"))
-    return lambda i: i.customers.select("user_id", *scores, rule(*scores).alias("segment"))
+    def query(i: Inputs) -> DataFrame:
+        scores = (F.col("r_score"), F.col("f_score"), F.col("m_score"))
+        return i.customers.select("user_id", *scores, rule(*scores).alias("segment"))
+
+    return query
 
 
 def _cleaned(*columns: Callable) -> Callable[[Inputs], DataFrame]:
