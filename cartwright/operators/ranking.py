@@ -88,10 +88,12 @@ def add_dense_ranks(df: DataFrame, values: dict[str, Column], window_rows: int =
         key = f"{name}_key"
         df = df.withColumn(key, -value)
         table, before = _positions(df.select(key).distinct(), [key])
-        starts = F.create_map(*[F.lit(n) for pair in before.items() for n in pair])
-        partition = F.shiftright("position", PARTITION_BITS)
+        starts = df.sparkSession.createDataFrame(list(before.items()), "partition long, start long")
         local = F.col("position").bitwiseAND(F.lit((1 << PARTITION_BITS) - 1))
-        ranks = table.select(key, (starts[partition] + local + 1).alias(name))
+        # One row per range partition, so this broadcast does not grow with the rows.
+        ranks = table.join(F.broadcast(starts), F.shiftright("position", PARTITION_BITS) == F.col("partition")).select(
+            key, (F.col("start") + local + 1).alias(name)
+        )
         if ranks.count() <= BROADCAST_ROWS:
             ranks = F.broadcast(ranks)
         df = df.join(ranks, key, "left").drop(key)

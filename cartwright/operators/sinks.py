@@ -25,6 +25,15 @@ def write_partitioned(df: DataFrame, path: str, *partition_by: str, mode: str =
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
+def write_clustered(df: DataFrame, path: str, partition_by: list[str], cluster_by: list[str]) -> None:
+    """Parquet partitioned by few, large partitions, with the rows of each file sorted by `cluster_by`.
+
+    For a table that comes out of a shuffle: it is not shuffled again. The writer sorts by partition
+    anyway, and the longer sort key lets readers skip row groups by `cluster_by`.
+    """
+    df.sortWithinPartitions(*partition_by, *cluster_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+
 def write_small_partitions(df: DataFrame, path: str, *partition_by: str) -> None:
     """Like `write_partitioned`, for tables with a bounded number of rows per partition.
 

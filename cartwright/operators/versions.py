@@ -7,6 +7,7 @@ rollback only adds a log row.
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -21,6 +22,7 @@ LOG_SCHEMA = T.StructType(
         T.StructField("operation", T.StringType()),
         T.StructField("summary", T.MapType(T.StringType(), T.StringType())),
         T.StructField("folders", T.ArrayType(T.StringType())),
+        T.StructField("table_schema", T.StringType()),
     ]
 )
 
@@ -46,32 +48,32 @@ class VersionedTable:
     def current(self) -> Row | None:
         return self.log().orderBy(F.col("snapshot_id").desc()).first()
 
-    def _record(self, parent: Row | None, operation: str, folders: list[str], rows: int, at: datetime) -> int:
+    def _record(
+        self, parent: Row | None, at: datetime, operation: str, added: int, total: int, folders: list[str], schema: str
+    ) -> int:
         snapshot_id = parent["snapshot_id"] + 1 if parent else 1
-        total = self.spark.read.parquet(*folders).count()
-        entry = (
-            snapshot_id,
-            parent["snapshot_id"] if parent else None,
-            at,
-            operation,
-            {"added-records": str(rows), "total-records": str(total)},
-            folders,
-        )
+        summary = {"added-records": str(added), "total-records": str(total)}
+        entry = (snapshot_id, parent["snapshot_id"] if parent else None, at, operation, summary, folders, schema)
         self.spark.createDataFrame([entry], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self._log_path)
         return snapshot_id
 
     def commit(self, df: DataFrame, at: datetime, operation: str = "append") -> int:
         """Writes the rows of `df`. `append` keeps the earlier rows, `overwrite` starts anew."""
         parent = self.current()
+        base = parent if operation == "append" else None
         folder = f"{self.path}/commit={parent['snapshot_id'] + 1 if parent else 1}"
         df.write.mode("overwrite").parquet(folder)
-        kept = list(parent["folders"]) if parent and operation == "append" else []
-        return self._record(parent, operation, kept + [folder], self.spark.read.parquet(folder).count(), at)
+        added = self.spark.read.schema(df.schema).parquet(folder).count()
+        total = added + (int(base["summary"]["total-records"]) if base else 0)
+        folders = [*base["folders"], folder] if base else [folder]
+        schema = merged_schema(T.StructType.fromJson(json.loads(base["table_schema"])), df.schema) if base else df.schema
+        return self._record(parent, at, operation, added, total, folders, schema.json())
 
     def rollback_to(self, snapshot_id: int, at: datetime) -> int:
         """Makes an earlier version current again, as a new log entry."""
         entry = self.log().where(F.col("snapshot_id") == snapshot_id).first()
-        return self._record(self.current(), "rollback", list(entry["folders"]), 0, at)
+        total = int(entry["summary"]["total-records"])
+        return self._record(self.current(), at, "rollback", 0, total, list(entry["folders"]), entry["table_schema"])
 
     def rollback_to_timestamp(self, timestamp: datetime, at: datetime) -> int:
         return self.rollback_to(self.snapshot_at(timestamp), at)
@@ -85,11 +87,15 @@ class VersionedTable:
         return found
 
     def read(self, snapshot_id: int | None = None, timestamp: datetime | None = None) -> DataFrame:
-        """The current rows, or those of a snapshot or time. Columns added later read as null in older rows."""
+        """The current rows, or those of a snapshot or time. Columns added later read as null in older rows.
+
+        The schema comes from the log, so that no file has to be opened to find it.
+        """
         if timestamp is not None:
             snapshot_id = self.snapshot_at(timestamp)
         entry = self.current() if snapshot_id is None else self.log().where(F.col("snapshot_id") == snapshot_id).first()
-        return self.spark.read.option("mergeSchema", True).parquet(*entry["folders"])
+        schema = T.StructType.fromJson(json.loads(entry["table_schema"]))
+        return self.spark.read.schema(schema).parquet(*entry["folders"])
 
     def snapshots(self, limit: int = 10) -> DataFrame:
         """Newest first."""
@@ -125,6 +131,15 @@ class VersionedTable:
         )
 
 
+def merged_schema(before: T.StructType, added: T.StructType) -> T.StructType:
+    """The earlier columns, then the new ones; a column cannot change its type in an append."""
+    known = {f.name: f.dataType for f in before}
+    for field in added:
+        if field.name in known and known[field.name] != field.dataType:
+            raise ValueError(f"column {field.name} is {known[field.name].simpleString()}, not {field.dataType.simpleString()}")
+    return T.StructType([*before, *[f for f in added if f.name not in known]])
+
+
 def catalog_table_as_of(
     spark: SparkSession, table: str, snapshot_id: int | None = None, timestamp: str | None = None
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from threading import Lock
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.operators.sinks import write_partitioned, write_small_partitions
+from cartwright.operators.sinks import write_clustered, write_partitioned, write_small_partitions
 from cartwright.plans import gold, silver
 
 # Table: builder, partition columns, audit column.
@@ -63,6 +63,9 @@ _TABLES: dict[str, tuple[Callable[["Medallion"], DataFrame], list[str], str | No
     ),
 }
 
+# Deduplicated events come out of a shuffle and fill few month partitions. Sorted by type, a reader of
+# purchases skips the row groups of all other events.
+CLUSTERED = {"silver.events_cleaned": ["event_type", "event_date"]}
 # At most one row per hour and event type in each day.
 SMALL_PARTITIONS = {"gold.hourly_traffic"}
 
@@ -109,8 +112,12 @@ class Medallion:
         build, partition_by, audit = _TABLES[name]
         df = build(self)
         stamped = df.withColumn(audit, F.current_timestamp()) if audit else df
-        write = write_small_partitions if name in SMALL_PARTITIONS else write_partitioned
-        write(stamped, self.path(name), *partition_by)
+        if name in CLUSTERED:
+            write_clustered(stamped, self.path(name), partition_by, CLUSTERED[name])
+        elif name in SMALL_PARTITIONS:
+            write_small_partitions(stamped, self.path(name), *partition_by)
+        else:
+            write_partitioned(stamped, self.path(name), *partition_by)
         return self.spark.read.schema(stamped.schema).parquet(self.path(name)).select(*stamped.columns)
 
     def build(self, names: list[str]) -> None:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +27,7 @@ RANGE_FIRST, RANGE_LAST = "2024-01-15", "2024-02-14"
 TREND_FIRST, TREND_BEFORE = "2024-02-01", "2024-04-01"
 CATEGORIES = ["economy", "small", "uncategorized"]
 MIN_VIEWS, MAX_PURCHASE_RATE = 20, 30.0
-COMMITS = [datetime(2024, 4, 1), datetime(2024, 4, 2), datetime(2024, 4, 3)]
+COMMITS = [datetime(2024, 4, day, tzinfo=timezone.utc) for day in (1, 2, 3)]
 THIRD_BATCH = "20240403_000000"
 PAYMENT_METHODS = ["credit_card", "paypal", "bank_transfer"]
 
@@ -260,7 +260,7 @@ def _by_type(df: DataFrame) -> DataFrame:
 
 def rollback_read(i: Inputs) -> DataFrame:
     table = i.new_versions()
-    table.rollback_to(1, datetime(2024, 4, 4))
+    table.rollback_to(1, COMMITS[2] + timedelta(days=1))
     return _by_type(table.read())
 
 
@@ -526,7 +526,7 @@ def _registry() -> dict[str, Callable[[Inputs], DataFrame]]:
         # versions and schema evolution
         "snapshot_list": lambda i: i.versions.snapshots(),
         "asof_version": lambda i: _by_type(i.versions.read(1)),
-        "asof_timestamp": lambda i: _by_type(i.versions.read(timestamp=datetime(2024, 4, 2, 12))),
+        "asof_timestamp": lambda i: _by_type(i.versions.read(timestamp=COMMITS[1] + timedelta(hours=12))),
         "snapshot_compare": lambda i: versions.compare_counts(i.versions.read(1), i.versions.read()),
         "snapshot_diff": snapshot_diff,
         "snapshot_history": lambda i: i.versions.history(),

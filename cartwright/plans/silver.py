@@ -138,7 +138,11 @@ def dim_products(silver: DataFrame) -> DataFrame:
 
 
 def stg_products(stg: DataFrame) -> DataFrame:
-    """Products by id, described by their latest event."""
+    """Products by id, described by their latest event.
+
+    The events are hashed down to one row per product and description first. Picking the latest
+    description needs a sorted aggregate, which then only sees those few rows.
+    """
     described = [
         "category_id",
         "category_code",
@@ -148,8 +152,8 @@ def stg_products(stg: DataFrame) -> DataFrame:
         "brand",
         "brand_normalized",
     ]
-    grouped = stg.groupBy("product_id").agg(
-        F.max(F.struct("event_time", *described)).alias("latest"),
+    variants = stg.groupBy("product_id", *described).agg(
+        F.max("event_time").alias("last_seen"),
         F.sum(to_cents(F.col("price"))).alias("cents"),
         F.min("price").alias("min_price"),
         F.max("price").alias("max_price"),
@@ -158,6 +162,13 @@ def stg_products(stg: DataFrame) -> DataFrame:
         count_type("cart").alias("cart_count"),
         count_type("purchase").alias("purchase_count"),
     )
+    sums = ["cents", "total_events", "view_count", "cart_count", "purchase_count"]
+    grouped = variants.groupBy("product_id").agg(
+        F.max(F.struct("last_seen", *described)).alias("latest"),
+        F.min("min_price").alias("min_price"),
+        F.max("max_price").alias("max_price"),
+        *[F.sum(c).alias(c) for c in sums],
+    )
     return grouped.select(
         "product_id",
         *[f"latest.{c}" for c in described],

@@ -51,6 +51,14 @@ def test_overwrite_and_rollback(spark, versioned):
     assert versioned.history().where("is_current_ancestor").count() == 5
 
 
+def test_new_column_reads_as_null_in_old_rows(spark, versioned):
+    versioned.commit(spark.range(1).selectExpr("id AS x", "'new' AS y"), DAY[3])
+    assert versioned.read(2).columns == ["x"]
+    assert versioned.read().where("y IS NULL").count() == 5 and versioned.read().where("y = 'new'").count() == 1
+    with pytest.raises(ValueError):
+        versioned.commit(spark.range(1).selectExpr("cast(id AS string) AS x"), DAY[4])
+
+
 def test_append_does_not_copy_rows(versioned):
     latest = versioned.current()
     assert len(latest["folders"]) == 2
