@@ -37,7 +37,7 @@ def merge_latest_into(
     days = [row[0] for row in batch.select(partition).distinct().collect()]
     if not days:
         return
-    table = spark.read.schema(batch.schema).parquet(path) if _exists(spark, path) else batch.limit(0)
+    table = spark.read.schema(batch.schema).parquet(path) if path_exists(spark, path) else batch.limit(0)
     touched = table.where(F.col(partition).isin(days)).select(*batch.columns)
     merged = materialise(latest_per_key(touched.unionByName(batch), key, order), "merge-result")
     (
@@ -49,6 +49,6 @@ def merge_latest_into(
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

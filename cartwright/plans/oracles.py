@@ -558,6 +558,11 @@ def oracle_sql() -> dict[str, str]:
         "conversion_rate_null": products(
             f"SELECT product_id, category_level1, category_level2, brand, {_pct('carts','views')} AS rate FROM performance"
         ),
+        "sql_functions": products(
+            f"""SELECT product_id, category_level1, category_level2, brand, coalesce({_pct('carts','views',4)},0) AS rate,
+            {_pct('carts','views',4)} AS rate_or_null, purchases/100.0::double AS dollars,
+            {_key_md5('product_id', 'category_level1', 'brand')} AS key FROM performance"""
+        ),
         "session_bucket": silver(f"event_time, user_id, {_session('user_id')} AS session"),
         "rfm_segments_8": segment(sg.SEGMENTS_8, sg.SEGMENTS_8_DEFAULT),
         "rfm_segments_12": segment(sg.SEGMENTS_12, sg.SEGMENTS_12_DEFAULT),
@@ -794,6 +799,7 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {RAW}, _ingestion_time FROM bronze WHERE _ingestion_time > TIMESTAMP '{_first[0]}'", "bronze"
         ),
         "merge_upsert_events": _with(merged, "silver"),
+        "incremental_refresh": _with(merged, "silver"),
         "stream_merge_events": latest_raw,
         # versions and schema evolution
         "snapshot_list": _with(

@@ -13,10 +13,11 @@ from pyspark.sql import types as T
 from cartwright.functions import events as ev
 from cartwright.functions import money
 from cartwright.functions import segments as sg
-from cartwright.operators import dedupe, merge, quality, sinks, versions
+from cartwright.functions.sql import register_sql_functions
+from cartwright.operators import dedupe, merge, models, quality, sinks, versions
 from cartwright.plans import gold, reports, serving, silver
 from cartwright.plans.medallion import Medallion
-from cartwright.session import dataset_dir, scratch_path
+from cartwright.session import dataset_dir, materialise, scratch_path
 from cartwright.sources import commerce, files, generate
 from cartwright.streaming import incremental
 
@@ -82,6 +83,11 @@ class Inputs:
     def traffic(self) -> DataFrame:
         return self.table("gold.hourly_traffic")
 
+    @cached_property
+    def first_stg(self) -> DataFrame:
+        """The event model after the first delivery, as a written table."""
+        return materialise(silver.stg_events(self.delivery(0)), "first-stg")
+
     def delivery(self, number: int) -> DataFrame:
         return self.bronze.where(F.col("_batch_id") == commerce.DELIVERIES[number][1])
 
@@ -316,17 +322,34 @@ def backfill_default(i: Inputs) -> DataFrame:
 
 
 def incremental_new_rows(i: Inputs) -> DataFrame:
-    target = silver.stg_events(i.delivery(0))
-    return merge.new_rows(i.bronze, target).select(*commerce.RAW_COLUMNS, "_ingestion_time")
+    return merge.new_rows(i.bronze, i.first_stg).select(*commerce.RAW_COLUMNS, "_ingestion_time")
 
 
 MERGED = ["event_id", "event_time", "event_type", "product_id", "user_id", "price", "brand", "_ingestion_time"]
 
 
 def merge_upsert_events(i: Inputs) -> DataFrame:
-    target = silver.stg_events(i.delivery(0))
-    batch = silver.stg_events(merge.new_rows(i.bronze, target))
-    return merge.upsert(target, batch, "event_id").select(*MERGED)
+    batch = materialise(silver.stg_events(merge.new_rows(i.bronze, i.first_stg)), "merge-batch")
+    return merge.upsert(i.first_stg, batch, "event_id").select(*MERGED)
+
+
+def incremental_refresh(i: Inputs) -> DataFrame:
+    """The event model after a first load and one incremental run."""
+    path = i.scratch("incremental")
+    for source in (i.delivery(0), i.bronze):
+        models.as_incremental(i.spark, source, silver.stg_events, path, "event_id", "_ingestion_time", "event_date")
+    return i.spark.read.parquet(path).select(*MERGED)
+
+
+def sql_functions(i: Inputs) -> DataFrame:
+    register_sql_functions(i.spark)
+    i.performance.createOrReplaceTempView("product_performance_view")
+    return i.spark.sql(
+        """SELECT product_id, category_level1, category_level2, brand,
+        conversion_rate(carts, views) AS rate, conversion_rate_or_null(carts, views) AS rate_or_null,
+        cents_to_dollars(purchases) AS dollars, surrogate_key(array(string(product_id), category_level1, brand)) AS key
+        FROM product_performance_view"""
+    )
 
 
 def stream_merge_events(i: Inputs) -> DataFrame:
@@ -447,6 +470,7 @@ def _registry() -> dict[str, Callable[[Inputs], DataFrame]]:
         "conversion_rate_null": lambda i: i.performance.select(
             *gold.PRODUCT_KEY, money.percent(c("carts"), c("views")).alias("rate")
         ),
+        "sql_functions": sql_functions,
         "session_bucket": lambda i: i.silver.select(
             "event_time", "user_id", ev.session_bucket(c("user_id"), c("event_time")).alias("session")
         ),
@@ -521,6 +545,7 @@ def _registry() -> dict[str, Callable[[Inputs], DataFrame]]:
         # incremental
         "incremental_new_rows": incremental_new_rows,
         "merge_upsert_events": merge_upsert_events,
+        "incremental_refresh": incremental_refresh,
         "stream_merge_events": stream_merge_events,
         "stream_monthly_sales": stream_monthly_sales,
         # versions and schema evolution

@@ -6,7 +6,9 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from cartwright.operators import quality, sinks, versions
+from cartwright.__main__ import main
+from cartwright.functions.sql import register_sql_functions
+from cartwright.operators import models, quality, sinks, versions
 from cartwright.plans.medallion import JOB_TABLES, MODEL_TABLES, Medallion
 from cartwright.plans.serving import serve
 from cartwright.session import dataset_dir, scratch_path, shared_dir
@@ -227,3 +229,34 @@ def test_shared_folder_follows_the_setting(spark):
 def test_samples_and_schema(spark, small):
     assert files.sample(small.sales, 5, "event_date", "order_count").count() == 5
     assert files.describe_schema(spark.range(1)) == [("id", "bigint")]
+
+
+def test_command_line(spark, small, folder):
+    text_time = F.concat(F.col("event_time").cast("string"), F.lit(" UTC"))
+    sinks.export_csv(small.bronze.select(*commerce.RAW_COLUMNS).withColumn("event_time", text_time), f"{folder}/raw")
+    lake = ["--lake", f"{folder}/lake"]
+    assert main(["build", *lake, "--source", f"{folder}/raw/*.csv"]) == 0
+    assert spark.read.parquet(f"{folder}/lake/gold/funnel_analysis").count() == 90
+    assert main(["serve", *lake, "--target", f"{folder}/serving"]) == 0
+    assert spark.read.parquet(f"{folder}/serving/customer_rfm").count() == 15
+    assert main(["export", *lake, "--target", f"{folder}/csv", "--table", "daily_sales"]) == 0
+    assert spark.read.option("header", True).csv(f"{folder}/csv/daily_sales").count() == 178
+    assert main(["check", *lake]) == 0
+
+
+def test_view_and_table_models(spark, folder):
+    models.as_view(spark.range(3), "three")
+    models.as_table(spark.table("three"), "kept_three", f"{folder}/t")
+    models.as_table(spark.range(4), "kept_three", f"{folder}/t")
+    assert spark.table("three").count() == 3 and spark.table("kept_three").count() == 4
+    spark.sql("DROP TABLE kept_three")
+
+
+def test_sql_functions(spark):
+    register_sql_functions(spark)
+    row = spark.sql(
+        """SELECT conversion_rate(1, 3), conversion_rate(1, 0), conversion_rate_or_null(1, 0), cents_to_dollars(1234),
+        rfm_segment(5, 5, 5), rfm_segment(1, 3, 1), surrogate_key(array('a', NULL)) = md5('a|_NULL_'),
+        in_date_range(date'2024-01-31', date'2024-01-01', date'2024-01-31')"""
+    ).first()
+    assert tuple(row) == (33.3333, 0.0, None, 12.34, "Champions", "Others", True, True)
