@@ -8,6 +8,7 @@ positions into ranks over the whole table.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
@@ -65,10 +66,12 @@ def add_ntiles(
         scores = {name: F.ntile(tiles).over(Window.orderBy(value, tie)) for name, value in values.items()}
         return df.withColumns(scores)
     starts = _tile_starts(rows, tiles)
+    with ThreadPoolExecutor(len(values)) as pool:
+        cuts = list(pool.map(lambda value: _cut_rows(df, value, tie, starts), values.values()))
     scores = {}
-    for name, value in values.items():
+    for (name, value), value_cuts in zip(values.items(), cuts):
         score = F.lit(1)
-        for cut, cut_tie in _cut_rows(df, value, tie, starts):
+        for cut, cut_tie in value_cuts:
             reached = (value > F.lit(cut)) | ((value == F.lit(cut)) & (F.col(tie) >= F.lit(cut_tie)))
             score = score + reached.cast("int")
         scores[name] = score
@@ -84,17 +87,22 @@ def add_dense_ranks(df: DataFrame, values: dict[str, Column], window_rows: int =
     df = materialise(df, "rank-input")
     if df.count() <= window_rows:
         return df.withColumns({n: F.dense_rank().over(Window.orderBy(v.desc())) for n, v in values.items()})
-    for name, value in values.items():
-        key = f"{name}_key"
-        df = df.withColumn(key, -value)
-        table, before = _positions(df.select(key).distinct(), [key])
-        starts = df.sparkSession.createDataFrame(list(before.items()), "partition long, start long")
-        local = F.col("position").bitwiseAND(F.lit((1 << PARTITION_BITS) - 1))
-        # One row per range partition, so this broadcast does not grow with the rows.
-        ranks = table.join(F.broadcast(starts), F.shiftright("position", PARTITION_BITS) == F.col("partition")).select(
-            key, (F.col("start") + local + 1).alias(name)
-        )
-        if ranks.count() <= BROADCAST_ROWS:
-            ranks = F.broadcast(ranks)
-        df = df.join(ranks, key, "left").drop(key)
-    return df
+    keys = {name: f"{name}_key" for name in values}
+    df = df.withColumns({keys[name]: -value for name, value in values.items()})
+    with ThreadPoolExecutor(len(values)) as pool:
+        ranks = list(pool.map(lambda name: _value_ranks(df, keys[name], name), values))
+    for (name, key), rank in zip(keys.items(), ranks):
+        df = df.join(rank, key, "left")
+    return df.drop(*keys.values())
+
+
+def _value_ranks(df: DataFrame, key: str, name: str) -> DataFrame:
+    """The rank of each distinct value of `key`, to be broadcast where they are few."""
+    table, before = _positions(df.select(key).distinct(), [key])
+    starts = df.sparkSession.createDataFrame(list(before.items()), "partition long, start long")
+    local = F.col("position").bitwiseAND(F.lit((1 << PARTITION_BITS) - 1))
+    # One row per range partition, so this broadcast does not grow with the rows.
+    ranks = table.join(F.broadcast(starts), F.shiftright("position", PARTITION_BITS) == F.col("partition")).select(
+        key, (F.col("start") + local + 1).alias(name)
+    )
+    return F.broadcast(ranks) if table.count() <= BROADCAST_ROWS else ranks

@@ -10,12 +10,14 @@ from cartwright.sources.commerce import with_partition_columns
 from cartwright.sources.schemas import RAW_EVENT
 
 
-def read_csv_events(spark: SparkSession, path: str, schema: T.StructType = RAW_EVENT) -> DataFrame:
+def read_csv_events(spark: SparkSession, path: str, schema: T.StructType | None = RAW_EVENT) -> DataFrame:
     """CSV files with a header, under a declared schema; `path` may be a glob.
 
-    A declared schema saves the extra pass over the files that inference needs.
+    A declared schema saves the extra pass over the files that inference needs. Without one the types are
+    inferred.
     """
-    return spark.read.schema(schema).option("header", True).csv(path)
+    reader = spark.read.option("header", True)
+    return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
 
 
 def read_csv_events_as_text(spark: SparkSession, path: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from cartwright.operators.dedupe import EVENT_KEY, latest_per_key
 from cartwright.operators.merge import merge_latest_into
@@ -10,23 +11,29 @@ from cartwright.plans.reports import monthly_sales_state, read_monthly_sales
 from cartwright.plans.silver import valid_events
 
 
-def run_event_merge(spark: SparkSession, landing: str, schema, table: str, checkpoint: str) -> None:
+FILES_PER_BATCH = 10_000
+
+
+def run_event_merge(
+    spark: SparkSession, landing: str, schema: T.StructType, table: str, checkpoint: str, files: int = FILES_PER_BATCH
+) -> None:
     """Merges everything that landed since the last run into the event table at `table`.
 
     The table keeps the latest delivery of each valid event by day. The merge is keyed and compares
-    ingestion times, so late rows are taken in and a replayed micro-batch changes nothing.
+    ingestion times, so late rows are taken in and a replayed micro-batch changes nothing. A long backlog is
+    taken in batches of `files` files.
     """
 
     def merge(batch: DataFrame, _: int) -> None:
         deduplicated = latest_per_key(valid_events(batch), EVENT_KEY, ["_ingestion_time"])
         merge_latest_into(batch.sparkSession, table, deduplicated, EVENT_KEY, ["_ingestion_time"], "event_date")
 
-    stream = spark.readStream.schema(schema).parquet(landing)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(landing)
     query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
-def run_monthly_sales(spark: SparkSession, landing: str, schema, table: str, checkpoint: str) -> None:
+def run_monthly_sales(spark: SparkSession, landing: str, schema: T.StructType, table: str, checkpoint: str) -> None:
     """Keeps the monthly summary of arriving daily sales rows.
 
     The state has one row per month and category. Complete mode hands over the whole summary, so a replay

@@ -180,6 +180,8 @@ def test_text_time_is_cast_or_null(spark, folder):
     Path(folder, "in.csv").write_text(
         ",".join(f.name for f in RAW_EVENT) + "\n2019-10-01 00:00:00 UTC,view,1,2,a.b,x,1.5,7,s\nnot a time,view,1,2,,,,7,s\n"
     )
+    inferred = files.read_csv_events(spark, f"{folder}/in.csv", None)
+    assert [f.dataType.simpleString() for f in inferred.schema][1:4] == ["string", "int", "int"]
     typed = files.read_csv_events_as_text(spark, f"{folder}/in.csv").orderBy(F.col("event_time").desc()).collect()
     assert [r["event_time"] for r in typed] == [datetime(2019, 10, 1), None]
     bronze = files.ingest_csv(spark, f"{folder}/in.csv", "b1").where("event_time IS NOT NULL").first()
