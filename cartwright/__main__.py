@@ -1,4 +1,4 @@
-"""Command line: `spark-submit -m cartwright`-style jobs over a lake folder.
+"""Command line: jobs over a lake folder, run as `python -m cartwright <command>`.
 
     build  raw CSV files to bronze, silver and gold tables
     serve  typed serving copies of four gold tables

@@ -9,13 +9,21 @@ from cartwright.operators.dedupe import latest_per_key
 from cartwright.session import materialise
 
 
-def new_rows(source: DataFrame, target: DataFrame, column: str = "_ingestion_time") -> DataFrame:
-    """Rows of `source` above the target's high-water mark; all rows when the target is empty.
+# Before any ingestion time, as the mark of an empty target.
+LOWEST_MARK = "0001-01-01 00:00:00"
+
+
+def new_rows(
+    source: DataFrame, target: DataFrame, column: str = "_ingestion_time", lowest: str = LOWEST_MARK
+) -> DataFrame:
+    """Rows of `source` above the target's high-water mark, or above `lowest` when the target is empty.
 
     The comparison is strict: rows at the mark, and batches that arrive out of order, are not picked up.
+    The mark is one scalar subquery, so that the comparison reaches the scan of the source.
     """
-    mark = target.agg(F.max(column)).scalar()
-    return source.where(mark.isNull() | (F.col(column) > mark))
+    floor = F.lit(lowest).cast(target.schema[column].dataType)
+    mark = target.agg(F.coalesce(F.max(column), floor)).scalar()
+    return source.where(F.col(column) > mark)
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:

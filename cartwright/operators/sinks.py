@@ -11,18 +11,22 @@ from cartwright.plans.serving import SERVING_LAYOUT, serve
 
 SINGLE_FILE_ROWS = 1_000_000
 JDBC_BATCH_ROWS = 100_000
+COMPRESSION = "snappy"
 STATUS_SCHEMA = "table_name string, source_rows long, target_rows long, ok boolean, error string"
 
 
-def write_partitioned(df: DataFrame, path: str, *partition_by: str, mode: str = "overwrite") -> None:
-    """Parquet, partitioned by columns.
+def write_partitioned(
+    df: DataFrame, path: str, *partition_by: str, mode: str = "overwrite", max_records: int = 0
+) -> None:
+    """Parquet, partitioned by columns; `max_records` limits the rows of a file (0 is no limit).
 
     The rebalance hint gathers the rows of a partition into few files and lets adaptive execution split a
     partition that holds a large share of the rows over several tasks.
     """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    writer = df.write.mode(mode).option("compression", COMPRESSION).option("maxRecordsPerFile", max_records)
+    writer.partitionBy(*partition_by).parquet(path)
 
 
 def write_clustered(df: DataFrame, path: str, partition_by: list[str], cluster_by: list[str]) -> None:

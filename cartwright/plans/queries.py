@@ -365,8 +365,9 @@ def stream_monthly_sales(i: Inputs) -> DataFrame:
     base = i.scratch("stream-sales")
     landing, table = f"{base}/landing", f"{base}/table"
     sales = i.sales
-    for quarter_part in (F.dayofmonth("event_date") <= 15, F.dayofmonth("event_date") > 15):
-        sales.where(quarter_part).write.mode("append").parquet(landing)
+    first = F.dayofmonth("event_date") <= 15
+    for arriving in (first, ~first):
+        sales.where(arriving).write.mode("append").parquet(landing)
         incremental.run_monthly_sales(i.spark, landing, sales.schema, table, f"{base}/checkpoint")
     return incremental.read_monthly_summary(i.spark, table)
 

@@ -28,6 +28,11 @@ def read_csv_events_as_text(spark: SparkSession, path: str) -> DataFrame:
     return read_csv_events(spark, path, as_text).withColumn("event_time", F.col("event_time").try_cast("timestamp"))
 
 
+def events_from_rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """A few hand-written raw events, with partition columns."""
+    return with_partition_columns(spark.createDataFrame(rows, RAW_EVENT))
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

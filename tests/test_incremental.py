@@ -12,13 +12,19 @@ from cartwright.streaming import incremental
 def test_mark_is_strict(spark):
     target = spark.createDataFrame([(5,)], "_ingestion_time int")
     source = spark.createDataFrame([(4,), (5,), (6,)], "_ingestion_time int")
-    assert [r[0] for r in merge.new_rows(source, target).collect()] == [6]
+    assert [r[0] for r in merge.new_rows(source, target, lowest="-1").collect()] == [6]
 
 
 def test_empty_target_takes_everything(spark):
     empty = spark.createDataFrame([], "_ingestion_time int")
     source = spark.createDataFrame([(4,), (5,)], "_ingestion_time int")
-    assert merge.new_rows(source, empty).count() == 2
+    assert merge.new_rows(source, empty, lowest="-1").count() == 2
+
+
+def test_mark_reaches_the_scan(small):
+    bronze = small.lake["bronze.events_raw"]
+    plan = merge.new_rows(bronze, small.first_stg)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(_ingestion_time,ScalarSubquery" in plan
 
 
 def test_upsert_updates_and_inserts(spark):

@@ -188,6 +188,17 @@ def test_text_time_is_cast_or_null(spark, folder):
     assert bronze["_source_file"].endswith("in.csv") and bronze["_batch_id"] == "b1" and bronze["event_year"] == 2019
 
 
+def test_rows_as_source(spark, folder):
+    rows = [(datetime(2024, 1, 20, 12), "view", 99999, 100, "demo.category", "DemoBrand", 10.0, 99999, "demo_session")] * 10
+    events = files.events_from_rows(spark, rows)
+    assert events.first()["event_month"] == 1 and events.columns[:9] == RAW_EVENT.names
+    sinks.write_partitioned(events, f"{folder}/t", "event_date", max_records=4)
+    sinks.append(events, f"{folder}/t", "event_date")
+    back = spark.read.parquet(f"{folder}/t")
+    assert back.count() == 20 and versions.file_stats(back).agg(F.count("*")).first()[0] == 4
+    assert {r["record_count"] for r in versions.file_stats(back).collect()} == {2, 4, 10}
+
+
 def test_partition_columns_need_an_event_time(spark):
     df = spark.range(1)
     assert commerce.with_partition_columns(df) is df
