@@ -1,12 +1,26 @@
-"""The numbered queries over the given tables."""
+"""The numbered queries over the given tables: each applies one operator to a whole table."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from cartwright.llm import mixing, quality_rules
+from cartwright.llm import (
+    decontamination,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    mixing,
+    oracles,
+    pii,
+    quality_classifier,
+    quality_rules,
+    suffix_dedup,
+    token_counts,
+)
+from cartwright.session import materialise, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +29,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(documents(spark, sf_dir)).drop("text_key")
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(documents(spark, sf_dir))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
@@ -27,9 +53,72 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after three batches: all documents, revised counts of those that hold markup, and without exact copies.
+
+    The second batch is committed twice.
+    """
+    docs = documents(spark, sf_dir).select("doc_id", "text", "source", "lang")
+    rollup = token_counts.TokenRollup(spark, scratch_path(spark, "token-rollup"))
+    rollup.commit(1, token_counts.counted(docs))
+    plain = docs.withColumn("text", F.regexp_replace("text", r"[#*$%&|<>]", "")).where(docs["text"].rlike(r"[#*$%&|<>]"))
+    revised = materialise(token_counts.counted(plain), "revised-counts")
+    rollup.commit(2, revised)
+    rollup.commit(2, revised)
+    # One row a document and text hash; the copies of a text are ranked by id without the text.
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("hash"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
+    first = Window.partitionBy("hash", "sha")
+    copies = hashed.where("sha IS NOT NULL").withColumn("first_id", F.min("doc_id").over(first)).where("doc_id > first_id")
+    gone = copies.select(F.lit("delete").alias("op"), F.col("doc_id").cast("string").alias("key"))
+    versions = F.explode(F.array(*[F.lit(v) for v in token_counts.PATTERNS]))
+    gone = gone.select(
+        "op",
+        "key",
+        F.lit(None).cast("string").alias("source"),
+        F.lit(None).cast("string").alias("lang"),
+        versions.alias("version"),
+        F.lit(0).cast("long").alias("tokens"),
+    )
+    rollup.commit(3, gone)
+    return rollup.totals(3)
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_documents(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_report(documents(spark, sf_dir))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_classifier.classify(documents(spark, sf_dir), labels)
+
+
 def queries() -> dict[str, Query]:
-    return {"op3_mixing": op3_mixing, "op4_quality_rules": op4_quality_rules}
+    return {
+        "op1_suffix_dedup": op1_suffix_dedup,
+        "op2_pii": op2_pii,
+        "op3_mixing": op3_mixing,
+        "op4_quality_rules": op4_quality_rules,
+        "op5_language_id": op5_language_id,
+        "op6_token_counts": op6_token_counts,
+        "op7_decontamination": op7_decontamination,
+        "op8_jaccard_join": op8_jaccard_join,
+        "op9_line_dedup": op9_line_dedup,
+        "op10_quality_classifier": op10_quality_classifier,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Where SQL can say it; the other queries are tested against brute force or held-out rows."""
+    return dict(oracles.ORACLES)
