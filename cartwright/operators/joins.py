@@ -1,28 +1,15 @@
-"""Fact-to-dimension join whose broadcast is allowed only after a check of the size."""
+"""Fact-to-dimension join."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.session import materialise
 
-BROADCAST_ROWS = 500_000
+def dimension_join(fact: DataFrame, dimension: DataFrame, fact_key: str, dimension_key: str) -> DataFrame:
+    """Left join of a large fact table with a dimension.
 
-
-def dimension_join(
-    fact: DataFrame, dimension: DataFrame, fact_key: str, dimension_key: str, max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """Left join of a large fact table with a narrow dimension.
-
-    A dimension of at most `max_rows` rows is broadcast, so that hot keys cost no shuffle. A larger one
-    is first reduced to the keys the fact table uses. If even those are too many, the shuffle join is
-    left to adaptive execution, which splits skewed partitions of the fact side.
+    Spark decides by the size in bytes whether the dimension is sent to all tasks; adaptive execution looks again
+    at run time, and splits hot keys where both sides are shuffled.
     """
-    matching = F.col(fact_key) == F.col(dimension_key)
-    if dimension.count() > max_rows:
-        used = fact.select(fact_key).where(F.col(fact_key).isNotNull()).distinct()
-        dimension = materialise(dimension.join(used, matching, "left_semi"), "used-dimension")
-        if dimension.count() > max_rows:
-            return fact.join(dimension, matching, "left")
-    return fact.join(F.broadcast(dimension), matching, "left")
+    return fact.join(dimension, F.col(fact_key) == F.col(dimension_key), "left")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.operators.dedupe import latest_per_key
-from cartwright.session import materialise
+from cartwright.session import materialise, read_if_written, scratch_scope
 
 
 # Before any ingestion time, as the mark of an empty target.
@@ -26,37 +26,35 @@ def new_rows(
     return source.where(F.col(column) > mark)
 
 
-def upsert(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """Rows of `batch` replace rows of `target` with the same key; other rows are added."""
-    kept = target.join(batch.select(key), key, "left_anti").select(*target.columns)
-    return kept.unionByName(batch)
-
-
-def merge_latest_into(
+def merge_into(
     spark: SparkSession, path: str, batch: DataFrame, key: list[str], order: list[str], partition: str
 ) -> None:
-    """Merges `batch` into the parquet table at `path`; per key the largest `order` wins.
+    """Merges `batch` into the parquet table at `path`; per key the row with the largest `order` stays.
 
-    The key determines the partition column, so only the partitions the batch touches are read and
-    rewritten. The merge gives the same table when a batch is replayed or batches arrive out of order.
-    The list of touched partitions is collected: one value per day of the batch.
+    The key determines the partition column, so only the partitions that the batch touches are read and rewritten,
+    that of null included. The table keeps all of its columns and gains new ones of the batch; where a row lacks
+    one, it is null. A batch may hold a key several times. The merge gives the same table when a batch is
+    replayed or batches arrive out of order.
     """
-    batch = materialise(batch, "merge-batch")
-    days = [row[0] for row in batch.select(partition).distinct().collect()]
-    if not days:
-        return
-    table = spark.read.schema(batch.schema).parquet(path) if path_exists(spark, path) else batch.limit(0)
-    touched = table.where(F.col(partition).isin(days)).select(*batch.columns)
-    merged = materialise(latest_per_key(touched.unionByName(batch), key, order), "merge-result")
-    (
-        merged.hint("rebalance", F.col(partition))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    with scratch_scope(spark):
+        batch = materialise(latest_per_key(batch, key, order), "merge-batch")
+        table = read_if_written(spark, path)
+        merged = batch
+        if table is not None:
+            low, high = (batch.agg(edge(partition)).scalar() for edge in (F.min, F.max))
+            has_null = batch.agg(F.coalesce(F.max(F.col(partition).isNull()), F.lit(False))).scalar()
+            # The bounds prune the scan to the days between, the semi join to the days themselves.
+            touched = batch.select(partition).where(F.col(partition).between(low, high)).distinct()
+            kept = table.where(F.col(partition).between(low, high)).join(touched, partition, "left_semi")
+            without = table.where(F.col(partition).isNull() & has_null).select(*kept.columns)
+            both = kept.unionByName(without).unionByName(batch, allowMissingColumns=True)
+            merged = materialise(latest_per_key(both, key, order), "merge-result")
+        if merged.isEmpty():
+            return
+        (
+            merged.hint("rebalance", F.col(partition))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition)
+            .parquet(path)
+        )

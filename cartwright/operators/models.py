@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwright.operators.merge import merge_latest_into, new_rows, path_exists
+from cartwright.operators.merge import merge_into, new_rows
+from cartwright.session import read_if_written
+from cartwright.sources.files import write_table
 
 
-def as_view(df: DataFrame, name: str) -> None:
-    df.createOrReplaceTempView(name)
+def as_view(spark: SparkSession, query: str, name: str) -> None:
+    """A catalog view over tables, replaced on each run."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
 
 
 def as_table(df: DataFrame, name: str, path: str, *partition_by: str) -> None:
-    """A catalog table over parquet files at `path`, replaced on each run."""
-    df.write.mode("overwrite").option("path", path).partitionBy(*partition_by).saveAsTable(name)
+    write_table(df, name, path, *partition_by)
 
 
 def as_incremental(
@@ -31,6 +33,7 @@ def as_incremental(
 
     The first run takes all rows.
     """
-    if path_exists(spark, path):
-        source = new_rows(source, spark.read.parquet(path), mark)
-    merge_latest_into(spark, path, model(source), [key], [mark], partition)
+    table = read_if_written(spark, path)
+    if table is not None:
+        source = new_rows(source, table, mark)
+    merge_into(spark, path, model(source), [key], [mark], partition)

@@ -1,29 +1,31 @@
 """Whole-table `ntile` and `dense_rank` without pulling the table into one task.
 
-A window without a partition column sorts all rows in a single task. Up to `WINDOW_ROWS` rows that is
-the fastest plan and is used after a count. Beyond it the rows are range partitioned and sorted, every
-row gets its position within its partition, and the partition sizes (one number per partition) turn
-positions into ranks over the whole table.
+A window without a partition column sorts all rows in a single task. Here the rows are range partitioned and
+sorted, every row gets its position within its partition, and the partition sizes (one number per partition)
+turn positions into ranks over the whole table. Nulls come last in either order, as they do where the
+ranking sorts its values downwards.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.operators.joins import BROADCAST_ROWS
-from cartwright.session import materialise
+from cartwright.session import materialise, run_together
 
-WINDOW_ROWS = 200_000
 # monotonically_increasing_id keeps the partition number above bit 33.
 PARTITION_BITS = 33
 
 
-def _positions(df: DataFrame, keys: list[str]) -> tuple[DataFrame, dict[int, int]]:
-    """`df` with a sorted `position` column, and for each partition the number of rows before it."""
+def _sort_keys(value: Column) -> tuple[Column, Column]:
+    """A numeric value as two columns without nulls that sort nulls last."""
+    return value.isNull().cast("int"), F.coalesce(value, F.lit(0))
+
+
+def _positions(df: DataFrame, keys: list[str]) -> tuple[DataFrame, dict[int, int], int]:
+    """`df` with a sorted `position`, the number of rows before each partition, and the number of rows."""
     table = materialise(
         df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("position", F.monotonically_increasing_id()),
         "positions",
@@ -31,7 +33,8 @@ def _positions(df: DataFrame, keys: list[str]) -> tuple[DataFrame, dict[int, int
     sizes = table.groupBy(F.shiftright("position", PARTITION_BITS).alias("partition")).count().collect()
     ordered = sorted((row["partition"], row["count"]) for row in sizes)
     before = accumulate((count for _, count in ordered), initial=0)
-    return table, {partition: start for (partition, _), start in zip(ordered, before)}
+    starts = {partition: start for (partition, _), start in zip(ordered, before)}
+    return table, starts, sum(count for _, count in ordered)
 
 
 def _tile_starts(rows: int, tiles: int) -> list[int]:
@@ -41,68 +44,61 @@ def _tile_starts(rows: int, tiles: int) -> list[int]:
     return [start for start in starts if start < rows]
 
 
-def _cut_rows(df: DataFrame, value: Column, tie: str, starts: list[int]) -> list[tuple]:
-    """(value, tie) of the rows at the given ranks in ascending order of both."""
-    table, before = _positions(df.select(value.alias("value"), F.col(tie).alias("tie")), ["value", "tie"])
+def _cut_rows(df: DataFrame, value: Column, tie: str, tiles: int) -> list[tuple]:
+    """The sort keys and tie of the first row of tiles 2..k."""
+    missing, known = _sort_keys(value)
+    keys = ["missing", "known", "tie"]
+    table, before, rows = _positions(df.select(missing.alias("missing"), known.alias("known"), F.col(tie).alias("tie")), keys)
     wanted = []
-    for start in starts:
+    for start in _tile_starts(rows, tiles):
         partition = max((p for p, first in before.items() if first <= start), key=lambda p: before[p])
         wanted.append((partition << PARTITION_BITS) + start - before[partition])
-    rows = table.where(F.col("position").isin(wanted)).orderBy("position").collect()
-    return [(row["value"], row["tie"]) for row in rows]
+    found = table.where(F.col("position").isin(wanted)).orderBy("position").collect()
+    return [(row["missing"], row["known"], row["tie"]) for row in found]
 
 
-def add_ntiles(
-    df: DataFrame, tiles: int, values: dict[str, Column], tie: str, window_rows: int = WINDOW_ROWS
-) -> DataFrame:
-    """Adds one tile number column per entry of `values`, ascending by value, then by the unique `tie`.
+def add_ntiles(df: DataFrame, tiles: int, values: dict[str, Column], tie: str) -> DataFrame:
+    """Adds one tile number column per numeric entry of `values`, ascending by value, then by the unique `tie`.
 
-    The large path looks up the first row of each tile, at most `tiles - 1` rows per column, and compares
-    every row with them: the table itself is not joined or shuffled again.
+    Null values are in the last tiles. Only the first row of each tile is looked up, at most `tiles - 1` rows per
+    column, and every row is compared with them: the table itself is not joined or shuffled again.
     """
     df = materialise(df, "ntile-input")
-    rows = df.count()
-    if rows <= window_rows:
-        scores = {name: F.ntile(tiles).over(Window.orderBy(value, tie)) for name, value in values.items()}
-        return df.withColumns(scores)
-    starts = _tile_starts(rows, tiles)
-    with ThreadPoolExecutor(len(values)) as pool:
-        cuts = list(pool.map(lambda value: _cut_rows(df, value, tie, starts), values.values()))
+    cuts = run_together(*[lambda v=value: _cut_rows(df, v, tie, tiles) for value in values.values()])
     scores = {}
     for (name, value), value_cuts in zip(values.items(), cuts):
+        missing, known = _sort_keys(value)
         score = F.lit(1)
-        for cut, cut_tie in value_cuts:
-            reached = (value > F.lit(cut)) | ((value == F.lit(cut)) & (F.col(tie) >= F.lit(cut_tie)))
+        for cut_missing, cut_known, cut_tie in value_cuts:
+            later = (known > F.lit(cut_known)) | ((known == F.lit(cut_known)) & (F.col(tie) >= F.lit(cut_tie)))
+            reached = (missing > F.lit(cut_missing)) | ((missing == F.lit(cut_missing)) & later)
             score = score + reached.cast("int")
         scores[name] = score
     return df.withColumns(scores)
 
 
-def add_dense_ranks(df: DataFrame, values: dict[str, Column], window_rows: int = WINDOW_ROWS) -> DataFrame:
-    """Adds one dense rank column per entry of `values`, largest value first.
+def add_dense_ranks(df: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """Adds one dense rank column per numeric entry of `values`, largest value first, null last.
 
-    The large path ranks the distinct values only and joins the ranks back. A small set of ranks is
-    broadcast after a count; a large one is joined by value, where adaptive execution splits a hot value.
+    Only the distinct values are ranked; the ranks are joined back by value. Spark sends a small set of ranks to
+    all tasks, and joins a large one by shuffle, where adaptive execution splits a hot value.
     """
     df = materialise(df, "rank-input")
-    if df.count() <= window_rows:
-        return df.withColumns({n: F.dense_rank().over(Window.orderBy(v.desc())) for n, v in values.items()})
-    keys = {name: f"{name}_key" for name in values}
-    df = df.withColumns({keys[name]: -value for name, value in values.items()})
-    with ThreadPoolExecutor(len(values)) as pool:
-        ranks = list(pool.map(lambda name: _value_ranks(df, keys[name], name), values))
-    for (name, key), rank in zip(keys.items(), ranks):
-        df = df.join(rank, key, "left")
-    return df.drop(*keys.values())
-
-
-def _value_ranks(df: DataFrame, key: str, name: str) -> DataFrame:
-    """The rank of each distinct value of `key`, to be broadcast where they are few."""
-    table, before = _positions(df.select(key).distinct(), [key])
+    keys = {name: (f"{name}_missing", f"{name}_key") for name in values}
+    for name, value in values.items():
+        missing, known = _sort_keys(-value)
+        df = df.withColumns({keys[name][0]: missing, keys[name][1]: known})
+    ranks = run_together(*[lambda n=name: _value_ranks(df, list(keys[n]), n) for name in values])
+    for (name, pair), rank in zip(keys.items(), ranks):
+        df = df.join(rank, list(pair), "left")
+    return df.drop(*[column for pair in keys.values() for column in pair])
+
+
+def _value_ranks(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """The rank of each distinct value, as a written table."""
+    table, before, _ = _positions(df.select(*keys).distinct(), keys)
     starts = df.sparkSession.createDataFrame(list(before.items()), "partition long, start long")
     local = F.col("position").bitwiseAND(F.lit((1 << PARTITION_BITS) - 1))
     # One row per range partition, so this broadcast does not grow with the rows.
-    ranks = table.join(F.broadcast(starts), F.shiftright("position", PARTITION_BITS) == F.col("partition")).select(
-        key, (F.col("start") + local + 1).alias(name)
-    )
-    return F.broadcast(ranks) if table.count() <= BROADCAST_ROWS else ranks
+    ranked = table.join(F.broadcast(starts), F.shiftright("position", PARTITION_BITS) == F.col("partition"))
+    return materialise(ranked.select(*keys, (F.col("start") + local + 1).alias(name)), "ranks")

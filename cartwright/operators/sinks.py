@@ -6,10 +6,12 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwright.plans.serving import SERVING_LAYOUT, serve
 
-SINGLE_FILE_ROWS = 1_000_000
+# Fixed value: how the CSV files spell null, unlike an empty text.
+CSV_NULL = "\\N"
 JDBC_BATCH_ROWS = 100_000
 COMPRESSION = "snappy"
 STATUS_SCHEMA = "table_name string, source_rows long, target_rows long, ok boolean, error string"
@@ -32,10 +34,11 @@ def write_partitioned(
 def write_clustered(df: DataFrame, path: str, partition_by: list[str], cluster_by: list[str]) -> None:
     """Parquet partitioned by few, large partitions, with the rows of each file sorted by `cluster_by`.
 
-    For a table that comes out of a shuffle: it is not shuffled again. The writer sorts by partition
-    anyway, and the longer sort key lets readers skip row groups by `cluster_by`.
+    The rebalance gathers a partition's rows into files of the advisory size, however many tasks made them; the
+    longer sort key lets readers skip row groups by `cluster_by`.
     """
-    df.sortWithinPartitions(*partition_by, *cluster_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    gathered = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    gathered.sortWithinPartitions(*partition_by, *cluster_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 def write_small_partitions(df: DataFrame, path: str, *partition_by: str) -> None:
@@ -72,25 +75,30 @@ def observed_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     return seen.get["rows"]
 
 
-def export_csv(df: DataFrame, path: str, columns: Iterable[str] | None = None) -> None:
-    """CSV with a header, written in parallel: null is an empty field, an empty text is `""`, every row is kept."""
+def export_csv(df: DataFrame, path: str, columns: Iterable[str] | None = None, single_file: bool = False) -> None:
+    """CSV with a header: every value in quotes, quotes doubled, blanks and line breaks kept, null as CSV_NULL.
+
+    Files are written in parallel. `single_file` makes one task write one file; the caller knows how much that is.
+    """
     chosen = df.select(*columns) if columns else df
     (
-        chosen.write.mode("overwrite")
+        (chosen.coalesce(1) if single_file else chosen)
+        .write.mode("overwrite")
         .option("header", True)
+        .option("quoteAll", True)
+        .option("escape", '"')
+        .option("emptyValue", "")
+        .option("nullValue", CSV_NULL)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .option("escape", '"')
         .csv(path)
     )
 
 
-def export_csv_single(df: DataFrame, path: str, max_rows: int = SINGLE_FILE_ROWS) -> None:
-    """One CSV file, for small tables only; a larger table is refused."""
-    rows = df.count()
-    if rows > max_rows:
-        raise ValueError(f"{rows} rows are too many for one file, use export_csv")
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def read_exported_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """What `export_csv` wrote, row by row the same."""
+    reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True)
+    return reader.option("nullValue", CSV_NULL).csv(path)
 
 
 def jdbc_options(url: str, table: str, driver: str, truncate: bool = True, **extra: str) -> dict[str, str]:
@@ -110,8 +118,12 @@ def write_jdbc(df: DataFrame, options: dict[str, str], mode: str = "overwrite")
     df.write.format("jdbc").options(**options).mode(mode).save()
 
 
-def write_serving(gold: DataFrame, table: str, path: str) -> None:
-    """Serving copy of a gold table: month partitions, sorted files and a bloom filter."""
+def write_serving(gold: DataFrame, table: str, path: str) -> int:
+    """Serving copy of a gold table: sorted files with a bloom filter, by month where the table has one.
+
+    A table without a month is range partitioned by its sort key, so that a file spans few values. A hash of the
+    row ends the range key and spreads a hot value over several files. Returns the number of rows written.
+    """
     month_of, sort_key, bloom = SERVING_LAYOUT[table]
     served = serve(gold, table)
     partition_by = []
@@ -119,10 +131,17 @@ def write_serving(gold: DataFrame, table: str, path: str) -> None:
         served = served.withColumn("month", F.year(month_of) * 100 + F.month(month_of))
         partition_by = ["month"]
         served = served.hint("rebalance", F.col("month"))
-    writer = served.sortWithinPartitions(*partition_by, *sort_key).write.mode("overwrite").partitionBy(*partition_by)
-    if bloom:
-        writer = writer.option(f"parquet.bloom.filter.enabled#{bloom}", "true")
-    writer.parquet(path)
+    else:
+        served = served.repartitionByRange(*sort_key, F.xxhash64(*served.columns))
+
+    def write(laid_out: DataFrame) -> None:
+        writer = laid_out.write.mode("overwrite").partitionBy(*partition_by)
+        if bloom:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{bloom}", "true")
+        writer.parquet(path)
+
+    # Counted behind the shuffle: to find the ranges, Spark reads what is before it twice.
+    return observed_write(served.sortWithinPartitions(*partition_by, *sort_key), write)
 
 
 def sync_all(spark: SparkSession, tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -130,7 +149,7 @@ def sync_all(spark: SparkSession, tables: dict[str, tuple[DataFrame, str]]) -> D
     status = []
     for name, (gold, path) in tables.items():
         try:
-            source_rows = observed_write(gold, lambda df: write_serving(df, name, path))
+            source_rows = write_serving(gold, name, path)
             target_rows = spark.read.parquet(path).count()
             status.append((name, source_rows, target_rows, source_rows == target_rows, None))
         except Exception as error:

@@ -1,143 +1,69 @@
-"""Reading earlier states of a table, and evolving its schema.
+"""Reading earlier states of an append-only table, and evolving its schema.
 
-A version log is a small table with one row per commit. A commit writes only its own rows to a new folder
-and lists the folders that make up the table from then on, so an append never copies earlier rows and a
-rollback only adds a log row.
+Every row carries the time it was ingested at. The batches of one time are a snapshot, and the table as of a
+snapshot or time is the rows up to then, so that earlier states need no copies and no log of their own.
 """
 
 from __future__ import annotations
 
-import json
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LOG_SCHEMA = T.StructType(
-    [
-        T.StructField("snapshot_id", T.LongType()),
-        T.StructField("parent_id", T.LongType()),
-        T.StructField("committed_at", T.TimestampType()),
-        T.StructField("operation", T.StringType()),
-        T.StructField("summary", T.MapType(T.StringType(), T.StringType())),
-        T.StructField("folders", T.ArrayType(T.StringType())),
-        T.StructField("table_schema", T.StringType()),
-    ]
-)
-
-
-class VersionedTable:
-    """A parquet table below `path` whose commits can be read again."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
-        self.path = path
-
-    @property
-    def _log_path(self) -> str:
-        return f"{self.path}/log"
-
-    def log(self) -> DataFrame:
-        return self.spark.read.schema(LOG_SCHEMA).parquet(self._log_path)
-
-    def create(self) -> VersionedTable:
-        self.spark.createDataFrame([], LOG_SCHEMA).write.mode("overwrite").parquet(self._log_path)
-        return self
-
-    def current(self) -> Row | None:
-        return self.log().orderBy(F.col("snapshot_id").desc()).first()
-
-    def _record(
-        self, parent: Row | None, at: datetime, operation: str, added: int, total: int, folders: list[str], schema: str
-    ) -> int:
-        snapshot_id = parent["snapshot_id"] + 1 if parent else 1
-        summary = {"added-records": str(added), "total-records": str(total)}
-        entry = (snapshot_id, parent["snapshot_id"] if parent else None, at, operation, summary, folders, schema)
-        self.spark.createDataFrame([entry], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self._log_path)
-        return snapshot_id
-
-    def commit(self, df: DataFrame, at: datetime, operation: str = "append") -> int:
-        """Writes the rows of `df`. `append` keeps the earlier rows, `overwrite` starts anew."""
-        parent = self.current()
-        base = parent if operation == "append" else None
-        folder = f"{self.path}/commit={parent['snapshot_id'] + 1 if parent else 1}"
-        df.write.mode("overwrite").parquet(folder)
-        added = self.spark.read.schema(df.schema).parquet(folder).count()
-        total = added + (int(base["summary"]["total-records"]) if base else 0)
-        folders = [*base["folders"], folder] if base else [folder]
-        schema = merged_schema(T.StructType.fromJson(json.loads(base["table_schema"])), df.schema) if base else df.schema
-        return self._record(parent, at, operation, added, total, folders, schema.json())
-
-    def rollback_to(self, snapshot_id: int, at: datetime) -> int:
-        """Makes an earlier version current again, as a new log entry."""
-        entry = self.log().where(F.col("snapshot_id") == snapshot_id).first()
-        total = int(entry["summary"]["total-records"])
-        return self._record(self.current(), at, "rollback", 0, total, list(entry["folders"]), entry["table_schema"])
-
-    def rollback_to_timestamp(self, timestamp: datetime, at: datetime) -> int:
-        return self.rollback_to(self.snapshot_at(timestamp), at)
-
-    def snapshot_at(self, timestamp: datetime) -> int:
-        """The latest snapshot committed at or before `timestamp`."""
-        seen = self.log().where(F.col("committed_at") <= F.lit(timestamp))
-        found = seen.agg(F.max_by("snapshot_id", "committed_at")).first()[0]
-        if found is None:
-            raise ValueError(f"no snapshot at or before {timestamp}")
-        return found
-
-    def read(self, snapshot_id: int | None = None, timestamp: datetime | None = None) -> DataFrame:
-        """The current rows, or those of a snapshot or time. Columns added later read as null in older rows.
-
-        The schema comes from the log, so that no file has to be opened to find it.
-        """
-        if timestamp is not None:
-            snapshot_id = self.snapshot_at(timestamp)
-        entry = self.current() if snapshot_id is None else self.log().where(F.col("snapshot_id") == snapshot_id).first()
-        schema = T.StructType.fromJson(json.loads(entry["table_schema"]))
-        return self.spark.read.schema(schema).parquet(*entry["folders"])
-
-    def snapshots(self, limit: int = 10) -> DataFrame:
-        """Newest first."""
-        return (
-            self.log()
-            .orderBy(F.col("committed_at").desc(), F.col("snapshot_id").desc())
-            .limit(limit)
-            .select(
-                "snapshot_id",
-                "parent_id",
-                "operation",
-                F.try_element_at("summary", F.lit("added-records")).alias("added_records"),
-                F.try_element_at("summary", F.lit("total-records")).alias("total_records"),
-                "committed_at",
-            )
-        )
-
-    def history(self) -> DataFrame:
-        """Log entries with a flag for the current one and its ancestors.
-
-        The log has one row per commit, so the chain of parents is followed on the driver.
-        """
-        parents = {row["snapshot_id"]: row["parent_id"] for row in self.log().select("snapshot_id", "parent_id").collect()}
-        chain, step = [], max(parents, default=None)
-        while step is not None:
-            chain.append(step)
-            step = parents[step]
-        return self.log().select(
-            F.col("committed_at").alias("made_current_at"),
-            "snapshot_id",
-            "parent_id",
-            F.col("snapshot_id").isin(chain).alias("is_current_ancestor"),
-        )
-
-
-def merged_schema(before: T.StructType, added: T.StructType) -> T.StructType:
-    """The earlier columns, then the new ones; a column cannot change its type in an append."""
-    known = {f.name: f.dataType for f in before}
-    for field in added:
-        if field.name in known and known[field.name] != field.dataType:
-            raise ValueError(f"column {field.name} is {known[field.name].simpleString()}, not {field.dataType.simpleString()}")
-    return T.StructType([*before, *[f for f in added if f.name not in known]])
+from cartwright.functions.events import draw
+
+INGESTED = "_ingestion_time"
+
+
+def snapshot_log(df: DataFrame) -> DataFrame:
+    """snapshot_id, parent_id, committed_at, added_records and total_records, one row per ingestion time.
+
+    The windows run over one row per ingestion time.
+    """
+    added = df.groupBy(F.col(INGESTED).alias("committed_at")).agg(F.count("*").alias("added_records"))
+    in_order = Window.orderBy("committed_at")
+    return added.select(
+        F.row_number().over(in_order).cast("long").alias("snapshot_id"),
+        F.lag(F.lit(1)).over(in_order).alias("has_parent"),
+        "committed_at",
+        "added_records",
+        F.sum("added_records").over(in_order).alias("total_records"),
+    ).select(
+        "snapshot_id",
+        F.when(F.col("has_parent").isNotNull(), F.col("snapshot_id") - 1).alias("parent_id"),
+        "committed_at",
+        "added_records",
+        "total_records",
+    )
+
+
+def snapshots(df: DataFrame, limit: int = 10) -> DataFrame:
+    """Newest first."""
+    log = snapshot_log(df).withColumn("operation", F.lit("append"))
+    counts = {c: F.col(c).cast("string") for c in ("added_records", "total_records")}
+    return log.withColumns(counts).orderBy(F.col("committed_at").desc()).limit(limit)
+
+
+def as_of_time(df: DataFrame, time: datetime | Column) -> DataFrame:
+    """The rows that were there at a time."""
+    return df.where(F.col(INGESTED) <= (time if isinstance(time, Column) else F.lit(time)))
+
+
+def as_of_snapshot(df: DataFrame, snapshot_id: int) -> DataFrame:
+    """The rows that were there after a snapshot; a roll-back to it reads the same rows."""
+    log = snapshot_log(df).where(F.col("snapshot_id") == snapshot_id)
+    return as_of_time(df, log.agg(F.max("committed_at")).scalar())
+
+
+def history(df: DataFrame, current: int | None = None) -> DataFrame:
+    """Snapshots with a flag for the current one (the last by default) and its ancestors."""
+    log = snapshot_log(df)
+    reached = F.lit(True) if current is None else F.col("snapshot_id") <= current
+    return log.select(
+        F.col("committed_at").alias("made_current_at"), "snapshot_id", "parent_id", reached.alias("is_current_ancestor")
+    )
 
 
 def catalog_table_as_of(
@@ -227,6 +153,19 @@ def backfill(df: DataFrame, column: str, default: Column) -> DataFrame:
     return df.withColumn(column, F.coalesce(F.col(column), default))
 
 
+# Chance in percent of each payment method, tried in this order with a new draw each.
+PAYMENT_CHANCES = [("credit_card", 40), ("debit_card", 70), ("paypal", 85), ("bank_transfer", 95)]
+PAYMENT_DEFAULT = "cash"
+
+
+def payment_method(key: Column) -> Column:
+    """A payment method for rows from before the column existed, the same for a key on every run."""
+    method = F.lit(PAYMENT_DEFAULT)
+    for label, chance in reversed(PAYMENT_CHANCES):
+        method = F.when(draw(f"payment-{label}", key, 100) < chance, label).otherwise(method)
+    return method
+
+
 def tag_schema_version(df: DataFrame, column: str) -> DataFrame:
     """Tells rows from before and after the column was added apart."""
     label = F.when(F.col(column).isNull(), "Old Data (before schema change)").otherwise("New Data (after schema change)")

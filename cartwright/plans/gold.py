@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cartwright.functions import events as ev
 from cartwright.functions import segments as sg
 from cartwright.functions.money import conversion_rate, exact_mean, from_cents, mean_cents, percent, ratio, to_cents
-from cartwright.operators.ranking import WINDOW_ROWS, add_dense_ranks, add_ntiles
+from cartwright.operators.ranking import add_dense_ranks, add_ntiles
 from cartwright.plans.silver import count_type, of_type, purchase_cents
 
 SCORE_TILES = 5
@@ -226,34 +226,33 @@ def rfm_base_asof(stg: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def add_rfm_scores(base: DataFrame, window_rows: int = WINDOW_ROWS) -> DataFrame:
-    """Quintile scores (5 is best), their sum and their digits; ties go by user."""
+def add_rfm_scores(base: DataFrame) -> DataFrame:
+    """Quintile scores (5 is best), their sum and their digits; ties go by user.
+
+    A customer without a purchase date has no recency and comes last, which is score 5.
+    """
     values = {
         "r_score": -F.col("recency"),
         "f_score": F.col("frequency"),
         "m_score": to_cents(F.col("monetary")),
     }
-    scored = add_ntiles(base, SCORE_TILES, values, "user_id", window_rows)
+    scored = add_ntiles(base, SCORE_TILES, values, "user_id")
     r, f, m = (F.col(name) for name in values)
     return scored.withColumns({"rfm_score": r + f + m, "rfm_string": F.concat_ws("", r, f, m)})
 
 
-def customer_rfm(silver: DataFrame, window_rows: int = WINDOW_ROWS) -> DataFrame:
+def customer_rfm(silver: DataFrame) -> DataFrame:
     """Segmented customers, job variant with eight segments."""
-    scored = add_rfm_scores(rfm_base(silver), window_rows)
+    scored = add_rfm_scores(rfm_base(silver))
     scores = (F.col("r_score"), F.col("f_score"), F.col("m_score"))
-    # The customer with the smallest recency bought on the reference date.
     return scored.withColumns(
-        {
-            "customer_segment": sg.segment_8(*scores),
-            "segment_date": F.date_add("last_purchase_date", F.col("recency")),
-        }
+        {"customer_segment": sg.segment_8(*scores), "segment_date": last_purchase_date(silver)}
     )
 
 
-def dim_customer_rfm(stg: DataFrame, as_of: Column, window_rows: int = WINDOW_ROWS) -> DataFrame:
+def dim_customer_rfm(stg: DataFrame, as_of: Column) -> DataFrame:
     """Segmented customers, SQL-model variant with twelve segments and a contact priority."""
-    scored = add_rfm_scores(rfm_base_asof(stg, as_of), window_rows)
+    scored = add_rfm_scores(rfm_base_asof(stg, as_of))
     scores = (F.col("r_score"), F.col("f_score"), F.col("m_score"))
     return scored.select(
         "user_id",
@@ -327,7 +326,7 @@ def product_performance(silver: DataFrame) -> DataFrame:
     )
 
 
-def product_ranks(performance: DataFrame, window_rows: int = WINDOW_ROWS) -> DataFrame:
+def product_ranks(performance: DataFrame) -> DataFrame:
     """Product performance with dense ranks by revenue and by purchases over all products."""
     values = {"revenue_rank": to_cents(F.col("total_revenue")), "purchase_rank": F.col("purchases")}
-    return add_dense_ranks(performance, values, window_rows)
+    return add_dense_ranks(performance, values)

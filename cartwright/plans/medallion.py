@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from threading import Lock
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,16 +10,18 @@ from pyspark.sql import functions as F
 
 from cartwright.operators.sinks import write_clustered, write_partitioned, write_small_partitions
 from cartwright.plans import gold, silver
+from cartwright.session import run_together, scratch_scope
 
 # Table: builder, partition columns, audit column.
 _TABLES: dict[str, tuple[Callable[["Medallion"], DataFrame], list[str], str | None]] = {
     "bronze.events_raw": (lambda m: m.source(), ["event_date"], None),
+    "silver.events_deduplicated": (lambda m: silver.deduplicated(m["bronze.events_raw"]), [], None),
     "silver.events_cleaned": (
-        lambda m: silver.events_cleaned(m["bronze.events_raw"]),
+        lambda m: silver.events_cleaned(m["silver.events_deduplicated"]),
         ["event_year", "event_month"],
         "_transform_time",
     ),
-    "silver.stg_events": (lambda m: silver.stg_events(m["bronze.events_raw"]), ["event_date"], "_transform_time"),
+    "silver.stg_events": (lambda m: silver.stg_events(m["silver.events_deduplicated"]), ["event_date"], "_transform_time"),
     "silver.dim_products": (lambda m: silver.dim_products(m["silver.events_cleaned"]), [], "_created_at"),
     "silver.dim_users": (lambda m: silver.dim_users(m["silver.events_cleaned"]), [], "_created_at"),
     "silver.stg_products": (lambda m: silver.stg_products(m["silver.stg_events"]), [], "_created_at"),
@@ -63,8 +64,7 @@ _TABLES: dict[str, tuple[Callable[["Medallion"], DataFrame], list[str], str | No
     ),
 }
 
-# Deduplicated events come out of a shuffle and fill few month partitions. Sorted by type, a reader of
-# purchases skips the row groups of all other events.
+# Sorted by type, a reader of purchases skips the row groups of all other events.
 CLUSTERED = {"silver.events_cleaned": ["event_type", "event_date"]}
 # At most one row per hour and event type in each day.
 SMALL_PARTITIONS = {"gold.hourly_traffic"}
@@ -110,14 +110,15 @@ class Medallion:
 
     def _build(self, name: str) -> DataFrame:
         build, partition_by, audit = _TABLES[name]
-        df = build(self)
-        stamped = df.withColumn(audit, F.current_timestamp()) if audit else df
-        if name in CLUSTERED:
-            write_clustered(stamped, self.path(name), partition_by, CLUSTERED[name])
-        elif name in SMALL_PARTITIONS:
-            write_small_partitions(stamped, self.path(name), *partition_by)
-        else:
-            write_partitioned(stamped, self.path(name), *partition_by)
+        with scratch_scope(self.spark):
+            df = build(self)
+            stamped = df.withColumn(audit, F.current_timestamp()) if audit else df
+            if name in CLUSTERED:
+                write_clustered(stamped, self.path(name), partition_by, CLUSTERED[name])
+            elif name in SMALL_PARTITIONS:
+                write_small_partitions(stamped, self.path(name), *partition_by)
+            else:
+                write_partitioned(stamped, self.path(name), *partition_by)
         return self.spark.read.schema(stamped.schema).parquet(self.path(name)).select(*stamped.columns)
 
     def build(self, names: list[str]) -> None:
@@ -127,5 +128,4 @@ class Medallion:
         """
         shared = "silver.stg_events" if set(names) <= set(MODEL_TABLES) else "silver.events_cleaned"
         self[shared]
-        with ThreadPoolExecutor(len(names)) as pool:
-            list(pool.map(self.__getitem__, names))
+        run_together(*[lambda n=name: self[n] for name in names])

@@ -6,15 +6,92 @@ quotients are rounded half up in integer arithmetic, independently of how the qu
 
 from __future__ import annotations
 
-from cartwright.functions import events as ev
-from cartwright.functions import segments as sg
-from cartwright.operators.quality import SUITE
 from cartwright.plans import queries as q
-from cartwright.sources import commerce, generate
-from cartwright.sources.schemas import SERVING
+
+# Rules are written out here a second time, as SQL or as plain lists, and not taken from the code that is checked.
+FIRST_DELIVERY = ("2024-04-01 00:00:00", "20240401_000000")
+SECOND_DELIVERY = ("2024-04-02 00:00:00", "20240402_000000")
+SEGMENT_8 = """CASE WHEN r_score>=4 AND f_score>=4 AND m_score>=4 THEN 'Champions'
+    WHEN r_score>=3 AND f_score>=3 AND m_score>=3 THEN 'Loyal Customers'
+    WHEN r_score>=4 AND f_score<=2 THEN 'New Customers'
+    WHEN r_score>=3 AND f_score>=3 AND m_score<=2 THEN 'Potential Loyalists'
+    WHEN r_score<=2 AND f_score>=4 THEN 'At Risk'
+    WHEN r_score<=2 AND f_score<=2 AND m_score>=3 THEN 'Can''t Lose Them'
+    WHEN r_score<=2 AND f_score<=2 THEN 'Lost Customers' ELSE 'Others' END"""
+SEGMENT_12 = """CASE WHEN r_score>=4 AND f_score>=4 AND m_score>=4 THEN 'Champions'
+    WHEN r_score>=3 AND f_score>=3 AND m_score>=3 THEN 'Loyal Customers'
+    WHEN r_score>=4 AND f_score BETWEEN 2 AND 4 THEN 'Potential Loyalists'
+    WHEN r_score>=4 AND f_score<=2 THEN 'New Customers'
+    WHEN r_score>=3 AND f_score<=2 THEN 'Promising'
+    WHEN r_score BETWEEN 2 AND 3 AND f_score BETWEEN 2 AND 3 THEN 'Need Attention'
+    WHEN r_score<=3 AND f_score<=3 AND m_score<=3 THEN 'About to Sleep'
+    WHEN r_score<=2 AND f_score>=3 THEN 'At Risk'
+    WHEN r_score<=2 AND m_score>=4 THEN 'Cant Lose Them'
+    WHEN r_score<=2 AND f_score<=2 THEN 'Hibernating'
+    WHEN r_score=1 THEN 'Lost' ELSE 'Other' END"""
+SEGMENT_6 = """CASE WHEN r_score>=4 AND f_score>=4 AND m_score>=4 THEN 'Champions'
+    WHEN r_score>=3 AND f_score>=3 AND m_score>=3 THEN 'Loyal Customers'
+    WHEN r_score>=4 AND f_score<=2 THEN 'New Customers'
+    WHEN r_score<=2 AND f_score>=4 THEN 'At Risk'
+    WHEN r_score<=2 AND f_score<=2 THEN 'Lost' ELSE 'Others' END"""
+PRIORITY = """CASE WHEN r_score>=4 AND f_score>=4 AND m_score>=4 THEN 1 WHEN r_score<=2 AND m_score>=4 THEN 2
+    WHEN r_score<=2 AND f_score>=3 THEN 3 WHEN r_score>=3 AND f_score>=3 AND m_score>=3 THEN 4
+    WHEN r_score>=4 AND f_score<=2 THEN 5 ELSE 6 END"""
+ACTION = """CASE customer_segment WHEN 'Champions' THEN 'VIP - Priority support'
+    WHEN 'Loyal Customers' THEN 'High Value - Retention focus' WHEN 'Potential Loyalist' THEN 'High Value - Retention focus'
+    WHEN 'New Customers' THEN 'Nurture - Welcome program' WHEN 'At Risk' THEN 'Win Back - Re-engagement'
+    WHEN 'About to Sleep' THEN 'Win Back - Re-engagement' ELSE 'Standard' END"""
+HEALTH = """CASE WHEN overall_conversion_rate>=5 THEN 'Excellent' WHEN overall_conversion_rate>=2 THEN 'Good'
+    WHEN overall_conversion_rate>=1 THEN 'Average' ELSE 'Needs Improvement' END"""
+PAYMENTS = [("credit_card", 40), ("debit_card", 70), ("paypal", 85), ("bank_transfer", 95)]
+SEGMENTS_12 = [
+    "Champions", "Loyal Customers", "Potential Loyalists", "New Customers", "Promising", "Need Attention",
+    "About to Sleep", "At Risk", "Cant Lose Them", "Hibernating", "Lost", "Other",
+]
+# Table: unique columns, columns without null, accepted values.
+TESTS = {
+    "stg_events": (
+        ["event_id"],
+        ["event_id", "event_time", "event_type", "user_id", "product_id", "price"],
+        {"event_type": ["view", "cart", "purchase", "remove_from_cart"]},
+    ),
+    "stg_products": (["product_id"], ["product_id"], {}),
+    "stg_users": (["user_id"], ["user_id", "first_seen", "last_seen", "total_events"], {}),
+    "fct_daily_sales": (["sale_id"], ["sale_id", "sale_date", "total_revenue", "order_count"], {}),
+    "fct_funnel": (["analysis_date"], ["analysis_date"], {}),
+    "dim_customer_rfm": (
+        ["user_id"],
+        ["user_id", "recency", "frequency", "monetary", "customer_segment", "rfm_score"],
+        {"customer_segment": SEGMENTS_12},
+    ),
+}
+# Serving columns and types; the names are those of the gold tables but for the date.
+SERVED = {
+    "daily_sales": """sale_date date, category_level1 string, category_level2 string, order_count bigint,
+        unique_customers bigint, unique_products bigint, total_revenue decimal(18,2), avg_order_value decimal(18,2),
+        min_order_value decimal(18,2), max_order_value decimal(18,2), revenue_per_customer decimal(18,2), sale_year int,
+        sale_month smallint, sale_quarter smallint, sale_week smallint, _aggregated_at timestamp""",
+    "funnel_analysis": """analysis_date date, views bigint, carts bigint, purchases bigint, unique_viewers bigint,
+        unique_carters bigint, unique_purchasers bigint, total_revenue decimal(18,2), view_to_cart_rate decimal(18,2),
+        cart_to_purchase_rate decimal(18,2), overall_conversion_rate decimal(18,4), user_view_to_cart_rate decimal(18,2),
+        user_cart_to_purchase_rate decimal(18,2), avg_revenue_per_purchaser decimal(18,2), analysis_year int,
+        analysis_month smallint, _aggregated_at timestamp""",
+    "customer_rfm": """user_id bigint, recency bigint, frequency bigint, monetary decimal(18,2), r_score smallint,
+        f_score smallint, m_score smallint, rfm_score smallint, rfm_string string, customer_segment string,
+        first_purchase_date date, last_purchase_date date, avg_order_value decimal(18,2), unique_products_bought bigint,
+        segment_date date, _aggregated_at timestamp""",
+    "product_performance": """product_id bigint, category_level1 string, category_level2 string, brand string, views bigint,
+        carts bigint, purchases bigint, total_revenue decimal(18,2), avg_price decimal(18,2), unique_users bigint,
+        cart_rate decimal(18,2), purchase_rate decimal(18,4), cart_to_purchase_rate decimal(18,2), revenue_rank bigint,
+        purchase_rank bigint, _aggregated_at timestamp""",
+}
+QUANTITY_UNITS = [(10**15, "quadrillion"), (10**12, "trillion"), (10**9, "billion"), (10**6, "million"), (10**3, "thousand")]
+RAW_COLUMNS = [
+    "event_time", "event_type", "product_id", "category_id", "category_code", "brand", "price", "user_id", "user_session",
+]
 
 KEY = "event_time, event_type, product_id, user_id, user_session"
-RAW = ", ".join(commerce.RAW_COLUMNS)
+RAW = ", ".join(RAW_COLUMNS)
 
 
 def _div(num: str, den: str, scale: int) -> str:
@@ -62,67 +139,24 @@ def _key_md5(*columns: str) -> str:
     return "md5(" + "||'|'||".join(f"coalesce(cast({c} as varchar),'_NULL_')" for c in columns) + ")"
 
 
-def _values(rows: list[tuple], columns: str) -> str:
-    def text(v) -> str:
-        if isinstance(v, str):
-            return "'" + v.replace("'", "''") + "'"
-        if isinstance(v, list):
-            return "[" + ",".join(map(text, v)) + "]"
-        return str(v)
-
-    return "(VALUES " + ",".join("(" + ",".join(map(text, r)) + ")" for r in rows) + f") AS t({columns})"
-
-
-def _rules(rules: list) -> str:
-    rows = [(n, value, *r, *f, *m) for n, (value, r, f, m) in enumerate(rules)]
-    return _values(rows, "ord, label, r1, r2, f1, f2, m1, m2")
-
-
-def _segment(rules: list, default) -> str:
-    """The label of the first rule whose score ranges all hold."""
-    fallback = str(default) if isinstance(default, int) else "'" + default + "'"
-    return (
-        f"coalesce((SELECT arg_min(label, ord) FROM {_rules(rules)} WHERE r_score BETWEEN r1 AND r2 "
-        f"AND f_score BETWEEN f1 AND f2 AND m_score BETWEEN m1 AND m2), {fallback})"
-    )
-
-
 def _draw(name: str, key: str, modulus: int) -> str:
     return f"(('0x'||substr(md5('{name}|'||cast({key} as varchar)),1,8))::bigint % {modulus})"
 
 
-def _hash_id(text: str) -> str:
-    return f"(('0x'||substr(md5({text}),1,15))::bigint % {generate.ID_SPACE})"
-
-
-def _weighted(name: str, key: str, weights: list[tuple[str, int]]) -> str:
-    rows, reached = [], 0
-    for label, weight in weights:
-        rows.append((label, reached, reached + weight))
-        reached += weight
-    return f"(SELECT label FROM {_values(rows, 'label, lo, hi')} WHERE {_draw(name, key, 100)} >= lo AND {_draw(name, key, 100)} < hi)"
-
-
 def _readable(hundredths: str) -> str:
     """Readable form of an amount given in hundredths."""
     text = f"printf('%d.%02d', ({hundredths})//100, ({hundredths})%100)"
-    for size, unit in reversed(generate_units()):
+    for size, unit in reversed(QUANTITY_UNITS):
         scaled = f"((2*({hundredths})+{size})//{2 * size})"
         text = f"CASE WHEN ({hundredths}) >= {size * 100} THEN printf('%d.%02d {unit}', {scaled}//100, {scaled}%100) ELSE {text} END"
     return text
 
 
-def generate_units() -> list[tuple[int, str]]:
-    from cartwright.functions.money import QUANTITY_UNITS
-
-    return QUANTITY_UNITS
-
-
 def _session(user: str, time: str = "event_time") -> str:
     return f"concat_ws('_', cast({user} as varchar), strftime({time}, '%Y%m%d'), cast(hour({time})//4 as varchar))"
 
 
-_first, _second = commerce.DELIVERIES
+_first, _second = FIRST_DELIVERY, SECOND_DELIVERY
 _LATEST_ORDER = (
     "_ingestion_time DESC, category_id DESC NULLS LAST, category_code DESC NULLS LAST, brand DESC NULLS LAST, "
     "price DESC NULLS LAST"
@@ -219,7 +253,7 @@ CTES: dict[str, tuple[str, list[str]]] = {
         f"""SELECT user_id, recency, frequency, {_usd('cents')} AS monetary, first_purchase_date, last_purchase_date,
         {_avg('cents','frequency')} AS avg_order_value, unique_products_bought, r_score, f_score, m_score,
         r_score+f_score+m_score AS rfm_score, r_score||''||f_score||''||m_score AS rfm_string,
-        {_segment(sg.SEGMENTS_8, sg.SEGMENTS_8_DEFAULT.replace("'", "''"))} AS customer_segment,
+        {SEGMENT_8} AS customer_segment,
         (SELECT max(last_purchase_date) FROM buyers) AS segment_date, cents FROM scored""",
         ["scored"],
     ),
@@ -251,21 +285,6 @@ CTES: dict[str, tuple[str, list[str]]] = {
         ["bronze"],
     ),
     "v3": ("SELECT *, NULL::varchar AS payment_method FROM bronze UNION ALL SELECT * FROM third", ["bronze", "third"]),
-    "picked": (
-        "SELECT event_id AS key, item.* FROM events JOIN (SELECT * FROM "
-        + _values([(n, *row) for n, row in enumerate(generate.CATALOGUE)], "n, category_code, brand, prices")
-        + f") AS item ON item.n = {_draw('shelf', 'event_id', len(generate.CATALOGUE))}",
-        [],
-    ),
-    "choices": (
-        f"""SELECT key, {_hash_id(f"category_code||'_'||brand||'_'||({_draw('product', 'key', generate.PRODUCTS_PER_BRAND)}+1)")} AS product_id,
-        {_hash_id('category_code')} AS category_id, category_code, brand,
-        greatest(1, prices[{_draw('price','key',4)}+1]*100 + {_draw('spread','key',2 * generate.PRICE_SPREAD_CENTS + 1)} - {generate.PRICE_SPREAD_CENTS})/100.0::double AS price,
-        {_draw('user','key',generate.USERS)} + {generate.FIRST_USER} AS user_id,
-        cast(DATE '{q.PERIOD_END}' - {generate.PERIOD_DAYS} + cast({_draw('day','key',generate.PERIOD_DAYS + 1)} AS integer) AS timestamp)
-          + {_draw('second','key',86401)} * INTERVAL 1 SECOND AS start FROM picked""",
-        ["picked"],
-    ),
     "stg_daily": (
         f"""SELECT {_key_md5('event_date','category_level1','category_level2')} AS sale_id, event_date AS sale_date,
         * EXCLUDE (event_date), {_usd('cents')} AS total_revenue FROM sales""",
@@ -333,6 +352,14 @@ CATEGORY = "CASE WHEN trim(coalesce(category_code,''))='' THEN 'uncategorized' E
 BRAND = "CASE WHEN trim(coalesce(brand,''))='' THEN 'Unknown' ELSE trim(brand) END"
 PRICE = "CASE WHEN price IS NULL OR price<0 THEN 0.0::double ELSE price END"
 
+FCT_FUNNEL = f"""SELECT event_date AS analysis_date, views, carts, purchases, unique_viewers, unique_carters, unique_purchasers,
+            {_usd('cents')} AS total_revenue, {_pct('carts','views')} AS view_to_cart_rate, {_pct('purchases','carts')} AS cart_to_purchase_rate,
+            {_pct('purchases','views',4)} AS overall_conversion_rate, {_pct('unique_carters','unique_viewers')} AS user_view_to_cart_rate,
+            {_pct('unique_purchasers','unique_carters')} AS user_cart_to_purchase_rate,
+            {_pct('unique_purchasers','unique_viewers',4)} AS user_overall_conversion_rate,
+            {_mean('cents','unique_purchasers')} AS avg_revenue_per_purchaser, {_mean('cents','purchases')} AS avg_order_value,
+            year(event_date) AS analysis_year, month(event_date) AS analysis_month FROM counts"""
+
 
 def _units(rate: str) -> str:
     return f"cast(sum(cast(round({rate}*10000) as bigint)) as bigint)"
@@ -342,9 +369,40 @@ def _mean_rate(rate: str, scale: int) -> str:
     return _div(_units(rate), f"count({rate})*10000", scale)
 
 
+def _served_columns(table: str) -> list[tuple[str, str]]:
+    """(name, type) of the serving columns."""
+    return [tuple(part.split()) for part in SERVED[table].replace("(18,", "(18;").split(",")]
+
+
 def _serve(table: str, source: dict[str, str]) -> str:
-    """The serving contract: renamed columns, with amounts that need rounding given in `source`."""
-    return ", ".join(f"{source.get(column, column)} AS {name}" for name, column, _ in SERVING[table])
+    """The serving columns but the audit time, with amounts that need rounding given in `source`."""
+    renamed = {"sale_date": "event_date", "analysis_date": "event_date"} | source
+    return ", ".join(f"{renamed.get(name, name)} AS {name}" for name, _ in _served_columns(table) if name != "_aggregated_at")
+
+
+def _served_sql() -> dict[str, str]:
+    """Table to the rows of its serving copy."""
+    cents = ("total_revenue", "min_order_value", "max_order_value")
+    sales = {"total_revenue": _usd("cents"), **{c: _rounded(c) for c in cents[1:]}}
+    sales |= {"avg_order_value": _mean("cents", "order_count"), "revenue_per_customer": _mean("cents", "unique_customers")}
+    return {
+        "daily_sales": f"SELECT {_serve('daily_sales', sales)} FROM sales",
+        "funnel_analysis": f"SELECT {_serve('funnel_analysis', {})} FROM funnel",
+        "customer_rfm": f"SELECT {_serve('customer_rfm', {'avg_order_value': _mean('cents', 'frequency')})} FROM rfm",
+        "product_performance": f"SELECT {_serve('product_performance', {'avg_price': 'rounded_price'})} FROM performance",
+    }
+
+
+def _serving_types() -> str:
+    parts = []
+    for table, body in _served_sql().items():
+        for n, (name, kind) in enumerate(_served_columns(table)):
+            counted = "*" if name == "_aggregated_at" else name
+            parts.append(
+                f"SELECT '{table}' AS table_name, {n}::bigint AS position, '{name}' AS column_name, "
+                f"'{kind.replace(';', ',')}' AS data_type, (SELECT count({counted}) FROM ({body})) AS value_count"
+            )
+    return _with(" UNION ALL ".join(parts), "sales", "funnel", "rfm", "performance")
 
 
 def _dq_tables() -> dict[str, tuple[str, list[str]]]:
@@ -358,7 +416,7 @@ def _dq_tables() -> dict[str, tuple[str, list[str]]]:
         "dim_customer_rfm": (
             f"""SELECT user_id, datediff('day', last_purchase_date, DATE '{q.AS_OF}') AS recency, frequency,
             cents AS monetary, r_score+f_score+m_score AS rfm_score,
-            {_segment(sg.SEGMENTS_12, sg.SEGMENTS_12_DEFAULT)} AS customer_segment FROM scored""",
+            {SEGMENT_12} AS customer_segment FROM scored""",
             ["scored"],
         ),
     }
@@ -366,16 +424,16 @@ def _dq_tables() -> dict[str, tuple[str, list[str]]]:
 
 def _dq(*kinds: str) -> str:
     tables, parts, needed = _dq_tables(), [], set()
-    for table, tests in SUITE.items():
+    for table, (unique, not_null, accepted) in TESTS.items():
         body, parents = tables[table]
         needed.update(parents)
         checks = []
         if "unique" in kinds:
-            checks += [(c, "unique", f"(SELECT count(*) FROM (SELECT {c} FROM x GROUP BY {c} HAVING count(*)>1 AND {c} IS NOT NULL))") for c in tests.unique]
+            checks += [(c, "unique", f"(SELECT count(*) FROM (SELECT {c} FROM x GROUP BY {c} HAVING count(*)>1 AND {c} IS NOT NULL))") for c in unique]
         if "not_null" in kinds:
-            checks += [(c, "not_null", f"(SELECT count(*) FROM x WHERE {c} IS NULL)") for c in tests.not_null]
+            checks += [(c, "not_null", f"(SELECT count(*) FROM x WHERE {c} IS NULL)") for c in not_null]
         if "accepted_values" in kinds:
-            for c, values in tests.accepted.items():
+            for c, values in accepted.items():
                 listed = ",".join("'" + v + "'" for v in values)
                 checks.append((c, "accepted_values", f"(SELECT count(*) FROM x WHERE {c} NOT IN ({listed}))"))
         for column, test, failures in checks:
@@ -401,19 +459,21 @@ def oracle_sql() -> dict[str, str]:
         "SELECT 'daily_sales' AS table_name, count(*) AS n FROM sales UNION ALL SELECT 'funnel_analysis', count(*) FROM counts "
         "UNION ALL SELECT 'customer_rfm', count(*) FROM buyers UNION ALL SELECT 'product_performance', count(*) FROM products"
     )
-    segment = lambda rules, default: rfm(
-        "SELECT user_id, r_score, f_score, m_score, "
-        + _segment(rules, default.replace("'", "''") if isinstance(default, str) else default)
-        + " AS segment FROM rfm"
+    segment = lambda rule: rfm(f"SELECT user_id, r_score, f_score, m_score, {rule} AS segment FROM rfm")
+    served = _served_sql()
+    dated = (
+        f"{RAW}, _ingestion_time, _batch_id, cast(event_time as date) AS event_date, year(event_time) AS event_year, "
+        "month(event_time) AS event_month"
     )
-    merged = (
-        f"SELECT {_key_md5(*KEY.split(', '))} AS event_id, event_time, event_type, product_id, user_id, {_rounded('price')} AS price, brand, _ingestion_time FROM silver"
+    stg_events = silver(
+        f"""{_key_md5(*KEY.split(', '))} AS event_id, event_time, event_date, event_year, event_month, day(event_date) AS event_day,
+        event_hour, dayofweek(event_date)+1 AS day_of_week, event_type, product_id, category_id, category_code, category_level1,
+        category_level2, category_level3, brand, brand_normalized, {_rounded('price')} AS price, {RAW_PRICE_TIER.format(p='raw_price')} AS price_tier,
+        user_id, user_session, NULL::varchar AS payment_method, is_weekend, _ingestion_time, _batch_id"""
     )
-    latest_raw = _with(f"SELECT {RAW}, _ingestion_time FROM latest", "latest")
     monthly = f"""SELECT sale_year, sale_month, category_level1, cast(sum(order_count) as bigint) AS total_orders,
         cast(sum(unique_customers) as bigint) AS total_customers, {_usd(SUM_CENTS)} AS total_revenue FROM sales
         GROUP BY sale_year, sale_month, category_level1"""
-    by_type = "SELECT event_type, count(*) AS event_count FROM {t} GROUP BY event_type"
     top_products = f"SELECT product_id, brand, category_level1, purchases, total_revenue, purchase_rate, revenue_rank FROM performance ORDER BY cents DESC, product_id, category_level1, category_level2, brand LIMIT "
     growth = "(cents-prev)"
     wow = f"""SELECT week_start, {_usd('cents')} AS weekly_revenue, {_usd('prev')} AS prev_week_revenue,
@@ -424,15 +484,11 @@ def oracle_sql() -> dict[str, str]:
         {_usd('cents')} AS monetary, first_purchase_date, last_purchase_date, {_mean('cents','frequency')} AS avg_order_value,
         unique_products_bought, datediff('day', first_purchase_date, last_purchase_date) AS customer_lifespan_days"""
     payment_key = "user_session||'/'||cast(event_time as varchar)"
-    payments = f"'{generate.PAYMENT_DEFAULT}'"
-    for label, chance in reversed(generate.PAYMENT_CHANCES):
+    payments = "'cash'"
+    for label, chance in reversed(PAYMENTS):
         payments = f"CASE WHEN {_draw(f'payment-{label}', payment_key, 100)} < {chance} THEN '{label}' ELSE {payments} END"
     # The CSV reader gives null for an empty text.
     csv_raw = RAW.replace("brand", "nullif(brand,'') AS brand")
-    steps = _values(
-        [(kind, n, minute, event) for kind, plan in generate.JOURNEY_STEPS.items() for n, (minute, event) in enumerate(plan)],
-        "kind, n, minute, event_type",
-    )
     raw_types = [
         ("event_time", "timestamp"), ("event_type", "string"), ("product_id", "bigint"), ("category_id", "bigint"),
         ("category_code", "string"), ("brand", "string"), ("price", "double"), ("user_id", "bigint"),
@@ -454,7 +510,7 @@ def oracle_sql() -> dict[str, str]:
         "scan_table": silver(CLEAN_COLUMNS.format(weekend="is_weekend")),
         "scan_parquet": "SELECT * FROM events",
         "sink_partitioned_roundtrip": silver(CLEAN_COLUMNS.format(weekend="is_weekend")),
-        "sink_append": _with("SELECT _batch_id, count(*) AS row_count FROM bronze GROUP BY _batch_id", "bronze"),
+        "sink_append": bronze(f"{RAW}, _batch_id"),
         "compact_sorted": sales(f"SELECT {SALES_COLUMNS} FROM sales"),
         "sync_status": _with(
             f"SELECT table_name, n AS source_rows, n AS target_rows, true AS ok FROM ({gold_counts})",
@@ -466,51 +522,29 @@ def oracle_sql() -> dict[str, str]:
         ),
         "export_csv_projected": sales(exported),
         "export_csv_single": sales(exported),
-        "sink_truncate_reload": rfm("SELECT user_id, monetary, customer_segment FROM rfm"),
-        "external_table_read": products("SELECT product_id, brand, views, total_revenue, revenue_rank FROM performance"),
-        "serve_daily_sales": sales(
-            "SELECT "
-            + _serve(
-                "daily_sales",
-                {
-                    "total_revenue": _usd("cents"),
-                    "min_order_value": _rounded("min_order_value"),
-                    "max_order_value": _rounded("max_order_value"),
-                    "avg_order_value": _mean("cents", "order_count"),
-                    "revenue_per_customer": _mean("cents", "unique_customers"),
-                },
-            )
-            + " FROM sales"
-        ),
-        "serve_funnel": funnel(f"SELECT {_serve('funnel_analysis', {})} FROM funnel"),
-        "serve_rfm": rfm(f"SELECT {_serve('customer_rfm', {'avg_order_value': _mean('cents', 'frequency')})} FROM rfm"),
-        "serve_products": products(f"SELECT {_serve('product_performance', {'avg_price': 'rounded_price'})} FROM performance"),
-        "serve_layout_roundtrip": sales(
-            "SELECT "
-            + _serve(
-                "daily_sales",
-                {
-                    "total_revenue": _usd("cents"),
-                    "min_order_value": _rounded("min_order_value"),
-                    "max_order_value": _rounded("max_order_value"),
-                    "avg_order_value": _mean("cents", "order_count"),
-                    "revenue_per_customer": _mean("cents", "unique_customers"),
-                },
-            )
-            + f", year(event_date)*100+month(event_date) AS month FROM sales WHERE category_level1='{q.CATEGORIES[0]}'"
-        ),
-        "gen_events": _with(
-            f"""SELECT start AS event_time, {_weighted('type', 'key', generate.EVENT_WEIGHTS)} AS event_type, product_id, category_id,
-            category_code, brand, price, user_id, {_session('user_id', 'start')} AS user_session FROM choices""",
-            "choices",
-        ),
-        "gen_journeys": _with(
-            f"""SELECT start + s.minute * INTERVAL 1 MINUTE AS event_time, s.event_type, product_id, category_id, category_code,
-            brand, price, user_id, {_session('user_id', 'start')} AS user_session
-            FROM (SELECT *, {_weighted('journey', 'key', generate.JOURNEY_WEIGHTS)} AS kind, {_draw('views', 'key', 5)} AS extra FROM choices) v
-            JOIN (SELECT * FROM {steps}) s ON s.kind = v.kind AND (v.kind <> 'view_only' OR s.n <= v.extra)""",
-            "choices",
-        ),
+        "export_csv_text": bronze("user_session, _batch_id, brand, category_code"),
+        "sink_truncate_reload": rfm(f"SELECT {RFM_COLUMNS} FROM rfm"),
+        "external_table_read": products(f"SELECT {PERFORMANCE_COLUMNS}, revenue_rank, purchase_rank FROM performance"),
+        "serve_daily_sales": sales(served["daily_sales"]),
+        "serve_funnel": funnel(served["funnel_analysis"]),
+        "serve_rfm": rfm(served["customer_rfm"]),
+        "serve_products": products(served["product_performance"]),
+        "serve_layout_roundtrip": sales(f"SELECT *, year(sale_date)*100+month(sale_date) AS month FROM ({served['daily_sales']})"),
+        "serve_layout_funnel": funnel(
+            f"SELECT *, year(analysis_date)*100+month(analysis_date) AS month FROM ({served['funnel_analysis']})"
+        ),
+        "serve_layout_rfm": rfm(served["customer_rfm"]),
+        "serve_layout_products": products(served["product_performance"]),
+        "serving_types": _serving_types(),
+        "namespace_tables": "SELECT 'shop' AS namespace, unnest(['listed_sales', 'listed_funnel']) AS table_name",
+        "model_as_table": _with(FCT_FUNNEL, "counts"),
+        "model_as_view": sales(
+            "SELECT event_date, category_level1, cast(sum(order_count) as bigint) AS order_count FROM sales GROUP BY 1, 2"
+        ),
+        "data_files": silver("event_year, event_month, count(*) AS record_count, 1::bigint AS file_count")
+        + " GROUP BY event_year, event_month",
+        "event_sample": "SELECT * FROM events ORDER BY event_id LIMIT 5",
+        "sorted_table": _with("SELECT event_date, row_number() OVER (ORDER BY event_date) AS position FROM counts", "counts"),
         # cleaning and scalar rules
         "clean_brand": bronze(f"{BRONZE_ID}, {BRAND} AS brand"),
         "clean_category": bronze(f"{BRONZE_ID}, {CATEGORY} AS category_code"),
@@ -540,12 +574,7 @@ def oracle_sql() -> dict[str, str]:
         "dedupe_any": bronze(f"DISTINCT {KEY}"),
         "events_cleaned": silver(CLEAN_COLUMNS.format(weekend="is_weekend")),
         "events_cleaned_compat": silver(CLEAN_COLUMNS.format(weekend="(day(event_date) IN (0,6))")),
-        "stg_events": silver(
-            f"""{_key_md5(*KEY.split(', '))} AS event_id, event_time, event_date, event_year, event_month, day(event_date) AS event_day,
-            event_hour, dayofweek(event_date)+1 AS day_of_week, event_type, product_id, category_id, category_code, category_level1,
-            category_level2, category_level3, brand, brand_normalized, {_rounded('price')} AS price, {RAW_PRICE_TIER.format(p='raw_price')} AS price_tier,
-            user_id, user_session, NULL::varchar AS payment_method, is_weekend, _ingestion_time, _batch_id"""
-        ),
+        "stg_events": stg_events,
         "surrogate_key": bronze(f"{BRONZE_ID}, {_key_md5(*KEY.split(', '))} AS event_id"),
         "date_range_filter": _with(
             f"SELECT {RAW} FROM bronze WHERE cast(event_time as date) >= DATE '{q.RANGE_FIRST}' AND cast(event_time as date) <= DATE '{q.RANGE_LAST}'",
@@ -564,9 +593,9 @@ def oracle_sql() -> dict[str, str]:
             {_key_md5('product_id', 'category_level1', 'brand')} AS key FROM performance"""
         ),
         "session_bucket": silver(f"event_time, user_id, {_session('user_id')} AS session"),
-        "rfm_segments_8": segment(sg.SEGMENTS_8, sg.SEGMENTS_8_DEFAULT),
-        "rfm_segments_12": segment(sg.SEGMENTS_12, sg.SEGMENTS_12_DEFAULT),
-        "rfm_segments_6": segment(sg.SEGMENTS_6, sg.SEGMENTS_6_DEFAULT),
+        "rfm_segments_8": segment(SEGMENT_8),
+        "rfm_segments_12": segment(SEGMENT_12),
+        "rfm_segments_6": segment(SEGMENT_6),
         "readable_quantity": sales(
             f"""SELECT category_level1, {_usd('c')} AS revenue, o AS orders, {_readable('c')} AS revenue_text, {_readable('o*100')} AS orders_text
             FROM (SELECT category_level1, {SUM_CENTS} AS c, cast(sum(order_count) as bigint) AS o FROM sales GROUP BY 1)"""
@@ -618,16 +647,7 @@ def oracle_sql() -> dict[str, str]:
             "stg_daily",
         ),
         "funnel_daily": funnel(f"SELECT {FUNNEL_COLUMNS} FROM funnel"),
-        "fct_funnel": _with(
-            f"""SELECT event_date AS analysis_date, views, carts, purchases, unique_viewers, unique_carters, unique_purchasers,
-            {_usd('cents')} AS total_revenue, {_pct('carts','views')} AS view_to_cart_rate, {_pct('purchases','carts')} AS cart_to_purchase_rate,
-            {_pct('purchases','views',4)} AS overall_conversion_rate, {_pct('unique_carters','unique_viewers')} AS user_view_to_cart_rate,
-            {_pct('unique_purchasers','unique_carters')} AS user_cart_to_purchase_rate,
-            {_pct('unique_purchasers','unique_viewers',4)} AS user_overall_conversion_rate,
-            {_mean('cents','unique_purchasers')} AS avg_revenue_per_purchaser, {_mean('cents','purchases')} AS avg_order_value,
-            year(event_date) AS analysis_year, month(event_date) AS analysis_month FROM counts""",
-            "counts",
-        ),
+        "fct_funnel": _with(FCT_FUNNEL, "counts"),
         "funnel_overall": _with(
             f"""SELECT *, {_pct('total_carts','total_views')} AS overall_view_to_cart_pct, {_pct('total_purchases','total_carts')} AS overall_cart_to_purchase_pct,
             {_pct('total_purchases','total_views',4)} AS overall_conversion_pct FROM (SELECT cast(sum(views) as bigint) AS total_views,
@@ -639,11 +659,10 @@ def oracle_sql() -> dict[str, str]:
         ),
         "rfm_base_asof": _with(f"SELECT {rfm_asof} FROM buyers", "buyers"),
         "customer_rfm": rfm(f"SELECT {RFM_COLUMNS} FROM rfm"),
-        "customer_rfm_by_ranges": rfm(f"SELECT {RFM_COLUMNS} FROM rfm"),
         "dim_customer_rfm": _with(
             f"""SELECT {rfm_asof}, r_score, f_score, m_score, r_score+f_score+m_score AS rfm_score,
-            r_score||''||f_score||''||m_score AS rfm_string, {_segment(sg.SEGMENTS_12, sg.SEGMENTS_12_DEFAULT)} AS customer_segment,
-            cast({_segment(sg.PRIORITIES, sg.PRIORITY_DEFAULT)} as bigint) AS segment_priority, DATE '{q.AS_OF}' AS segment_date FROM scored""",
+            r_score||''||f_score||''||m_score AS rfm_string, {SEGMENT_12} AS customer_segment,
+            cast({PRIORITY} as bigint) AS segment_priority, DATE '{q.AS_OF}' AS segment_date FROM scored""",
             "scored",
         ),
         "hourly_traffic": _with(
@@ -658,7 +677,6 @@ def oracle_sql() -> dict[str, str]:
         ),
         "product_performance": products(f"SELECT {PERFORMANCE_COLUMNS} FROM performance"),
         "product_ranks": products(f"SELECT {PERFORMANCE_COLUMNS}, revenue_rank, purchase_rank FROM performance"),
-        "product_ranks_by_ranges": products(f"SELECT {PERFORMANCE_COLUMNS}, revenue_rank, purchase_rank FROM performance"),
         # annotated views
         "stg_daily_sales": sales(
             f"""SELECT event_date, category_level1, category_level2, order_count, unique_customers, unique_products, {_usd('cents')} AS total_revenue,
@@ -666,12 +684,10 @@ def oracle_sql() -> dict[str, str]:
             {_div('order_count','unique_customers',2)} AS orders_per_customer FROM sales"""
         ),
         "stg_customer_rfm": rfm(
-            f"""SELECT {RFM_COLUMNS}, coalesce((SELECT action FROM {_values([(s, a) for ss, a in sg.ACTIONS for s in ss], 'segment, action')}
-            WHERE segment = customer_segment), '{sg.ACTION_DEFAULT}') AS action_recommendation FROM rfm"""
+            f"SELECT {RFM_COLUMNS}, {ACTION} AS action_recommendation FROM rfm"
         ),
         "stg_funnel_analysis": funnel(
-            f"""SELECT {FUNNEL_COLUMNS}, coalesce((SELECT arg_max(label, low) FROM {_values(sg.HEALTH_BANDS, 'low, label')}
-            WHERE overall_conversion_rate >= low), '{sg.HEALTH_DEFAULT}') AS funnel_health FROM funnel"""
+            f"SELECT {FUNNEL_COLUMNS}, {HEALTH} AS funnel_health FROM funnel"
         ),
         "sales_quality_flags": sales(
             f"""SELECT event_date, category_level1, category_level2, order_count, {_usd('cents')} AS total_revenue,
@@ -798,9 +814,9 @@ def oracle_sql() -> dict[str, str]:
         "incremental_new_rows": _with(
             f"SELECT {RAW}, _ingestion_time FROM bronze WHERE _ingestion_time > TIMESTAMP '{_first[0]}'", "bronze"
         ),
-        "merge_upsert_events": _with(merged, "silver"),
-        "incremental_refresh": _with(merged, "silver"),
-        "stream_merge_events": latest_raw,
+        "merge_upsert_events": stg_events,
+        "incremental_refresh": stg_events,
+        "stream_merge_events": _with(f"SELECT {dated} FROM latest", "latest"),
         # versions and schema evolution
         "snapshot_list": _with(
             """SELECT 1::bigint AS snapshot_id, NULL::bigint AS parent_id, 'append' AS operation, cast(a as varchar) AS added_records,
@@ -813,8 +829,8 @@ def oracle_sql() -> dict[str, str]:
             ),
             "bronze", "third",
         ),
-        "asof_version": _with(by_type.format(t=f"bronze WHERE _batch_id='{_first[1]}'"), "bronze"),
-        "asof_timestamp": _with(by_type.format(t="bronze"), "bronze"),
+        "asof_version": _with(f"SELECT {dated}, payment_method FROM v3 WHERE _batch_id='{_first[1]}'", "v3"),
+        "asof_timestamp": _with(f"SELECT {dated}, payment_method FROM v3 WHERE _ingestion_time <= TIMESTAMP '2024-04-02 12:00:00'", "v3"),
         "snapshot_compare": _with(
             f"""SELECT 'older' AS version, count(*) AS row_count FROM bronze WHERE _batch_id='{_first[1]}'
             UNION ALL SELECT 'current', count(*) FROM v3""",
@@ -825,7 +841,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "snapshot_history": """SELECT TIMESTAMP '2024-04-01' + (n-1) * INTERVAL 1 DAY AS made_current_at, n AS snapshot_id,
             nullif(n-1,0) AS parent_id, true AS is_current_ancestor FROM (SELECT unnest([1,2,3]::bigint[]) AS n)""",
-        "rollback_read": _with(by_type.format(t=f"bronze WHERE _batch_id='{_first[1]}'"), "bronze"),
+        "rollback_read": _with(f"SELECT {dated}, payment_method FROM v3 WHERE _batch_id IN ('{_first[1]}', '{_second[1]}')", "v3"),
         "evolve_add_column": sales(
             f"SELECT event_date, category_level1, category_level2, {_usd('cents')} AS total_revenue, NULL::varchar AS sales_channel FROM sales"
         ),
@@ -843,7 +859,7 @@ def oracle_sql() -> dict[str, str]:
             {_usd('cents')} AS total_revenue, {_mean('cents','unique_customers')} AS revenue_per_customer, sale_quarter, sale_week FROM sales"""
         ),
         "partition_stats": silver(
-            "event_year, event_month, count(*) AS record_count, true AS has_files"
+            "event_year, event_month, count(*) AS record_count, 1::bigint AS file_count"
         )
         + " GROUP BY event_year, event_month",
         # data quality

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
-from functools import cached_property
+from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,13 +17,13 @@ from cartwright.functions.sql import register_sql_functions
 from cartwright.operators import dedupe, merge, models, quality, sinks, versions
 from cartwright.plans import gold, reports, serving, silver
 from cartwright.plans.medallion import Medallion
-from cartwright.session import dataset_dir, materialise, scratch_path
-from cartwright.sources import commerce, files, generate
+from cartwright.session import dataset_dir, materialise, read_if_written, scratch_path
+from cartwright.sources import commerce, files
+from cartwright.sources.schemas import AUDIT
 from cartwright.streaming import incremental
 
 # Parameters of the registered queries, shared with their SQL.
 AS_OF = "2024-04-15"
-PERIOD_END = "2024-07-01"
 RANGE_FIRST, RANGE_LAST = "2024-01-15", "2024-02-14"
 TREND_FIRST, TREND_BEFORE = "2024-02-01", "2024-04-01"
 CATEGORIES = ["economy", "small", "uncategorized"]
@@ -83,10 +83,15 @@ class Inputs:
     def traffic(self) -> DataFrame:
         return self.table("gold.hourly_traffic")
 
+    @property
+    def kept(self) -> DataFrame:
+        """The deduplicated events, as a written table."""
+        return self.lake["silver.events_deduplicated"]
+
     @cached_property
     def first_stg(self) -> DataFrame:
         """The event model after the first delivery, as a written table."""
-        return materialise(silver.stg_events(self.delivery(0)), "first-stg")
+        return materialise(event_model(self.delivery(0)), "first-stg")
 
     def delivery(self, number: int) -> DataFrame:
         return self.bronze.where(F.col("_batch_id") == commerce.DELIVERIES[number][1])
@@ -102,16 +107,10 @@ class Inputs:
             }
         )
 
-    def new_versions(self) -> versions.VersionedTable:
-        """Three commits: first delivery, redelivery, and rows with an added column."""
-        table = versions.VersionedTable(self.spark, scratch_path(self.spark, "versions")).create()
-        for df, at in zip([self.delivery(0), self.delivery(1), self.paid_purchases()], COMMITS):
-            table.commit(df, at)
-        return table
-
     @cached_property
-    def versions(self) -> versions.VersionedTable:
-        return self.new_versions()
+    def versions(self) -> DataFrame:
+        """First delivery, redelivery, and rows with an added column: three snapshots of one table."""
+        return self.bronze.unionByName(self.paid_purchases(), allowMissingColumns=True)
 
     @cached_property
     def model_tables(self) -> dict[str, DataFrame]:
@@ -145,6 +144,10 @@ def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
     return _lakes[key]
 
 
+def event_model(bronze: DataFrame) -> DataFrame:
+    return silver.stg_events(silver.deduplicated(bronze))
+
+
 def portable(df: DataFrame) -> DataFrame:
     """Column types every SQL engine has: all integers as long, decimals as double."""
     casts = {}
@@ -163,7 +166,9 @@ def _written_csv(i: Inputs) -> str:
     """The raw events as CSV files, with the time written as `... UTC` text."""
     path = i.scratch("csv")
     text = F.concat(F.col("event_time").cast("string"), F.lit(" UTC"))
-    sinks.export_csv(i.bronze.select(*commerce.RAW_COLUMNS).withColumn("event_time", text), path)
+    raw = i.bronze.select(*commerce.RAW_COLUMNS).withColumn("event_time", text)
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    raw.write.options(header=True, **blanks).csv(path)
     return path
 
 
@@ -188,7 +193,7 @@ def sink_append(i: Inputs) -> DataFrame:
     path = i.scratch("append")
     for number in range(len(commerce.DELIVERIES)):
         sinks.append(i.delivery(number), path, "event_year", "event_month")
-    return i.spark.read.parquet(path).groupBy("_batch_id").agg(F.count("*").alias("row_count"))
+    return i.spark.read.parquet(path).select(*commerce.RAW_COLUMNS, "_batch_id")
 
 
 def compact_sorted(i: Inputs) -> DataFrame:
@@ -213,6 +218,7 @@ def row_count_reconcile(i: Inputs) -> DataFrame:
 
 
 EXPORTED = ["event_date", "category_level1", "category_level2", "order_count", "unique_customers", "total_revenue"]
+TEXT_COLUMNS = ["user_session", "_batch_id", "brand", "category_code"]
 EXPORT_SCHEMA = (
     "event_date date, category_level1 string, category_level2 string, order_count long, "
     "unique_customers long, total_revenue double"
@@ -222,25 +228,91 @@ EXPORT_SCHEMA = (
 def export_csv_projected(i: Inputs) -> DataFrame:
     path = i.scratch("export")
     sinks.export_csv(i.sales, path, EXPORTED)
-    return i.spark.read.schema(EXPORT_SCHEMA).option("header", True).csv(path)
+    return sinks.read_exported_csv(i.spark, path, EXPORT_SCHEMA)
 
 
 def export_csv_single(i: Inputs) -> DataFrame:
     path = i.scratch("single")
-    sinks.export_csv_single(i.sales.select(*EXPORTED), path)
-    return i.spark.read.schema(EXPORT_SCHEMA).option("header", True).csv(path)
+    sinks.export_csv(i.sales, path, EXPORTED, single_file=True)
+    return sinks.read_exported_csv(i.spark, path, EXPORT_SCHEMA)
+
+
+def export_csv_text(i: Inputs) -> DataFrame:
+    """Raw text with blanks, empty values and nulls, written and read back."""
+    path = i.scratch("text")
+    sinks.export_csv(i.bronze, path, TEXT_COLUMNS)
+    return sinks.read_exported_csv(i.spark, path, i.bronze.select(*TEXT_COLUMNS).schema)
 
 
 def sink_truncate_reload(i: Inputs) -> DataFrame:
     path = i.scratch("reload")
     sinks.truncate_and_load(i.customers, path)
     sinks.truncate_and_load(i.customers, path)
-    return i.spark.read.parquet(path).select("user_id", "monetary", "customer_segment")
+    return i.spark.read.parquet(path).select(*i.customers.columns)
+
+
+NAMESPACE = "shop"
+
+
+def _catalog_table(i: Inputs, name: str, df: DataFrame, *partition_by: str) -> str:
+    """Writes `df` as a table of the namespace; its name."""
+    files.create_namespace(i.spark, NAMESPACE)
+    full = f"{NAMESPACE}.{name}"
+    i.spark.sql(f"DROP TABLE IF EXISTS {full}")
+    files.write_table(df, full, i.scratch(name), *partition_by)
+    return full
 
 
 def scan_table(i: Inputs) -> DataFrame:
-    i.silver.createOrReplaceTempView("silver_events")
-    return files.read_table(i.spark, "silver_events")
+    name = _catalog_table(i, "events_cleaned", i.silver, "event_year", "event_month")
+    return files.read_table(i.spark, name).select(*silver.CLEAN_COLUMNS)
+
+
+def namespace_tables(i: Inputs) -> DataFrame:
+    """The tables of the namespace after two were written."""
+    names = [_catalog_table(i, name, df) for name, df in (("listed_sales", i.sales), ("listed_funnel", i.funnel))]
+    listed = i.spark.sql(f"SHOW TABLES IN {NAMESPACE}").where(F.col("tableName").isin([n.split(".")[1] for n in names]))
+    return listed.select("namespace", F.col("tableName").alias("table_name"))
+
+
+def model_as_table(i: Inputs) -> DataFrame:
+    """A model kept as a table, built twice."""
+    name, path = f"{NAMESPACE}.fct_funnel", i.scratch("fct-funnel")
+    files.create_namespace(i.spark, NAMESPACE)
+    i.spark.sql(f"DROP TABLE IF EXISTS {name}")
+    for _ in range(2):
+        models.as_table(i.table("gold.fct_funnel"), name, path)
+    return files.read_table(i.spark, name)
+
+
+def model_as_view(i: Inputs) -> DataFrame:
+    """A model kept as a catalog view over a table."""
+    table = _catalog_table(i, "daily_sales", i.sales)
+    query = f"SELECT event_date, category_level1, sum(order_count) AS order_count FROM {table} GROUP BY event_date, category_level1"
+    models.as_view(i.spark, query, f"{NAMESPACE}.sales_by_category")
+    return files.read_table(i.spark, f"{NAMESPACE}.sales_by_category")
+
+
+def data_files(i: Inputs) -> DataFrame:
+    """The rows of each data file of a table, summed up by its month."""
+    listed = versions.file_stats(_clustered_events(i))
+    year, month = (F.regexp_extract("file_path", f"{c}=([0-9]+)/", 1).cast("int") for c in ("event_year", "event_month"))
+    by_month = listed.groupBy(year.alias("event_year"), month.alias("event_month"))
+    return by_month.agg(F.sum("record_count").alias("record_count"), F.count("*").alias("file_count"))
+
+
+def event_sample(i: Inputs) -> DataFrame:
+    """The first raw events."""
+    return files.sample(files.read_parquet(i.spark, f"{i.sf_dir}/events.parquet").orderBy("event_id"))
+
+
+def sorted_table(i: Inputs) -> DataFrame:
+    """The funnel with its place in a global sort."""
+    path = i.scratch("sorted")
+    i.funnel.orderBy("event_date").write.parquet(path)
+    place = F.struct("_metadata.file_path", "_metadata.row_index")
+    rows = i.spark.read.parquet(path).withColumn("place", place)
+    return rows.select("event_date", F.row_number().over(Window.orderBy("place")).alias("position"))
 
 
 def external_table_read(i: Inputs) -> DataFrame:
@@ -248,36 +320,50 @@ def external_table_read(i: Inputs) -> DataFrame:
     name = "external_product_performance"
     i.spark.sql(f"DROP TABLE IF EXISTS {name}")
     table = files.external_table(i.spark, name, i.lake.path("gold.product_performance"))
-    return table.select("product_id", "brand", "views", "total_revenue", "revenue_rank")
+    return table.drop(AUDIT)
 
 
-def serve_layout_roundtrip(i: Inputs) -> DataFrame:
-    path = i.scratch("layout")
-    sinks.write_serving(i.sales, "daily_sales", path)
-    return i.spark.read.parquet(path).where(F.col("category_level1") == CATEGORIES[0])
+def _served_copy(table: str) -> Callable[[Inputs], DataFrame]:
+    """All rows of a written serving copy, without the audit time."""
 
+    def query(i: Inputs) -> DataFrame:
+        path = i.scratch(f"layout-{table}")
+        sinks.write_serving(i.gold_tables()[table], table, path)
+        return i.spark.read.parquet(path).drop(AUDIT)
 
-# --- versions --------------------------------------------------------------------------------------
+    return query
 
 
-def _by_type(df: DataFrame) -> DataFrame:
-    return df.groupBy("event_type").agg(F.count("*").alias("event_count"))
+def serving_types(i: Inputs) -> DataFrame:
+    """Table, place, name, type and number of values of every serving column."""
+    parts = []
+    for table, gold_table in i.gold_tables().items():
+        served = serving.serve(gold_table, table)
+        columns = [
+            F.struct(
+                F.lit(table).alias("table_name"),
+                F.lit(n).cast("long").alias("position"),
+                F.lit(field.name).alias("column_name"),
+                F.lit(field.dataType.simpleString()).alias("data_type"),
+                F.count(field.name).alias("value_count"),
+            )
+            for n, field in enumerate(served.schema)
+        ]
+        parts.append(served.agg(F.array(*columns).alias("columns")).select(F.inline("columns")))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def rollback_read(i: Inputs) -> DataFrame:
-    table = i.new_versions()
-    table.rollback_to(1, COMMITS[2] + timedelta(days=1))
-    return _by_type(table.read())
+# --- versions --------------------------------------------------------------------------------------
 
 
 def snapshot_diff(i: Inputs) -> DataFrame:
-    older, current = i.versions.read(1), i.versions.read(2)
+    older, current = (versions.as_of_snapshot(i.versions, n) for n in (1, 2))
     changes = versions.diff_rows(older.drop("_source_file"), current.drop("_source_file"))
     return changes.select(*commerce.RAW_COLUMNS, "_batch_id", "change", "copies")
 
 
 def schema_version_tag(i: Inputs) -> DataFrame:
-    tagged = versions.tag_schema_version(i.versions.read(), "payment_method")
+    tagged = versions.tag_schema_version(i.versions, "payment_method")
     order = [
         F.col("payment_method").isNotNull(),
         F.col("event_time").desc(),
@@ -288,11 +374,14 @@ def schema_version_tag(i: Inputs) -> DataFrame:
     return tagged.orderBy(*order).limit(10).select("event_type", "user_id", "price", "payment_method", "data_version")
 
 
+def _clustered_events(i: Inputs) -> DataFrame:
+    path = i.scratch("clustered")
+    sinks.write_clustered(i.silver, path, ["event_year", "event_month"], ["event_type"])
+    return i.spark.read.parquet(path)
+
+
 def partition_stats(i: Inputs) -> DataFrame:
-    i.silver
-    table = i.spark.read.parquet(i.lake.path("silver.events_cleaned"))
-    stats = versions.partition_stats(table, "event_year", "event_month")
-    return stats.select("event_year", "event_month", "record_count", (F.col("file_count") > 0).alias("has_files"))
+    return versions.partition_stats(_clustered_events(i), "event_year", "event_month")
 
 
 def evolve_add_column(i: Inputs) -> DataFrame:
@@ -313,7 +402,7 @@ def evolve_rename_drop_cast(i: Inputs) -> DataFrame:
 
 def backfill_default(i: Inputs) -> DataFrame:
     filled = versions.backfill(
-        i.versions.read(), "payment_method", generate.payment_method(F.concat_ws("/", "user_session", "event_time"))
+        i.versions, "payment_method", versions.payment_method(F.concat_ws("/", "user_session", "event_time"))
     )
     return filled.groupBy("event_type", "payment_method").agg(F.count("*").alias("event_count"))
 
@@ -325,20 +414,20 @@ def incremental_new_rows(i: Inputs) -> DataFrame:
     return merge.new_rows(i.bronze, i.first_stg).select(*commerce.RAW_COLUMNS, "_ingestion_time")
 
 
-MERGED = ["event_id", "event_time", "event_type", "product_id", "user_id", "price", "brand", "_ingestion_time"]
-
-
 def merge_upsert_events(i: Inputs) -> DataFrame:
-    batch = materialise(silver.stg_events(merge.new_rows(i.bronze, i.first_stg)), "merge-batch")
-    return merge.upsert(i.first_stg, batch, "event_id").select(*MERGED)
+    """The first load as a table, and what came later merged into it."""
+    path = i.scratch("merged")
+    for batch in (i.first_stg, event_model(merge.new_rows(i.bronze, i.first_stg))):
+        merge.merge_into(i.spark, path, batch, ["event_id"], ["_ingestion_time"], "event_date")
+    return read_if_written(i.spark, path).drop("_source_file")
 
 
 def incremental_refresh(i: Inputs) -> DataFrame:
     """The event model after a first load and one incremental run."""
     path = i.scratch("incremental")
     for source in (i.delivery(0), i.bronze):
-        models.as_incremental(i.spark, source, silver.stg_events, path, "event_id", "_ingestion_time", "event_date")
-    return i.spark.read.parquet(path).select(*MERGED)
+        models.as_incremental(i.spark, source, event_model, path, "event_id", "_ingestion_time", "event_date")
+    return read_if_written(i.spark, path).drop("_source_file")
 
 
 def sql_functions(i: Inputs) -> DataFrame:
@@ -358,7 +447,7 @@ def stream_merge_events(i: Inputs) -> DataFrame:
     for number in range(len(commerce.DELIVERIES)):
         i.delivery(number).write.mode("append").parquet(landing)
         incremental.run_event_merge(i.spark, landing, i.bronze.schema, table, f"{base}/checkpoint")
-    return i.spark.read.parquet(table).select(*commerce.RAW_COLUMNS, "_ingestion_time")
+    return read_if_written(i.spark, table).drop("_source_file")
 
 
 def stream_monthly_sales(i: Inputs) -> DataFrame:
@@ -423,20 +512,25 @@ def _registry() -> dict[str, Callable[[Inputs], DataFrame]]:
         "sync_status": sync_status,
         "export_csv_projected": export_csv_projected,
         "export_csv_single": export_csv_single,
+        "export_csv_text": export_csv_text,
         "sink_truncate_reload": sink_truncate_reload,
         "row_count_reconcile": row_count_reconcile,
         "external_table_read": external_table_read,
-        "serve_daily_sales": lambda i: serving.serve(i.sales, "daily_sales"),
-        "serve_funnel": lambda i: serving.serve(i.funnel, "funnel_analysis"),
-        "serve_rfm": lambda i: serving.serve(i.customers, "customer_rfm"),
-        "serve_products": lambda i: serving.serve(i.performance, "product_performance"),
-        "serve_layout_roundtrip": serve_layout_roundtrip,
-        "gen_events": lambda i: generate.generate_events(
-            files.read_parquet(i.spark, f"{i.sf_dir}/events.parquet"), "event_id", PERIOD_END
-        ),
-        "gen_journeys": lambda i: generate.generate_journeys(
-            files.read_parquet(i.spark, f"{i.sf_dir}/events.parquet"), "event_id", PERIOD_END
-        ),
+        "serve_daily_sales": lambda i: serving.serve(i.sales, "daily_sales").drop(AUDIT),
+        "serve_funnel": lambda i: serving.serve(i.funnel, "funnel_analysis").drop(AUDIT),
+        "serve_rfm": lambda i: serving.serve(i.customers, "customer_rfm").drop(AUDIT),
+        "serve_products": lambda i: serving.serve(i.performance, "product_performance").drop(AUDIT),
+        "serve_layout_roundtrip": _served_copy("daily_sales"),
+        "serve_layout_funnel": _served_copy("funnel_analysis"),
+        "serve_layout_rfm": _served_copy("customer_rfm"),
+        "serve_layout_products": _served_copy("product_performance"),
+        "serving_types": serving_types,
+        "namespace_tables": namespace_tables,
+        "model_as_table": model_as_table,
+        "model_as_view": model_as_view,
+        "data_files": data_files,
+        "event_sample": event_sample,
+        "sorted_table": sorted_table,
         # cleaning and scalar rules
         "clean_brand": _cleaned(lambda: ev.clean_brand(c("brand")).alias("brand")),
         "clean_category": _cleaned(lambda: category().alias("category_code")),
@@ -457,9 +551,9 @@ def _registry() -> dict[str, Callable[[Inputs], DataFrame]]:
         "valid_events": lambda i: silver.valid_events(i.bronze).select(*commerce.RAW_COLUMNS, "_batch_id"),
         "dedupe_latest": lambda i: dedupe.latest_per_key(_with_ingestion(i), dedupe.EVENT_KEY, ["_ingestion_time"]),
         "dedupe_any": lambda i: dedupe.any_per_key(i.bronze, dedupe.EVENT_KEY).select(*dedupe.EVENT_KEY),
-        "events_cleaned": lambda i: silver.events_cleaned(i.bronze),
-        "events_cleaned_compat": lambda i: silver.events_cleaned(i.bronze, compat_weekend=True),
-        "stg_events": lambda i: silver.stg_events(i.bronze).drop("_source_file"),
+        "events_cleaned": lambda i: silver.events_cleaned(i.kept),
+        "events_cleaned_compat": lambda i: silver.events_cleaned(i.kept, compat_weekend=True),
+        "stg_events": lambda i: silver.stg_events(i.kept).drop("_source_file"),
         "surrogate_key": _cleaned(lambda: ev.surrogate_key(*[c(k) for k in dedupe.EVENT_KEY]).alias("event_id")),
         "date_range_filter": lambda i: _raw(i).where(ev.date_range(F.to_date("event_time"), RANGE_FIRST, RANGE_LAST)),
         "cents_to_dollars": lambda i: i.silver.select(
@@ -501,9 +595,6 @@ def _registry() -> dict[str, Callable[[Inputs], DataFrame]]:
         "hourly_traffic_compat": lambda i: gold.hourly_traffic(i.silver, compat_weekday=True),
         "product_performance": lambda i: gold.product_performance(i.silver),
         "product_ranks": lambda i: gold.product_ranks(gold.product_performance(i.silver)),
-        # the same ranks by range partitions, without a whole-table window
-        "customer_rfm_by_ranges": lambda i: gold.customer_rfm(i.silver, window_rows=0),
-        "product_ranks_by_ranges": lambda i: gold.product_ranks(gold.product_performance(i.silver), window_rows=0),
         # annotated views
         "stg_daily_sales": lambda i: reports.stg_daily_sales(i.sales),
         "stg_customer_rfm": lambda i: reports.stg_customer_rfm(i.customers),
@@ -550,17 +641,17 @@ def _registry() -> dict[str, Callable[[Inputs], DataFrame]]:
         "stream_merge_events": stream_merge_events,
         "stream_monthly_sales": stream_monthly_sales,
         # versions and schema evolution
-        "snapshot_list": lambda i: i.versions.snapshots(),
-        "asof_version": lambda i: _by_type(i.versions.read(1)),
-        "asof_timestamp": lambda i: _by_type(i.versions.read(timestamp=COMMITS[1] + timedelta(hours=12))),
-        "snapshot_compare": lambda i: versions.compare_counts(i.versions.read(1), i.versions.read()),
+        "snapshot_list": lambda i: versions.snapshots(i.versions),
+        "asof_version": lambda i: versions.as_of_snapshot(i.versions, 1).drop("_source_file"),
+        "asof_timestamp": lambda i: versions.as_of_time(i.versions, COMMITS[1] + timedelta(hours=12)).drop("_source_file"),
+        "snapshot_compare": lambda i: versions.compare_counts(versions.as_of_snapshot(i.versions, 1), i.versions),
         "snapshot_diff": snapshot_diff,
-        "snapshot_history": lambda i: i.versions.history(),
-        "rollback_read": rollback_read,
+        "snapshot_history": lambda i: versions.history(i.versions),
+        "rollback_read": lambda i: versions.as_of_snapshot(i.versions, 2).drop("_source_file"),
         "evolve_add_column": evolve_add_column,
-        "evolve_mixed_read": lambda i: i.versions.read().select(*commerce.RAW_COLUMNS, "_batch_id", "payment_method"),
+        "evolve_mixed_read": lambda i: i.versions.select(*commerce.RAW_COLUMNS, "_batch_id", "payment_method"),
         "schema_diff": lambda i: versions.schema_changes(
-            i.spark, i.versions.read(1).schema, i.versions.read().schema
+            i.spark, i.bronze.schema, i.versions.schema
         ),
         "schema_version_tag": schema_version_tag,
         "evolve_rename_drop_cast": evolve_rename_drop_cast,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.sources.schemas import SERVING
+from cartwright.sources.schemas import AUDIT, SERVING
 
 # Month partition source, sort key and bloom-filter column of each serving table.
 SERVING_LAYOUT = {
@@ -17,5 +17,10 @@ SERVING_LAYOUT = {
 
 
 def serve(gold: DataFrame, table: str) -> DataFrame:
-    """Columns of `gold` renamed and cast to the serving contract."""
+    """Columns of `gold` renamed and cast to the serving contract.
+
+    A table that was not written yet, and so has no audit time, gets the time of the copy.
+    """
+    if AUDIT not in gold.columns:
+        gold = gold.withColumn(AUDIT, F.current_timestamp())
     return gold.select(*[F.col(source).cast(kind).alias(name) for name, source, kind in SERVING[table]])

@@ -48,16 +48,18 @@ def valid_events(bronze: DataFrame) -> DataFrame:
     return bronze.where(F.col("user_id").isNotNull() & F.col("product_id").isNotNull())
 
 
-def _deduplicated(bronze: DataFrame) -> DataFrame:
-    """Latest delivery of each valid event. The filter only reads key columns, so it runs before the shuffle."""
+def deduplicated(bronze: DataFrame) -> DataFrame:
+    """Latest delivery of each valid event. The filter only reads key columns, so it runs before the shuffle.
+
+    Both clean event tables are made from this one.
+    """
     return latest_per_key(valid_events(bronze), EVENT_KEY, ["_ingestion_time"])
 
 
-def events_cleaned(bronze: DataFrame, compat_weekend: bool = False) -> DataFrame:
-    """The clean event table of the job variant."""
-    needed = [c for c in CLEAN_COLUMNS[:9] + ["event_date", "event_year", "event_month", "_ingestion_time"]]
+def events_cleaned(kept: DataFrame, compat_weekend: bool = False) -> DataFrame:
+    """The clean event table of the job variant, from deduplicated events."""
     weekend = ev.is_weekend_compat if compat_weekend else ev.is_weekend
-    repaired = _deduplicated(bronze.select(*needed)).withColumns(
+    repaired = kept.select(*CLEAN_COLUMNS[:9], "event_date", "event_year", "event_month").withColumns(
         {
             "brand": ev.clean_brand(F.col("brand")),
             "category_code": ev.clean_category(F.col("category_code")),
@@ -75,11 +77,10 @@ def events_cleaned(bronze: DataFrame, compat_weekend: bool = False) -> DataFrame
     ).select(*CLEAN_COLUMNS)
 
 
-def stg_events(bronze: DataFrame) -> DataFrame:
-    """The clean event table of the SQL-model variant, with a surrogate key and lineage."""
-    if "payment_method" not in bronze.columns:
-        bronze = bronze.withColumn("payment_method", F.lit(None).cast("string"))
-    kept = _deduplicated(bronze)
+def stg_events(kept: DataFrame) -> DataFrame:
+    """The clean event table of the SQL-model variant, from deduplicated events, with a surrogate key and lineage."""
+    if "payment_method" not in kept.columns:
+        kept = kept.withColumn("payment_method", F.lit(None).cast("string"))
     category = ev.clean_category(F.col("category_code"))
     day = F.col("event_date")
     parts = ev.date_parts(day, "event")

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import hashlib
-import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.utils import AnalysisException
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -20,6 +24,8 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
 
 def build_session(app_name: str, master: str | None = None, **settings: str) -> SparkSession:
     """A session with the settings this package expects; `settings` override them."""
@@ -32,16 +38,10 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """This application's folder below `spark.checkpoint.dir`, which every executor can read.
-
-    Only a local session may fall back to a temporary folder of this machine.
-    """
+    """This application's folder below `spark.checkpoint.dir`, which every executor can read."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="cartwright-")
-        spark.sparkContext.setCheckpointDir(root)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/cartwright-{spark.sparkContext.applicationId}"
 
 
@@ -56,7 +56,46 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage: write `df` once to the shared area and read it back."""
+    """Cut the lineage: write `df` once to the shared area and read it back.
+
+    Inside `scratch_scope` the copy is deleted at the end of the scope, otherwise it stays as long as the folder.
+    """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    if (held := _written.get()) is not None:
+        held.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes what `materialise` writes inside; use it around the writing of a result."""
+    held: list[str] = []
+    token = _written.set(held)
+    try:
+        yield
+    finally:
+        _written.reset(token)
+        for path in held:
+            delete_path(spark, path)
+
+
+def run_together(*actions: Callable[[], object]) -> list:
+    """Runs the actions at the same time, within the caller's scratch scope; results in order."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        return [f.result() for f in [pool.submit(copy_context().run, action) for action in actions]]
+
+
+def read_if_written(spark: SparkSession, path: str) -> DataFrame | None:
+    """The parquet table at `path` with the columns of all its files, None if nothing is there."""
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise

@@ -45,6 +45,11 @@ def create_namespace(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name}")
 
 
+def write_table(df: DataFrame, name: str, path: str, *partition_by: str) -> None:
+    """A catalog table over parquet files at `path`, replaced on each run."""
+    df.write.mode("overwrite").option("path", path).partitionBy(*partition_by).saveAsTable(name)
+
+
 def external_table(spark: SparkSession, name: str, path: str) -> DataFrame:
     """A table over existing parquet files, without a copy."""
     spark.catalog.createTable(name, path, source="parquet")
@@ -71,5 +76,7 @@ def sample(df: DataFrame, rows: int = 5, *columns: str) -> DataFrame:
     return df.select(*(columns or ["*"])).limit(rows)
 
 
-def describe_schema(df: DataFrame) -> list[tuple[str, str]]:
-    return [(field.name, field.dataType.simpleString()) for field in df.schema]
+def describe_schema(df: DataFrame) -> DataFrame:
+    """One row per column: its place, name and type."""
+    rows = [(n, field.name, field.dataType.simpleString()) for n, field in enumerate(df.schema)]
+    return df.sparkSession.createDataFrame(rows, "position long, column_name string, data_type string")

@@ -23,6 +23,9 @@ MONEY = "decimal(18,2)"
 RATE = "decimal(18,2)"
 FINE_RATE = "decimal(18,4)"
 
+# Fixed value: when a gold table was made; the last column of every serving table.
+AUDIT = "_aggregated_at"
+
 # Serving column, source column, type. Unsigned types are widened one step.
 SERVING = {
     "daily_sales": [
@@ -41,6 +44,7 @@ SERVING = {
         ("sale_month", "sale_month", "smallint"),
         ("sale_quarter", "sale_quarter", "smallint"),
         ("sale_week", "sale_week", "smallint"),
+        (AUDIT, AUDIT, "timestamp"),
     ],
     "funnel_analysis": [
         ("analysis_date", "event_date", "date"),
@@ -59,6 +63,7 @@ SERVING = {
         ("avg_revenue_per_purchaser", "avg_revenue_per_purchaser", MONEY),
         ("analysis_year", "analysis_year", "int"),
         ("analysis_month", "analysis_month", "smallint"),
+        (AUDIT, AUDIT, "timestamp"),
     ],
     "customer_rfm": [
         ("user_id", "user_id", "bigint"),
@@ -76,6 +81,7 @@ SERVING = {
         ("avg_order_value", "avg_order_value", MONEY),
         ("unique_products_bought", "unique_products_bought", "bigint"),
         ("segment_date", "segment_date", "date"),
+        (AUDIT, AUDIT, "timestamp"),
     ],
     "product_performance": [
         ("product_id", "product_id", "bigint"),
@@ -93,5 +99,6 @@ SERVING = {
         ("cart_to_purchase_rate", "cart_to_purchase_rate", RATE),
         ("revenue_rank", "revenue_rank", "bigint"),
         ("purchase_rank", "purchase_rank", "bigint"),
+        (AUDIT, AUDIT, "timestamp"),
     ],
 }

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwright.operators.dedupe import EVENT_KEY, latest_per_key
-from cartwright.operators.merge import merge_latest_into
+from cartwright.operators.merge import merge_into
 from cartwright.plans.reports import monthly_sales_state, read_monthly_sales
 from cartwright.plans.silver import valid_events
 
@@ -26,7 +27,7 @@ def run_event_merge(
 
     def merge(batch: DataFrame, _: int) -> None:
         deduplicated = latest_per_key(valid_events(batch), EVENT_KEY, ["_ingestion_time"])
-        merge_latest_into(batch.sparkSession, table, deduplicated, EVENT_KEY, ["_ingestion_time"], "event_date")
+        merge_into(batch.sparkSession, table, deduplicated, EVENT_KEY, ["_ingestion_time"], "event_date")
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(landing)
     query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -36,14 +37,15 @@ def run_event_merge(
 def run_monthly_sales(spark: SparkSession, landing: str, schema: T.StructType, table: str, checkpoint: str) -> None:
     """Keeps the monthly summary of arriving daily sales rows.
 
-    The state has one row per month and category. Complete mode hands over the whole summary, so a replay
-    writes the same table again.
+    The state has one row per month and category. Complete mode hands over the whole summary. Each micro-batch
+    writes it as a new version below `table`, so that a reader always finds a finished one and a replay
+    writes the same version again.
     """
     stream = spark.readStream.schema(schema).parquet(landing)
     state = monthly_sales_state(stream)
 
-    def replace(summary: DataFrame, _: int) -> None:
-        summary.write.mode("overwrite").parquet(table)
+    def replace(summary: DataFrame, batch: int) -> None:
+        summary.write.mode("overwrite").parquet(f"{table}/version={batch}")
 
     query = (
         state.writeStream.outputMode("complete")
@@ -56,4 +58,7 @@ def run_monthly_sales(spark: SparkSession, landing: str, schema: T.StructType, t
 
 
 def read_monthly_summary(spark: SparkSession, table: str) -> DataFrame:
-    return read_monthly_sales(spark.read.parquet(table))
+    """The newest finished version."""
+    versions = spark.read.parquet(table)
+    newest = versions.agg(F.max("version")).scalar()
+    return read_monthly_sales(versions.where(F.col("version") == newest).drop("version"))

@@ -2,11 +2,12 @@
 
 import pytest
 
-import __spark_entry__ as registry
+import __spark_entry__ as entry_points
+from cartwright.plans import oracles, queries
 from conftest import SMALL
 
-QUERIES = registry.queries()
-ORACLES = registry.oracle_sql()
+QUERIES = queries.queries()
+ORACLES = oracles.oracle_sql()
 SQL_TYPES = {
     "bigint": "BIGINT",
     "double": "DOUBLE",
@@ -39,6 +40,11 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_entry_points_offer_every_query():
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLES) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     df = QUERIES[name](spark, SMALL)
@@ -54,7 +60,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_entry_is_the_daily_funnel(spark):
-    assert registry.entry(spark).count() == 90
+    assert entry_points.entry(spark).count() == 90
 
 
 def test_zero_denominators_occur(spark):

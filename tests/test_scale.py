@@ -1,5 +1,6 @@
 """Whole-table ranks without a whole-table window, checked joins, and the shape of plans."""
 
+import datetime
 import random
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from cartwright.operators.dedupe import EVENT_KEY, latest_per_key
 from cartwright.operators.joins import dimension_join
 from cartwright.operators.ranking import add_dense_ranks, add_ntiles
+from cartwright.operators.sinks import write_clustered
 from cartwright.plans import gold, silver
 
 
@@ -16,29 +18,52 @@ def plan_of(df):
     return df._jdf.queryExecution().toString()
 
 
-def numbers(spark, rows, distinct, seed):
+def numbers(spark, rows, distinct, seed, nulls=0):
     rng = random.Random(seed)
-    return spark.createDataFrame([(i, rng.randrange(distinct)) for i in rng.sample(range(10 * rows), rows)], "id long, x long")
-
-
-@pytest.mark.parametrize("rows, distinct, tiles", [(3, 5, 5), (5, 1, 5), (7, 3, 5), (1001, 4, 5), (1000, 1000, 7), (997, 1, 3)])
-def test_ntile_by_ranges_equals_window(spark, rows, distinct, tiles):
-    df = numbers(spark, rows, distinct, rows)
-    got = add_ntiles(df, tiles, {"t": F.col("x")}, "id", window_rows=0)
-    expected = df.withColumn("t", F.ntile(tiles).over(Window.orderBy("x", "id")))
+    ids = rng.sample(range(10 * rows), rows)
+    return spark.createDataFrame([(i, None if n < nulls else rng.randrange(distinct)) for n, i in enumerate(ids)], "id long, x long")
+
+
+@pytest.mark.parametrize(
+    "rows, distinct, tiles, nulls",
+    [(3, 5, 5, 0), (5, 1, 5, 1), (7, 3, 5, 2), (1001, 4, 5, 0), (1000, 1000, 7, 300), (997, 1, 3, 996), (4, 9, 3, 4), (1, 1, 5, 0)],
+)
+def test_ntile_equals_window(spark, rows, distinct, tiles, nulls):
+    df = numbers(spark, rows, distinct, rows, nulls)
+    got = add_ntiles(df, tiles, {"t": F.col("x"), "down": -F.col("x")}, "id")
+    up, down = Window.orderBy(F.col("x").asc_nulls_last(), "id"), Window.orderBy(F.col("x").desc(), "id")
+    expected = df.withColumn("t", F.ntile(tiles).over(up)).withColumn("down", F.ntile(tiles).over(down))
     assert got.exceptAll(expected).isEmpty() and got.count() == rows
 
 
-@pytest.mark.parametrize("rows, distinct", [(1, 1), (500, 3), (1000, 400)])
-def test_dense_rank_by_ranges_equals_window(spark, rows, distinct):
-    df = numbers(spark, rows, distinct, rows + 1)
-    got = add_dense_ranks(df, {"r": F.col("x")}, window_rows=0)
+@pytest.mark.parametrize("rows, distinct, nulls", [(1, 1, 0), (1, 1, 1), (500, 3, 2), (1000, 400, 1), (6, 3, 6)])
+def test_dense_rank_equals_window(spark, rows, distinct, nulls):
+    df = numbers(spark, rows, distinct, rows + 1, nulls)
+    got = add_dense_ranks(df, {"r": F.col("x")})
     expected = df.withColumn("r", F.dense_rank().over(Window.orderBy(F.col("x").desc())))
     assert got.select("id", "x", "r").exceptAll(expected).isEmpty() and got.count() == rows
 
 
+def test_ranks_of_an_empty_table(spark):
+    df = numbers(spark, 3, 3, 1).limit(0)
+    assert add_ntiles(df, 5, {"t": F.col("x")}, "id").count() == add_dense_ranks(df, {"r": F.col("x")}).count() == 0
+
+
+def test_customer_without_a_date_comes_last(spark):
+    """The recency of such a customer is null, which a descending order puts last, in the highest tile."""
+    days = [datetime.date(2024, 1, 1 + n) for n in range(6)] + [None]
+    rows = [(n, day, 10.0 + n, "purchase", n) for n, day in enumerate(days)]
+    events = spark.createDataFrame(rows, "user_id long, event_date date, price double, event_type string, product_id long")
+    got = {r["user_id"]: r for r in gold.customer_rfm(events).collect()}
+    by_recency = Window.orderBy(F.col("recency").desc(), "user_id")
+    expected = {r["user_id"]: r["t"] for r in gold.rfm_base(events).withColumn("t", F.ntile(5).over(by_recency)).collect()}
+    assert {user: row["r_score"] for user, row in got.items()} == expected
+    assert got[6]["recency"] is None and got[6]["r_score"] == 5 and got[6]["rfm_string"] == "555"
+    assert {row["segment_date"] for row in got.values()} == {datetime.date(2024, 1, 6)}
+
+
 def test_scores_of_many_customers(spark):
-    """All orders as purchases: both ranking paths agree."""
+    """All orders as purchases, against the window."""
     orders = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").select(
         F.col("o_custkey").alias("user_id"),
         F.to_date("o_orderdate").alias("event_date"),
@@ -46,16 +71,23 @@ def test_scores_of_many_customers(spark):
         F.lit("purchase").alias("event_type"),
         F.col("o_orderkey").alias("product_id"),
     )
-    by_window = gold.customer_rfm(orders)
-    by_ranges = gold.customer_rfm(orders, window_rows=0)
-    assert by_window.count() == by_ranges.count() > 900
-    assert by_window.exceptAll(by_ranges).isEmpty()
+    got = gold.customer_rfm(orders)
+    expected = got.withColumns(
+        {
+            "r_score": F.ntile(5).over(Window.orderBy(F.col("recency").desc(), "user_id")),
+            "f_score": F.ntile(5).over(Window.orderBy("frequency", "user_id")),
+            "m_score": F.ntile(5).over(Window.orderBy("monetary", "user_id")),
+        }
+    )
+    assert got.count() > 900 and got.exceptAll(expected).isEmpty()
 
 
-def test_range_path_has_no_single_task_stage(spark):
+def test_ranks_have_no_single_task_stage(spark, small):
     df = numbers(spark, 300, 50, 1)
-    ranked = add_dense_ranks(add_ntiles(df, 5, {"t": F.col("x")}, "id", window_rows=0), {"r": F.col("x")}, window_rows=0)
-    assert "SinglePartition" not in plan_of(ranked) and "Window" not in plan_of(ranked)
+    ranked = add_dense_ranks(add_ntiles(df, 5, {"t": F.col("x")}, "id"), {"r": F.col("x")})
+    for plan in map(plan_of, (ranked, gold.customer_rfm(small.silver), gold.product_ranks(small.performance.drop("revenue_rank", "purchase_rank")))):
+        assert "ENSURE_REQUIREMENTS" in plan or "SinglePartition" not in plan
+        assert "Window" not in plan
 
 
 def test_dedupe_limits_copies_before_the_shuffle(spark, small):
@@ -83,7 +115,7 @@ def test_purchase_filter_and_columns_reach_the_scan(small):
 
 
 def test_valid_filter_runs_before_the_shuffle(small):
-    plan = plan_of(silver.events_cleaned(small.lake["bronze.events_raw"]))
+    plan = plan_of(silver.events_cleaned(silver.deduplicated(small.lake["bronze.events_raw"])))
     physical = plan[plan.index("== Physical Plan ==") :]
     assert "IsNotNull(user_id)" in physical and "IsNotNull(product_id)" in physical
 
@@ -93,12 +125,26 @@ def test_funnel_needs_no_row_expansion(small):
     assert "Expand" not in plan[plan.index("== Physical Plan ==") :]
 
 
-@pytest.mark.parametrize("max_rows", [1000, 30, 5])
-def test_dimension_join_is_the_same_at_every_size(spark, max_rows):
-    """Broadcast at once, broadcast after reduction to used keys, and shuffle join."""
+def test_dimension_join_keeps_every_fact(spark):
     fact = spark.range(500).select(F.col("id"), F.when(F.col("id") % 5 > 0, F.col("id") % 20).alias("k"))
     dimension = spark.range(100).select(F.col("id").alias("d"), (F.col("id") * 2).alias("twice"))
-    joined = dimension_join(fact, dimension, "k", "d", max_rows)
+    joined = dimension_join(fact, dimension, "k", "d")
     assert joined.count() == 500
     assert joined.where("k IS NOT NULL AND twice <> 2 * k").isEmpty()
     assert joined.where("(k IS NULL) <> (twice IS NULL)").isEmpty()
+
+
+def test_both_clean_tables_share_one_dedupe(spark, small):
+    """The history is deduplicated once; neither clean table windows over it again."""
+    kept = small.lake["silver.events_deduplicated"]
+    for table in (silver.events_cleaned(kept), silver.stg_events(kept)):
+        plan = plan_of(table)
+        assert "Window" not in plan and "Exchange" not in plan[plan.index("== Physical Plan ==") :]
+
+
+def test_files_follow_the_partitions(spark, folder):
+    """Many tasks write few partitions: the number of files depends on their size, not on the tasks."""
+    df = spark.range(0, 6000, 1, 60).select("id", (F.col("id") % 3).alias("month"), F.lit("view").alias("event_type"))
+    write_clustered(df, f"{folder}/t", ["month"], ["event_type"])
+    files = spark.read.parquet(f"{folder}/t").groupBy("month").agg(F.count_distinct("_metadata.file_path").alias("n"))
+    assert {r["n"] for r in files.collect()} == {1}

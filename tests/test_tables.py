@@ -1,4 +1,4 @@
-"""Versions, schema evolution, sinks, quality tests, readers and the generator."""
+"""Versions, schema evolution, sinks, quality tests and readers."""
 
 from datetime import datetime
 from pathlib import Path
@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from cartwright.__main__ import main
 from cartwright.functions.sql import register_sql_functions
 from cartwright.operators import models, quality, sinks, versions
+from cartwright.plans import oracles
 from cartwright.plans.medallion import JOB_TABLES, MODEL_TABLES, Medallion
 from cartwright.plans.serving import serve
 from cartwright.session import dataset_dir, scratch_path, shared_dir
-from cartwright.sources import commerce, files, generate
+from cartwright.sources import commerce, files
 from cartwright.sources.schemas import RAW_EVENT, SERVING
 
 DAY = [datetime(2024, 1, n) for n in range(1, 10)]
@@ -20,51 +21,24 @@ DAY = [datetime(2024, 1, n) for n in range(1, 10)]
 
 @pytest.fixture
 def versioned(spark):
-    table = versions.VersionedTable(spark, scratch_path(spark, "versions-test")).create()
-    table.commit(spark.range(3).toDF("x"), DAY[0])
-    table.commit(spark.range(3, 5).toDF("x"), DAY[2])
-    return table
+    """Two snapshots: three rows on the first day, two on the third."""
+    rows = [(n, DAY[0] if n < 3 else DAY[2]) for n in range(5)]
+    return spark.createDataFrame(rows, "x int, _ingestion_time timestamp")
 
 
 def test_reads_by_version_and_time(versioned):
-    assert versioned.read().count() == 5
-    assert versioned.read(1).count() == 3
-    assert versioned.read(timestamp=DAY[0]).count() == 3
-    assert versioned.read(timestamp=DAY[1]).count() == 3
-    assert versioned.read(timestamp=DAY[2]).count() == 5
-    with pytest.raises(ValueError):
-        versioned.read(timestamp=datetime(2023, 12, 31))
-
-
-def test_overwrite_and_rollback(spark, versioned):
-    versioned.commit(spark.range(1).toDF("x"), DAY[3], "overwrite")
-    assert versioned.read().count() == 1
-    versioned.rollback_to(2, DAY[4])
-    assert versioned.read().count() == 5
-    versioned.rollback_to_timestamp(DAY[0], DAY[5])
-    assert versioned.read().count() == 3 and versioned.read(3).count() == 1
-    assert [r["operation"] for r in versioned.snapshots().collect()] == [
-        "rollback",
-        "rollback",
-        "overwrite",
-        "append",
-        "append",
-    ]
-    assert versioned.history().where("is_current_ancestor").count() == 5
-
+    assert versions.as_of_snapshot(versioned, 1).count() == 3 and versions.as_of_snapshot(versioned, 2).count() == 5
+    for day, n in ((DAY[0], 3), (DAY[1], 3), (DAY[2], 5), (datetime(2023, 12, 31), 0)):
+        assert versions.as_of_time(versioned, day).count() == n
+    assert versions.as_of_snapshot(versioned, 9).isEmpty()
 
-def test_new_column_reads_as_null_in_old_rows(spark, versioned):
-    versioned.commit(spark.range(1).selectExpr("id AS x", "'new' AS y"), DAY[3])
-    assert versioned.read(2).columns == ["x"]
-    assert versioned.read().where("y IS NULL").count() == 5 and versioned.read().where("y = 'new'").count() == 1
-    with pytest.raises(ValueError):
-        versioned.commit(spark.range(1).selectExpr("cast(id AS string) AS x"), DAY[4])
 
-
-def test_append_does_not_copy_rows(versioned):
-    latest = versioned.current()
-    assert len(latest["folders"]) == 2
-    assert latest["summary"] == {"added-records": "2", "total-records": "5"}
+def test_snapshots_and_history(versioned):
+    listed = [tuple(r) for r in versions.snapshots(versioned).select("snapshot_id", "parent_id", "added_records", "total_records").collect()]
+    assert listed == [(2, 1, "2", "5"), (1, None, "3", "3")]
+    assert versions.snapshots(versioned, 1).count() == 1
+    flags = {r["snapshot_id"]: r["is_current_ancestor"] for r in versions.history(versioned, 1).collect()}
+    assert flags == {1: True, 2: False}
 
 
 def test_diff_counts_duplicates(spark):
@@ -104,25 +78,21 @@ def test_catalog_column_is_added_once(spark):
 
 def test_backfill_only_touches_nulls(spark):
     df = spark.createDataFrame([(n, None if n % 2 else "kept") for n in range(2000)], "id int, payment_method string")
-    filled = versions.backfill(df, "payment_method", generate.payment_method(F.col("id")))
+    filled = versions.backfill(df, "payment_method", versions.payment_method(F.col("id")))
     counts = {r[0]: r[1] for r in filled.groupBy("payment_method").count().collect()}
     assert counts["kept"] == 1000 and None not in counts
     assert 340 < counts["credit_card"] < 460 and 360 < counts["debit_card"] < 480
 
 
-def test_csv_export_keeps_text(spark, folder):
-    rows = [(1, 'say "hi", all'), (2, None), (3, " padded "), (4, "line")]
+@pytest.mark.parametrize("single_file", [False, True])
+def test_csv_export_keeps_text(spark, folder, single_file):
+    rows = [(1, 'say "hi", all'), (2, None), (3, " padded "), (4, "two\nlines"), (5, ""), (6, "back\\slash"), (7, "NULL"), (None, "x")]
     df = spark.createDataFrame(rows, "id int, text string")
-    sinks.export_csv(df, f"{folder}/csv")
-    back = spark.read.schema("id int, text string").option("header", True).option("escape", '"').csv(f"{folder}/csv")
-    assert sorted(map(tuple, back.collect())) == rows
-
-
-def test_single_file_export(spark, folder):
-    sinks.export_csv_single(spark.range(100), f"{folder}/one")
-    assert len(list(Path(folder, "one").glob("*.csv"))) == 1
-    with pytest.raises(ValueError):
-        sinks.export_csv_single(spark.range(100), f"{folder}/two", max_rows=99)
+    sinks.export_csv(df, f"{folder}/csv", single_file=single_file)
+    back = sinks.read_exported_csv(spark, f"{folder}/csv", "id int, text string")
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(rows, key=str)
+    assert len(list(Path(folder, "csv").glob("*.csv"))) == 1 or not single_file
+    assert '"1","say ""hi"", all"' in "".join(f.read_text() for f in Path(folder, "csv").glob("*.csv"))
 
 
 def test_observed_write_counts_rows(spark, folder):
@@ -160,7 +130,25 @@ def test_jdbc_options():
 @pytest.mark.parametrize("table", list(SERVING))
 def test_serving_types(small, table):
     served = serve(small.gold_tables()[table], table)
-    assert [(f.name, f.dataType.simpleString()) for f in served.schema] == [(n, t) for n, _, t in SERVING[table]]
+    assert [(f.name, f.dataType.simpleString()) for f in served.schema] == [
+        (name, kind.replace(";", ",")) for name, kind in oracles._served_columns(table)
+    ]
+    assert served.where("_aggregated_at IS NULL").isEmpty()
+
+
+def test_serving_copy_without_a_month_is_ranged(spark, folder):
+    rows = [(f"s{n % 4}", n % 9, n) for n in range(4000)]
+    columns = "customer_segment string, rfm_score int, user_id long"
+    gold_table = spark.createDataFrame(rows, columns)
+    others = {source: F.lit(None) for _, source, _ in SERVING["customer_rfm"] if source not in gold_table.columns}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.write_serving(gold_table.withColumns(others), "customer_rfm", f"{folder}/t")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    back = spark.read.parquet(f"{folder}/t")
+    per_file = back.groupBy("_metadata.file_path").agg(F.count_distinct("customer_segment").alias("n"))
+    assert back.count() == 4000 and per_file.count() > 4 and per_file.agg(F.max("n")).first()[0] <= 2
 
 
 def test_quality_finds_failures(spark):
@@ -204,33 +192,15 @@ def test_partition_columns_need_an_event_time(spark):
     assert commerce.with_partition_columns(df) is df
 
 
-def test_generated_weights(spark):
-    ids = spark.range(20_000)
-    events = generate.generate_events(ids, "id", "2024-07-01")
-    share = {r[0]: r[1] / 20_000 for r in events.groupBy("event_type").count().collect()}
-    for kind, weight in generate.EVENT_WEIGHTS:
-        assert abs(share[kind] - weight / 100) < 0.015
-    limits = events.agg(F.min("event_time"), F.max("event_time"), F.min("price"), F.min("user_id"), F.max("user_id")).first()
-    assert limits[0] >= datetime(2024, 1, 3) and limits[1] <= datetime(2024, 7, 2)
-    assert limits[2] >= 0.01 and limits[3] >= 100_000 and limits[4] < 200_000
-
-
-def test_generated_journeys(spark):
-    journeys = generate.generate_journeys(spark.range(5000), "id", "2024-07-01")
-    again = generate.generate_journeys(spark.range(5000).repartition(7), "id", "2024-07-01")
-    assert journeys.exceptAll(again).isEmpty()
-    kinds = journeys.groupBy("user_session", "product_id").agg(
-        F.count_if(F.col("event_type") == "view").alias("v"), F.count("*").alias("n")
-    )
-    assert kinds.agg(F.max("v")).first()[0] >= 5 and kinds.where("v = 0").isEmpty()
-
-
 def test_medallion_builds_every_table(spark, small):
     lake = Medallion(spark, scratch_path(spark, "lake"), lambda: small.bronze, F.to_date(F.lit("2024-04-15")))
+    before = {p.name for p in Path(shared_dir(spark), "scratch").glob("*")}
     lake.build(JOB_TABLES)
     lake.build(MODEL_TABLES)
     assert lake["gold.funnel_analysis"].count() == lake["gold.fct_funnel"].count() == 90
     assert "_aggregated_at" in lake["gold.daily_sales"].columns
+    left = [p.name for p in Path(shared_dir(spark), "scratch").glob("*") if p.name.startswith(("ntile", "rank", "position"))]
+    assert len(left) == len(set(left) & before), "a build leaves nothing in the scratch folder"
 
 
 def test_shared_folder_follows_the_setting(spark):
@@ -241,12 +211,13 @@ def test_shared_folder_follows_the_setting(spark):
 
 def test_samples_and_schema(spark, small):
     assert files.sample(small.sales, 5, "event_date", "order_count").count() == 5
-    assert files.describe_schema(spark.range(1)) == [("id", "bigint")]
+    assert [tuple(r) for r in files.describe_schema(spark.range(1)).collect()] == [(0, "id", "bigint")]
 
 
 def test_command_line(spark, small, folder):
     text_time = F.concat(F.col("event_time").cast("string"), F.lit(" UTC"))
-    sinks.export_csv(small.bronze.select(*commerce.RAW_COLUMNS).withColumn("event_time", text_time), f"{folder}/raw")
+    raw = small.bronze.select(*commerce.RAW_COLUMNS).withColumn("event_time", text_time)
+    raw.write.option("header", True).csv(f"{folder}/raw")
     lake = ["--lake", f"{folder}/lake"]
     assert main(["build", *lake, "--source", f"{folder}/raw/*.csv"]) == 0
     assert spark.read.parquet(f"{folder}/lake/gold/funnel_analysis").count() == 90
@@ -258,11 +229,23 @@ def test_command_line(spark, small, folder):
 
 
 def test_view_and_table_models(spark, folder):
-    models.as_view(spark.range(3), "three")
-    models.as_table(spark.table("three"), "kept_three", f"{folder}/t")
-    models.as_table(spark.range(4), "kept_three", f"{folder}/t")
-    assert spark.table("three").count() == 3 and spark.table("kept_three").count() == 4
-    spark.sql("DROP TABLE kept_three")
+    files.create_namespace(spark, "models")
+    models.as_table(spark.range(3), "models.kept", f"{folder}/t")
+    models.as_view(spark, "SELECT * FROM models.kept WHERE id > 0", "models.few")
+    assert spark.table("models.few").count() == 2
+    models.as_table(spark.range(4), "models.kept", f"{folder}/t")
+    assert spark.table("models.few").count() == 3 and spark.table("models.kept").count() == 4
+    spark.sql("DROP VIEW models.few")
+    spark.sql("DROP TABLE models.kept")
+
+
+def test_a_shared_folder_is_required(spark):
+    class Bare:
+        conf = {}
+        sparkContext = type("Context", (), {"getCheckpointDir": staticmethod(lambda: None), "applicationId": "x"})
+
+    with pytest.raises(RuntimeError):
+        shared_dir(Bare())
 
 
 def test_sql_functions(spark):
