@@ -40,7 +40,9 @@ from cartwright.session import materialise
 LENGTH = 400
 GRAM = 128
 #: Bytes that are fingerprinted at once; a longer text is cut, with an overlap of LENGTH - 1 bytes.
-PIECE = 1 << 20
+PIECE = 1 << 18
+#: Texts that a task holds as Python objects at once.
+SLICE = 1000
 PLACE_MASK = np.uint64((1 << 22) - 1)
 
 _U = np.uint64
@@ -148,12 +150,14 @@ def _texts(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(F.xxhash64(whole).alias("text_key"), whole.alias("text"))
 
 
-def _new_texts(batch: pa.RecordBatch) -> tuple[np.ndarray, list[bytes]]:
-    """Keys and texts of a batch, each text once."""
+def _new_texts(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """Keys and texts of a batch in slices, each text of the batch once."""
     keys, first = np.unique(batch.column(0).to_numpy(), return_index=True)
-    first.sort()
-    column = batch.column(1)
-    return batch.column(0).to_numpy()[first], [column[int(i)].as_py() for i in first]
+    fresh = np.zeros(batch.num_rows, dtype=bool)
+    fresh[first] = True
+    for at in range(0, batch.num_rows, SLICE):
+        part = batch.slice(at, SLICE).filter(pa.array(fresh[at : at + SLICE]))
+        yield part.column(0).to_numpy(), part.column(1).to_pylist()
 
 
 def sample_blocks(texts: DataFrame, length: int) -> DataFrame:
@@ -161,18 +165,18 @@ def sample_blocks(texts: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, held = _new_texts(batch)
-            for piece in pieces(held, length):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(piece.gram.view(np.int64)),
-                        pa.array(piece.block.view(np.int64)),
-                        pa.array(keys[piece.text]),
-                        pa.array(piece.place),
-                        pa.array(piece.n),
-                    ],
-                    ["gram", "block", "text_key", "low", "n"],
-                )
+            for keys, held in _new_texts(batch):
+                for piece in pieces(held, length):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(piece.gram.view(np.int64)),
+                            pa.array(piece.block.view(np.int64)),
+                            pa.array(keys[piece.text]),
+                            pa.array(piece.place),
+                            pa.array(piece.n),
+                        ],
+                        ["gram", "block", "text_key", "low", "n"],
+                    )
 
     return texts.mapInArrow(run, "gram long, block long, text_key long, low long, n long")
 
@@ -195,33 +199,36 @@ def start_rows(texts: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
         columns = [prints.view(np.int64), keys, low, n]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [c.split()[0] for c in START.split(", ")])
 
+    def compared(piece: Piece, keys: np.ndarray, blocks_wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
+        key = keys[piece.text]
+        chosen = np.flatnonzero(bitmap.may_hold(blocks_wanted, key ^ piece.place))
+        prints, which = piece.start_prints(chosen)
+        if not len(prints):
+            return
+        n = piece.n[chosen]
+        low = piece.place[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+        key = key[which]
+        order = np.argsort(prints, kind="stable")
+        same = prints[order][1:] == prints[order][:-1]
+        twice = np.zeros(len(prints), dtype=bool)
+        twice[order[1:][same]] = True
+        twice[order[:-1][same]] = True
+        yield rows(prints[~twice], key[~twice], low[~twice], 1)
+        if twice.any():
+            seen = np.unique(prints[twice])
+            yield rows(seen, np.zeros(len(seen), dtype=np.int64), np.zeros(len(seen), dtype=np.int64), 0)
+            key, low = key[twice], low[twice]
+            edge = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (low[1:] != low[:-1] + 1)]))
+            size = np.diff(np.append(edge, len(key)))
+            yield rows(mix64(key[edge].view(_U) + low[edge].astype(_U)), key[edge], low[edge], -size)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts_wanted, blocks_wanted = shared.value
         for batch in batches:
             wanted_here = batch.filter(pa.array(bitmap.may_hold(texts_wanted, batch.column(0).to_numpy())))
-            keys, held = _new_texts(wanted_here)
-            for piece in pieces(held, length):
-                key = keys[piece.text]
-                chosen = np.flatnonzero(bitmap.may_hold(blocks_wanted, key ^ piece.place))
-                prints, which = piece.start_prints(chosen)
-                if not len(prints):
-                    continue
-                n = piece.n[chosen]
-                low = piece.place[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-                key = key[which]
-                order = np.argsort(prints, kind="stable")
-                same = prints[order][1:] == prints[order][:-1]
-                twice = np.zeros(len(prints), dtype=bool)
-                twice[order[1:][same]] = True
-                twice[order[:-1][same]] = True
-                yield rows(prints[~twice], key[~twice], low[~twice], 1)
-                if twice.any():
-                    seen = np.unique(prints[twice])
-                    yield rows(seen, np.zeros(len(seen), dtype=np.int64), np.zeros(len(seen), dtype=np.int64), 0)
-                    key, low = key[twice], low[twice]
-                    edge = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (low[1:] != low[:-1] + 1)]))
-                    size = np.diff(np.append(edge, len(key)))
-                    yield rows(mix64(key[edge].view(_U) + low[edge].astype(_U)), key[edge], low[edge], -size)
+            for keys, held in _new_texts(wanted_here):
+                for piece in pieces(held, length):
+                    yield from compared(piece, keys, blocks_wanted)
 
     return texts.mapInArrow(run, START)
 
