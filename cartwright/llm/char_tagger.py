@@ -10,7 +10,7 @@ from dataclasses import dataclass
 import numpy as np
 
 EMBED, HIDDEN = 12, 16
-BATCH, EPOCHS, RATE = 64, 12, 0.01
+BATCH, EPOCHS, RATE = 32, 14, 0.01
 #: Character classes: printable ASCII by itself, then any letter, any other character, and padding.
 OTHER_LETTER, OTHER, PAD, CLASSES = 95, 96, 97, 98
 

@@ -6,8 +6,9 @@ spaced or bracketed dots, dotted or slashed digit groups), and stretches of digi
 
 A text is tagged where a span may be: within REACH characters of a digit, an @ or a bracketed `at`. Windows of WINDOW
 characters that overlap by half cover these stretches. Every window is decoded; for each character, the window
-in which it lies farthest from an edge decides, over the whole text, and runs of labels become spans. A span
-counts if it holds what its kind needs (`plausible`) and touches no span of a pattern.
+in which it lies farthest from an edge decides, over the whole text, and runs of labels become spans, which are
+snapped to whole words and numbers. A span counts if it holds what its kind needs (`plausible`) and touches no span of
+a pattern.
 
 Defined results: a null or empty text has no spans; without any pattern span in the sample there is no tagger and only
 the patterns count; rows are read one by one, so null or repeated ids do not matter. Only the named columns are read.
@@ -32,6 +33,8 @@ SAMPLE_DOCS = 10_000
 #: Labelled windows that are collected for training, per kind and without a span.
 SAMPLE_WINDOWS = 300
 WINDOW, STEP, REACH = 64, 32, 24
+#: Disguised windows per kind.
+VARIANTS = 160
 MOST_DIGITS = {"card": (14, 19), "phone": (10, 15)}
 
 # Possessive quantifiers and the look-behind give the same leftmost matches in linear time.
@@ -159,16 +162,27 @@ def labelled_windows(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[tu
     return sorted((r["kind"], r["piece"], r["s"], r["e"]) for r in rows)
 
 
+def vary(text: str, draw: np.random.Generator) -> str:
+    """The piece with other digits and other letters in the same places."""
+    return "".join(
+        str(draw.integers(10)) if "0" <= c <= "9" else chr(97 + draw.integers(26)) if "a" <= c <= "z" and draw.random() < 0.5 else c
+        for c in text
+    )
+
+
 def fit(windows: list[tuple[str, str, int, int]], epochs: int | None = None) -> Tagger | None:
-    """A tagger trained on the windows as they are and with each span disguised; None without any span."""
-    if not any(kind for kind, *_ in windows):
+    """A tagger trained on the windows as they are and with each span varied and disguised; None without any span.
+
+    A kind with few spans gets more variants of each, so that all kinds have about VARIANTS windows.
+    """
+    counts = {kind: sum(w[0] == kind for w in windows) for kind in KINDS}
+    if not any(counts.values()):
         return None
     draw = np.random.default_rng(11)
     codes, labels = [], []
 
     def add(kind: str, before: str, piece: str, after: str) -> None:
-        start = max(0, len(before) - int(draw.integers(0, 40)))
-        before = before[start:]
+        before = before[max(0, len(before) - int(draw.integers(0, 40))) :]
         label = np.zeros(WINDOW, dtype=np.int64)
         if kind:
             begin, end = len(before), min(WINDOW, len(before) + len(piece))
@@ -181,9 +195,8 @@ def fit(windows: list[tuple[str, str, int, int]], epochs: int | None = None) ->
     for kind, text, start, end in windows:
         before, piece, after = text[:start], text[start:end], text[end:]
         add(kind, before, piece, after)
-        if kind:
-            add(kind, before, disguise(kind, piece, draw), after)
-            add(kind, before, disguise(kind, piece, draw), after)
+        for _ in range(-(-VARIANTS // counts[kind]) if kind else 0):
+            add(kind, before, disguise(kind, vary(piece, draw), draw), after)
     tagger = Tagger.fresh(1 + 2 * len(KINDS))
     tagger.train(np.array(codes), np.array(labels), **({"epochs": epochs} if epochs else {}))
     return tagger
@@ -236,13 +249,36 @@ def tagged_spans(texts: list[str], tagger: Tagger, most_windows: int = 1024) ->
                     mine[at + i] = (int(central[i]), int(path[i]))
     for k, mine in votes.items():
         for kind, start, end in _runs({place: label for place, (_, label) in mine.items()}):
-            piece = texts[k][start:end]
-            start, end = start + len(piece) - len(piece.lstrip()), end - len(piece) + len(piece.rstrip())
-            if plausible(kind, texts[k][start:end]):
-                result[k].append((kind, start, end))
+            start, end = snap(texts[k], start, end)
+            # The tagger says where; what it is must also hold what that kind needs. A run may be several pieces.
+            parts = [m.span() for m in re.finditer(r"\S+", texts[k][start:end])]
+            for low, high in [(start, end), *[(start + a, start + b) for a, b in parts if len(parts) > 1]]:
+                kinds = [x for x in (kind, *KINDS) if plausible(x, texts[k][low:high])]
+                if kinds and not (result[k] and low < result[k][-1][2]):
+                    result[k].append((kinds[0], low, high))
     return result
 
 
+def snap(text: str, start: int, end: int) -> tuple[int, int]:
+    """The run without blanks at its ends, and with the rest of a number or word that it cuts."""
+    while start < end and text[start].isspace():
+        start += 1
+    while end > start and text[end - 1].isspace():
+        end -= 1
+    if start < end:
+        while start and text[start - 1].isalnum() and text[start].isalnum():
+            start -= 1
+        while end < len(text) and text[end].isalnum() and text[end - 1].isalnum():
+            end += 1
+        if text[end - 1] in ".-/( " and end < len(text) and text[end].isdigit():
+            end += 1
+        while end < len(text) and text[end].isdigit() and text[end - 1].isdigit():
+            end += 1
+    if start and text[start - 1] == "+":
+        start -= 1
+    return start, end
+
+
 def spell(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 

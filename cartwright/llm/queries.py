@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.llm import (
@@ -69,10 +69,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     revised = materialise(token_counts.counted(plain), "revised-counts")
     rollup.commit(2, revised)
     rollup.commit(2, revised)
-    # One row a document and text hash; the copies of a text are ranked by id without the text.
-    hashed = docs.select("doc_id", F.xxhash64("text").alias("hash"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
-    first = Window.partitionBy("hash", "sha")
-    copies = hashed.where("sha IS NOT NULL").withColumn("first_id", F.min("doc_id").over(first)).where("doc_id > first_id")
+    # The first document of each text stays. Grouping combines copies before the shuffle, and ids are joined, not texts.
+    hashed = docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("hash"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
+    first = hashed.groupBy("hash", "sha").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    copies = hashed.select("doc_id").join(first, "doc_id", "left_anti")
     gone = copies.select(F.lit("delete").alias("op"), F.col("doc_id").cast("string").alias("key"))
     versions = F.explode(F.array(*[F.lit(v) for v in token_counts.PATTERNS]))
     gone = gone.select(
