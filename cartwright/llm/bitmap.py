@@ -10,21 +10,36 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartwright.session import materialise
+
 BITS = 24
 
 
-def build(df: DataFrame, key: Column) -> np.ndarray:
-    """The bitmap of the 64-bit hashes `key`; Spark merges the bits, at most 2 ** (BITS - 6) words arrive here."""
+def _words(df: DataFrame, key: Column) -> DataFrame:
+    """word and bits of the bitmap of the 64-bit hashes `key`; Spark merges the bits."""
     place = key.bitwiseAND(F.lit((1 << BITS) - 1))
-    words = (
-        df.select(place.alias("place"))
-        .groupBy(F.shiftright("place", 6).alias("word"))
-        .agg(F.expr("bit_or(shiftleft(1L, cast(place & 63 AS int)))").alias("bits"))
-        .collect()
-    )
+    placed = df.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("bitmap_word"))
+    return placed.agg(F.expr("bit_or(shiftleft(1L, cast(place & 63 AS int)))").alias("bitmap_bits"))
+
+
+def split(df: DataFrame, key: str, keys: DataFrame, among: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of `df` whose hash column `key` may be in column `among` of `keys`, and all other rows.
+
+    DataFrame operations only: the bitmap is a table of at most 2 ** (BITS - 6) rows that is sent to all tasks.
+    """
+    words = materialise(_words(keys, F.col(among)), "bitmap")
+    word = F.shiftright(F.col(key).bitwiseAND(F.lit((1 << BITS) - 1)), 6)
+    flagged = df.join(F.broadcast(words), word == F.col("bitmap_word"), "left")
+    hit = F.coalesce(F.expr(f"shiftright(bitmap_bits, cast({key} & 63 AS int)) & 1 = 1"), F.lit(False))
+    maybe, rest = (flagged.where(test).drop("bitmap_word", "bitmap_bits") for test in (hit, ~hit))
+    return maybe, rest
+
+
+def build(df: DataFrame, key: Column) -> np.ndarray:
+    """The bitmap of the 64-bit hashes `key` as an array; at most 2 ** (BITS - 6) words arrive here."""
+    words = _words(df, key).toArrow()
     bitmap = np.zeros(1 << (BITS - 6), dtype=np.uint64)
-    for word, bits in words:
-        bitmap[word] = np.uint64(bits & 0xFFFFFFFFFFFFFFFF)
+    bitmap[words.column(0).to_numpy()] = words.column(1).to_numpy().view(np.uint64)
     return bitmap
 
 

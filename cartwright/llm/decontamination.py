@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartwright.llm import bitmap
 from cartwright.session import materialise
 
 WINDOW = 8
@@ -107,7 +108,9 @@ def find_items(docs: DataFrame, benchmark: DataFrame, least_cover: float = LEAST
     hits = hits.join(hashes, F.col("hash") == F.col("item_hash"), "left_semi")
     hits = materialise(hits.distinct(), "window-hits")
     found = hits.select(F.col("row").alias("hit_row")).distinct()
-    texts = source.join(found, F.col("row") == F.col("hit_row"), "left_semi").dropDuplicates(["row"])
+    # A bitmap of the rows with hits keeps the other texts out of the shuffle.
+    maybe, _ = bitmap.split(source, "row", found, "hit_row")
+    texts = maybe.join(found, F.col("row") == F.col("hit_row"), "left_semi").dropDuplicates(["row"])
     texts = texts.select(F.col("row").alias("text_row"), tokens(F.col("text")).alias("tokens"))
     theirs = items.select(
         "item_id", "n_windows", F.col("pos").alias("item_pos"), F.col("hash").alias("item_hash"), F.col("piece").alias("item_piece")
@@ -149,4 +152,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a benchmark item, with their columns."""
     found = materialise(find_items(docs, benchmark).select(F.col("row").alias("found_row")).distinct(), "contaminated")
     whole = docs.select(F.struct(*docs.columns).alias("doc"), F.xxhash64("doc_id", "text").alias("row"))
-    return whole.join(found, F.col("row") == F.col("found_row"), "left_anti").select("doc.*")
+    maybe, rest = bitmap.split(whole, "row", found, "found_row")
+    left = maybe.join(found, F.col("row") == F.col("found_row"), "left_anti")
+    return rest.unionByName(left).select("doc.*")
