@@ -42,7 +42,7 @@ from cartwright.session import materialise
 SHINGLE = 4
 #: Linked: 100 * shared >= PERCENT * union.
 PERCENT = 85
-GROUPS = 64
+GROUPS = 256
 BLOCK = 4096
 LEAF, FAN = 16, 8
 
@@ -110,7 +110,7 @@ def cells(shingles: np.ndarray) -> np.ndarray:
         order = np.argsort(group, kind="stable")
         group = group[order]
         first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-        salt = _U(size_class + 1) * _U(0xD1B54A32D192ED03)
+        salt = _U((size_class + 1) * 0xD1B54A32D192ED03 % (1 << 64))
         content = np.add.reduceat(mix64(shingles[order]), first)
         found.append(mix64(content + group[first] * _U(0x9E3779B97F4A7C15) + salt))
         if len(first) <= k:
@@ -267,6 +267,8 @@ class CountTree:
 
     def __init__(self, n: np.ndarray, counts: np.ndarray, component: np.ndarray):
         self.order = np.lexsort((counts[:, 1], counts[:, 0], n))
+        if counts.max(initial=0) < 256:
+            counts = counts.astype(np.uint8)
         self.n, self.counts, self.component = n[self.order], counts[self.order], component[self.order]
         alone = np.stack([self.component, self.component], axis=1)
         self.levels = [(self.counts, self.n, self.n, alone)]
@@ -311,7 +313,7 @@ class CountTree:
         fit = ~((parts[a, 0] == parts[a, 1]) & (parts[b, 0] == parts[b, 1]) & (parts[a, 0] == parts[b, 0]))
         fit &= (100 * high[a] >= PERCENT * low[b]) & (100 * high[b] >= PERCENT * low[a])
         a, b = a[fit], b[fit]
-        minima = np.minimum(top[a], top[b]).sum(axis=1)
+        minima = np.minimum(top[a], top[b]).sum(axis=1, dtype=np.int64)
         fit = (100 + PERCENT) * minima >= PERCENT * (low[a] + low[b])
         return a[fit], b[fit]
 
@@ -435,12 +437,15 @@ def keep_one(docs: DataFrame) -> DataFrame:
     rows = materialise(placed.groupBy("component", "doc_id", "row").agg(F.count(F.lit(1)).alias("copies")), "rows")
     rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"), F.col("copies"))
     best = rows.where("component IS NOT NULL").groupBy("component").agg(F.min(rank).alias("best"))
-    kept = best.select("best.doc_id", "best.row", (F.col("best.copies") > 1).alias("repeated"))
-    kept = kept.unionByName(rows.where("component IS NULL").select("doc_id", "row", F.lit(False).alias("repeated")))
-    kept = materialise(kept.withColumnsRenamed({"doc_id": "kept_id", "row": "kept_row"}), "survivors")
+    is_best = (F.col("row") == F.col("best.row")) & F.col("doc_id").eqNullSafe(F.col("best.doc_id"))
+    marked = rows.join(best, "component").withColumn("is_best", is_best).where("NOT is_best OR copies > 1")
+    touched = marked.select(F.col("doc_id").alias("touched_id"), F.col("row").alias("touched_row"), "is_best")
+    touched = materialise(touched, "copies")
     whole = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", row_key().alias("row"))
-    joined = whole.join(kept, (F.col("row") == F.col("kept_row")) & F.col("doc_id").eqNullSafe(F.col("kept_id")))
-    if kept.where("repeated").isEmpty():
-        return joined.select("doc.*")
-    once = joined.where("repeated").dropDuplicates(["row", "doc_id"])
-    return joined.where("NOT repeated").unionByName(once).select("doc.*")
+    maybe, rest = bitmap.split(whole, "row", touched, "touched_row")
+    same = (F.col("row") == F.col("touched_row")) & F.col("doc_id").eqNullSafe(F.col("touched_id"))
+    joined = maybe.join(touched, same, "left")
+    kept = rest.select("doc").unionByName(joined.where("is_best IS NULL").select("doc"))
+    if not touched.where("is_best").isEmpty():
+        kept = kept.unionByName(joined.where("is_best").dropDuplicates(["row", "doc_id"]).select("doc"))
+    return kept.select("doc.*")
