@@ -272,7 +272,8 @@ def repeated_starts(texts: DataFrame, length: int, skip: DataFrame) -> DataFrame
     grams = names.groupBy(F.col("gram").alias("g")).agg(
         F.count(F.lit(1)).alias("times"), F.min("block").alias("least"), F.max("block").alias("most")
     )
-    grams = grams.where("times > 1").select("g", (F.col("least") != F.col("most")).alias("open"))
+    # Written first, so that the join below can split a gram that many texts have.
+    grams = materialise(grams.where("times > 1").select("g", (F.col("least") != F.col("most")).alias("open")), "grams")
     named = materialise(names.join(grams, F.col("gram") == F.col("g")).drop("g"), "repeated-names")
     by_block = named.groupBy("gram", "block").agg(
         F.count(F.lit(1)).alias("times"), F.max("open").alias("open"), F.min(F.struct("text_key", "low")).alias("one")
