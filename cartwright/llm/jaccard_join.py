@@ -5,7 +5,7 @@ group are the document's point. Two sets share at most the sum of the smaller of
 which drops most pairs unseen; what is left is verified with the sets.
 
 A tree over all points cannot be shared out, as its boxes overlap in so many dimensions that a search visits most of
-them. So its top is an exact directory. Documents of one size class (sizes within 100/85) deal their shingles into
+them. So its top is an exact directory. Documents of one size class (sizes within 100/PERCENT) deal their shingles into
 one group more than two linked documents of that size can differ in, plus a few, and send a fingerprint of each
 non-empty group: linked documents agree in at least one such cell. Documents also send the cells of the next class.
 Below the directory each cell has its own tree:
@@ -21,6 +21,8 @@ Defined results: empty or null texts have an empty set, are linked with nothing
 of fewer than SHINGLE words has its whole sequence as its one shingle; repeated rows and equal sets link; a null id is the
 smallest of a component only where there is no other. Sets are 64-bit hashes of shingles and a set is known by a 64-bit
 hash of it.
+
+SHINGLE and PERCENT are the contract of the query; other callers pass their own shingle size and percent.
 """
 
 from __future__ import annotations
@@ -77,7 +79,7 @@ def set_key(shingles: np.ndarray) -> int:
     return int(mix64(np.array([total], dtype=_U)).view(np.int64)[0])
 
 
-@lru_cache(maxsize=1)
+@lru_cache(maxsize=8)
 def class_starts(percent: int = PERCENT) -> np.ndarray:
     """The least size of each size class; linked sizes are in one class or in neighbouring ones."""
     starts = [1]
@@ -91,7 +93,7 @@ def most_different(largest: int, percent: int = PERCENT) -> int:
     return 2 * largest * (100 - percent) // (100 + percent)
 
 
-def cells(shingles: np.ndarray) -> np.ndarray:
+def cells(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """The fingerprints of a set's cells. Two linked sets that differ have one in common.
 
     With k the most that linked sets of the class differ in, at most k groups differ; a set with more than
@@ -99,10 +101,10 @@ def cells(shingles: np.ndarray) -> np.ndarray:
     each shingle by itself, which covers the pairs of two such sets.
     """
     n, found = len(shingles), []
-    starts = class_starts()
+    starts = class_starts(percent)
     own = int(np.searchsorted(starts, n, side="right")) - 1
     for size_class in (own, own + 1) if n else ():
-        k = most_different(int(starts[size_class + 1]) - 1)
+        k = most_different(int(starts[size_class + 1]) - 1, percent)
         if not k:
             continue
         groups = k + 5 + k // 50
@@ -118,13 +120,13 @@ def cells(shingles: np.ndarray) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, dtype=_U)
 
 
-def profiles(docs: DataFrame) -> DataFrame:
+def profiles(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """doc_id, row, n, set_key and counts (the point) of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, keys, points = [], [], []
-            for shingles in shingle_sets(batch.column(2).to_pylist()):
+            for shingles in shingle_sets(batch.column(2).to_pylist(), size):
                 sizes.append(len(shingles))
                 keys.append(set_key(shingles))
                 points.append(np.bincount((shingles >> _U(40)).astype(np.int64) % GROUPS, minlength=GROUPS))
@@ -140,17 +142,17 @@ def profiles(docs: DataFrame) -> DataFrame:
     return source.mapInArrow(run, schema)
 
 
-def _cell_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cell_rows(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
     """(cell, set_key); equal sets of a batch are sent once."""
     for batch in batches:
         seen: set[int] = set()
         for at in range(0, batch.num_rows, 500):
             found, keys = [], []
-            for shingles in shingle_sets(batch.column(0).slice(at, 500).to_pylist()):
+            for shingles in shingle_sets(batch.column(0).slice(at, 500).to_pylist(), size):
                 key = set_key(shingles)
                 if len(shingles) and key not in seen:
                     seen.add(key)
-                    found.append(cells(shingles))
+                    found.append(cells(shingles, percent))
                     keys.append(np.full(len(found[-1]), key, dtype=np.int64))
             if found:
                 yield pa.RecordBatch.from_arrays(
@@ -200,39 +202,39 @@ def _shared_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield out(np.array([held_cell]), np.array([held_key]), np.array([first]))
 
 
-def shared_cells(docs: DataFrame) -> DataFrame:
+def shared_cells(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """cell, set_key and first for every cell that several different sets have."""
     text = docs.select(F.col("text").cast("binary").alias("text"))
-    rows = text.mapInArrow(_cell_rows, "cell long, set_key long")
+    rows = text.mapInArrow(lambda batches: _cell_rows(batches, size, percent), "cell long, set_key long")
     sorted_rows = rows.repartition("cell").sortWithinPartitions("cell", "set_key")
     return sorted_rows.mapInArrow(_shared_cells, "cell long, set_key long, first long")
 
 
-def needed_overlap(n_a: Column, n_b: Column) -> Column:
+def needed_overlap(n_a: Column, n_b: Column, percent: int = PERCENT) -> Column:
     """Least number of shared shingles of a linked pair, as a value to compare whole numbers with."""
-    return (n_a + n_b) * F.lit(PERCENT / (100 + PERCENT)) - F.lit(1e-6)
+    return (n_a + n_b) * F.lit(percent / (100 + percent)) - F.lit(1e-6)
 
 
-def bounded_pairs(pairs: DataFrame, points: DataFrame) -> DataFrame:
+def bounded_pairs(pairs: DataFrame, points: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) whose count vectors allow a link."""
     side = lambda name: points.select(
         F.col("set_key").alias(name), F.col("n").alias(f"n_{name}"), F.col("counts").alias(f"counts_{name}")
     )
     minima = F.aggregate(F.zip_with("counts_a", "counts_b", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    return joined.where(minima >= needed_overlap(F.col("n_a"), F.col("n_b"))).select("a", "b")
+    return joined.where(minima >= needed_overlap(F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) that are linked."""
     side = lambda name: sets.select(F.col("set_key").alias(name), F.col("shingles").alias(f"set_{name}"))
     shared = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - F.col("shared")
     joined = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("shared", shared)
-    return joined.where(100 * F.col("shared") >= PERCENT * union).select("a", "b")
+    return joined.where(100 * F.col("shared") >= percent * union).select("a", "b")
 
 
-def sets_of(docs: DataFrame, rows: DataFrame) -> DataFrame:
+def sets_of(docs: DataFrame, rows: DataFrame, size: int = SHINGLE) -> DataFrame:
     """set_key and shingles for the documents whose row key is in `rows` (row), and a few more.
 
     A bitmap of the row keys picks the texts in a pass that does not shuffle them.
@@ -243,7 +245,7 @@ def sets_of(docs: DataFrame, rows: DataFrame) -> DataFrame:
         for batch in batches:
             wanted = batch.filter(pa.array(bitmap.may_hold(shared.value, batch.column(0).to_numpy())))
             for at in range(0, wanted.num_rows, 200):
-                found = [s for s in shingle_sets(wanted.column(1).slice(at, 200).to_pylist()) if len(s)]
+                found = [s for s in shingle_sets(wanted.column(1).slice(at, 200).to_pylist(), size) if len(s)]
                 if found:
                     ends = np.concatenate([[0], np.cumsum([len(s) for s in found])])
                     flat = pa.array(np.concatenate(found).view(np.int64))
@@ -265,7 +267,8 @@ class CountTree:
     A box keeps the largest count per group, the least and largest size, and the component if it has only one.
     """
 
-    def __init__(self, n: np.ndarray, counts: np.ndarray, component: np.ndarray):
+    def __init__(self, n: np.ndarray, counts: np.ndarray, component: np.ndarray, percent: int = PERCENT):
+        self.percent = percent
         self.order = np.lexsort((counts[:, 1], counts[:, 0], n))
         if counts.max(initial=0) < 256:
             counts = counts.astype(np.uint8)
@@ -311,14 +314,14 @@ class CountTree:
         if level == 0:
             a, b = a[a < b], b[a < b]
         fit = ~((parts[a, 0] == parts[a, 1]) & (parts[b, 0] == parts[b, 1]) & (parts[a, 0] == parts[b, 0]))
-        fit &= (100 * high[a] >= PERCENT * low[b]) & (100 * high[b] >= PERCENT * low[a])
+        fit &= (100 * high[a] >= self.percent * low[b]) & (100 * high[b] >= self.percent * low[a])
         a, b = a[fit], b[fit]
         minima = np.minimum(top[a], top[b]).sum(axis=1, dtype=np.int64)
-        fit = (100 + PERCENT) * minima >= PERCENT * (low[a] + low[b])
+        fit = (100 + self.percent) * minima >= self.percent * (low[a] + low[b])
         return a[fit], b[fit]
 
 
-def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _tree_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Candidate pairs within each run of rows with equal (cell, left, right), which arrive together."""
     held: list[pa.RecordBatch] = []
 
@@ -331,7 +334,7 @@ def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, e in zip(edge[:-1], edge[1:]):
             if e - s < 2:
                 continue
-            i, j = CountTree(n[s:e], counts[s:e], component[s:e]).pairs()
+            i, j = CountTree(n[s:e], counts[s:e], component[s:e], percent).pairs()
             # Two blocks meet in a run of their own, where pairs within one block do not count.
             good = (keys[s, 1] == keys[s, 2]) | (side[s:e][i] != side[s:e][j])
             pairs[0].append(set_keys[s:e][i[good]])
@@ -361,7 +364,9 @@ def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from found(pa.Table.from_batches(held))
 
 
-def open_pairs(shared: DataFrame, labels: DataFrame, points: DataFrame, block: int = BLOCK) -> DataFrame:
+def open_pairs(
+    shared: DataFrame, labels: DataFrame, points: DataFrame, block: int = BLOCK, percent: int = PERCENT
+) -> DataFrame:
     """Pairs (a, b) of sets that share a cell, are in different components and may be linked.
 
     The first set of a cell has been paired with the others before, so it is left out.
@@ -393,33 +398,35 @@ def open_pairs(shared: DataFrame, labels: DataFrame, points: DataFrame, block: i
         )
     )
     placed = dealt.repartition("cell", "left", "right").sortWithinPartitions("cell", "left", "right")
-    return placed.mapInArrow(_tree_pairs, "a long, b long").distinct()
+    return placed.mapInArrow(lambda batches: _tree_pairs(batches, percent), "a long, b long").distinct()
 
 
-def set_components(docs: DataFrame, table: DataFrame, block: int = BLOCK) -> DataFrame:
+def set_components(
+    docs: DataFrame, table: DataFrame, block: int = BLOCK, size: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
     """node (a set key) and label of every set that is linked with another one; `table` holds the profiles."""
-    shared = materialise(shared_cells(docs), "shared-cells")
+    shared = materialise(shared_cells(docs, size, percent), "shared-cells")
     members = shared.select("set_key").distinct()
     known = table.join(members, "set_key", "left_semi").groupBy("set_key")
     points = materialise(
         known.agg(F.min(F.struct("row", "n", "counts")).alias("p")).select("set_key", "p.row", "p.n", "p.counts"), "points"
     )
-    sets = materialise(sets_of(docs, points), "sets")
+    sets = materialise(sets_of(docs, points, size), "sets")
     points = points.drop("row")
     stars = shared.where("set_key <> first").select(F.col("first").alias("a"), F.col("set_key").alias("b")).distinct()
-    links = materialise(verified(bounded_pairs(stars, points), sets), "star-links")
+    links = materialise(verified(bounded_pairs(stars, points, percent), sets, percent), "star-links")
     labels = components(links)
-    more = materialise(verified(open_pairs(shared, labels, points, block), sets), "tree-links")
+    more = materialise(verified(open_pairs(shared, labels, points, block, percent), sets, percent), "tree-links")
     return labels if more.isEmpty() else components(links.unionByName(more))
 
 
-def join_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+def join_documents(docs: DataFrame, block: int = BLOCK, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, row, n_shingles, component and component_id of each document.
 
     `component` is the same for the documents of a component, component_id is its smallest doc_id.
     """
-    table = materialise(profiles(docs), "profiles")
-    labels = set_components(docs, table, block)
+    table = materialise(profiles(docs, size), "profiles")
+    labels = set_components(docs, table, block, size, percent)
     placed = table.drop("counts").join(labels.withColumnRenamed("node", "set_key"), "set_key", "left")
     placed = placed.withColumn("component", F.when(F.col("n") > 0, F.coalesce("label", "set_key")))
     placed = materialise(placed.select("doc_id", "row", F.col("n").alias("n_shingles"), "component"), "placed")
@@ -428,12 +435,12 @@ def join_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     return joined.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Of each component the row with the smallest id (then row key), and every document without words.
 
     The columns are those of `docs`. Fully repeated rows of a survivor are reduced to one.
     """
-    placed = join_documents(docs).select("doc_id", "row", "n_shingles", "component")
+    placed = join_documents(docs, size=size, percent=percent).select("doc_id", "row", "n_shingles", "component")
     rows = materialise(placed.groupBy("component", "doc_id", "row").agg(F.count(F.lit(1)).alias("copies")), "rows")
     rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"), F.col("copies"))
     best = rows.where("component IS NOT NULL").groupBy("component").agg(F.min(rank).alias("best"))
