@@ -35,6 +35,14 @@ def split(df: DataFrame, key: str, keys: DataFrame, among: str) -> tuple[DataFra
     return maybe, rest
 
 
+def within(df: DataFrame, key: str, keys: DataFrame, among: str) -> DataFrame:
+    """The first part of `split` alone; the other rows are dropped in the join with the bitmap."""
+    words = materialise(_words(keys, F.col(among)), "bitmap")
+    word = F.shiftright(F.col(key).bitwiseAND(F.lit((1 << BITS) - 1)), 6)
+    flagged = df.join(F.broadcast(words), word == F.col("bitmap_word"))
+    return flagged.where(F.expr(f"shiftright(bitmap_bits, cast({key} & 63 AS int)) & 1 = 1")).drop("bitmap_word", "bitmap_bits")
+
+
 def build(df: DataFrame, key: Column) -> np.ndarray:
     """The bitmap of the 64-bit hashes `key` as an array; at most 2 ** (BITS - 6) words arrive here."""
     words = _words(df, key).toArrow()

@@ -367,6 +367,23 @@ def test_leaks_of_the_given_tables(spark, texts):
     assert whole and whole <= found and len(found) <= len(whole) + 2
 
 
+def held_items(spark, items, texts):
+    """The rows found, by number of text and item."""
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {(r["doc_id"], r["item_id"]): r for r in decontamination.contaminated(docs, benchmark).collect()}
+
+
+def test_items_of_a_template_with_other_equal_values(spark):
+    """The first item has two equal values by chance; the others are found by their own slots, and all are named."""
+    item = "A train leaves the old town with {} wagons and picks up {} more at the last station before it goes over the long bridge."
+    items = [item.format(*n) for n in ((3, 3), (3, 5), (4, 9), (3, 5))]
+    found = held_items(spark, items, [items[1], items[0], item.format(70, 80), item.format(6, 6), items[2]])
+    assert {doc for doc, _ in found} == {0, 1, 2, 3, 4} and found[(0, 1)]["item_ids"] == [1, 2, 3]
+    assert found[(0, 1)]["cover"] == 1 and not found[(0, 1)]["reparameterised"] and not found[(4, 1)]["reparameterised"]
+    assert found[(1, 0)]["item_ids"] == [0] and found[(2, 1)]["reparameterised"] and (2, 0) not in found
+
+
 # --- token counts
 
 
