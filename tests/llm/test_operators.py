@@ -1,6 +1,7 @@
 """The operators against brute force, on whole small tables and on rows with nulls, ties, repeats and odd columns."""
 
 import collections
+import functools
 import math
 
 import brute
@@ -384,6 +385,19 @@ def test_items_of_a_template_with_other_equal_values(spark):
     assert found[(1, 0)]["item_ids"] == [0] and found[(2, 1)]["reparameterised"] and (2, 0) not in found
 
 
+def test_names_at_sentence_starts_and_other_cases(spark):
+    item = "Anna has 12 apples. Anna gives 3 of them to Bert. Bert eats 2 of these apples. Anna buys 7 more. How many apples does Anna have now?"
+    german = "Der Bauer bringt am Morgen Korn zur Mühle und der Müller mahlt Mehl, das die Frau im Dorf zu Brot backt."
+    swap = lambda text, *pairs: functools.reduce(lambda t, p: t.replace(*p), pairs, text)
+    other = swap(item, ("Anna", "Carla"), ("Bert", "Dora"), ("12", "40"))
+    # One name stands for two, at sentence starts and elsewhere.
+    mixed = swap(other, ("Carla gives", "Eva gives"), ("does Carla", "does Finn"))
+    texts = [item, other, item.lower(), item.upper(), german.lower(), german.upper(), mixed, "Anna has a farm. Bert has a dog."]
+    found = held_items(spark, [item, german], texts)
+    assert set(found) == {(0, 0), (1, 0), (2, 0), (3, 0), (4, 1), (5, 1)}
+    assert {key for key, r in found.items() if r["reparameterised"]} == {(1, 0)} and all(r["cover"] == 1 for r in found.values())
+
+
 # --- token counts
 
 
