@@ -398,6 +398,22 @@ def test_names_at_sentence_starts_and_other_cases(spark):
     assert {key for key, r in found.items() if r["reparameterised"]} == {(1, 0)} and all(r["cover"] == 1 for r in found.values())
 
 
+def test_items_of_few_words_and_long_passages(spark):
+    items = ["Compute 12 + 34 - 56 * 78 and 9 / 3.", "Rare zyx", "1 2 3 4 5 6 7 8 9 10", " ".join(f"part{chr(97 + n // 26)}{chr(97 + n % 26)}" for n in range(100)), "!"]
+    long = items[3].split()
+    texts = [f"It says: {t} That is all." for t in items[:3]]
+    texts += ["Compute 12 + 34 - 56 * 79 and 9 / 3.", "rare and zyx", "1 2 3 4 6 5 7 8 9 10"]
+    texts += [" ".join(["before", *long[30:60], "after"]), " ".join(["before", *long[30:42], "after"]), "!"]
+    assert set(held_items(spark, items, texts)) == {(0, 0), (1, 1), (2, 2), (6, 3)}
+
+
+def test_absent_units_are_no_tokens(spark):
+    """Numbers without a unit leave enough words for a template."""
+    item = "Take 4 eggs, 2 spoons, 7 nuts, 5 plums."
+    found = held_items(spark, [item], ["Take 9 eggs, 3 spoons, 8 nuts, 6 plums."])
+    assert found[(0, 0)]["reparameterised"]
+
+
 # --- token counts
 
 
