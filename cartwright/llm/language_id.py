@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwright.llm.sampling import hash_sample
+from cartwright.llm.sampling import hash_sample_by
 
 SAMPLE_DOCS = 2000
 LANGUAGES = 200
@@ -77,11 +77,11 @@ def _log_scores(counts: dict[str, np.ndarray], keys: list[str], smoothing: float
 def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, most_words: int = WORDS) -> LanguageModel | None:
     """A model of the rows (text, lang) whose columns are not null; None without a word to learn from."""
     labelled = labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", F.col("text").cast("binary").alias("text"))
+    labelled = labelled.where(F.col("lang") != UNKNOWN)
     docs = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    docs = [row for row in docs if row["lang"] != UNKNOWN]
     if not docs:
         return None
-    sample = hash_sample(labelled.where(F.col("lang").isin([r["lang"] for r in docs])), sample_docs * len(docs), "text")
+    sample = hash_sample_by(labelled, "lang", {r["lang"]: r["count"] for r in docs}, sample_docs, "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -99,7 +99,9 @@ def fit(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, most_words: int = W
     kept = counted.withColumn("nth", F.row_number().over(frequent)).where(F.col("nth") <= most_words).drop("nth").collect()
     if not kept:
         return None
-    return build_model({r["lang"]: r["count"] for r in docs}, [(r["lang"], r["word"], r["n"]) for r in kept])
+    # A language without a learned word would only attract what nobody knows.
+    learned = {r["lang"] for r in kept}
+    return build_model({r["lang"]: r["count"] for r in docs if r["lang"] in learned}, [(r["lang"], r["word"], r["n"]) for r in kept])
 
 
 def build_model(docs: dict[str, int], rows: list[tuple[str, str, int]]) -> LanguageModel:

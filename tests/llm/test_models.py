@@ -122,6 +122,17 @@ def test_unseen_words_fall_back_to_grams():
         assert scorer.predict(none) == ("und", 0.0)
 
 
+def test_rare_languages_are_learned(spark):
+    """Each language has its own draw, and one without a word is no language of the model."""
+    rows = [("x", f"common{chr(97 + n % 26)} hello{n}") for n in range(4000)] + [("y", f"seldom{chr(97 + n)} word") for n in range(20)]
+    rows += [("z", f"{n} !") for n in range(50)]
+    model = language_id.fit(spark.createDataFrame(rows, "lang string, text string"), sample_docs=30)
+    assert model.languages == ["x", "y"]
+    assert {f"seldom{chr(97 + n)}" for n in range(20)} <= set(model.words)
+    drawn = language_id.hash_sample_by(spark.createDataFrame(rows, "lang string, text string"), "lang", {"x": 4000, "y": 20}, 30, "text")
+    assert {"y"} <= {r["lang"] for r in drawn.collect()} <= {"x", "y"} and 20 + 10 < drawn.count() < 20 + 60
+
+
 def test_language_of_awkward_rows(spark):
     docs = clashing(spark)
     got = language_id.identify(docs)
