@@ -63,6 +63,8 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     The second batch is committed twice.
     """
     docs = documents(spark, sf_dir).select("doc_id", "text", "source", "lang")
+    # A document keeps its key when its text is revised.
+    docs = docs.withColumn("id", F.col("doc_id")).withColumn("doc_id", token_counts.document_key())
     rollup = token_counts.TokenRollup(spark, scratch_path(spark, "token-rollup"))
     rollup.commit(1, token_counts.counted(docs))
     plain = docs.withColumn("text", F.regexp_replace("text", r"[#*$%&|<>]", "")).where(docs["text"].rlike(r"[#*$%&|<>]"))
@@ -70,10 +72,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup.commit(2, revised)
     rollup.commit(2, revised)
     # The first document of each text stays. Grouping combines copies before the shuffle, and ids are joined, not texts.
-    hashed = docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("hash"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
-    first = hashed.groupBy("hash", "sha").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    copies = hashed.select("doc_id").join(first, "doc_id", "left_anti")
-    gone = copies.select(F.lit("delete").alias("op"), F.col("doc_id").cast("string").alias("key"))
+    hashed = docs.where("text IS NOT NULL").select(
+        "id", F.col("doc_id").alias("key"), F.xxhash64("text").alias("hash"), F.sha2(F.col("text").cast("binary"), 256).alias("sha")
+    )
+    rank = F.struct(F.col("id").isNull(), F.col("id"), F.col("key"))
+    first = hashed.groupBy("hash", "sha").agg(F.min(rank).alias("first")).select("first.key")
+    copies = hashed.select("key").distinct().join(first, "key", "left_anti")
+    gone = copies.select(F.lit("delete").alias("op"), "key")
     versions = F.explode(F.array(*[F.lit(v) for v in token_counts.PATTERNS]))
     gone = gone.select(
         "op",

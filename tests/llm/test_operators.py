@@ -15,6 +15,7 @@ from cartwright.llm import (
     jaccard_join,
     line_dedup,
     mixing,
+    oracles,
     queries,
     quality_rules,
     suffix_dedup,
@@ -465,3 +466,14 @@ def test_bitmap_misses_no_key(spark):
     assert bitmap.may_hold(held, values).all()
     assert bitmap.may_hold(held, np.arange(100_000, dtype=np.int64) * 2654435761).mean() < 0.01
     assert not bitmap.build(keys.limit(0), F.col("key")).any()
+
+
+def test_token_counts_of_copies_without_id(spark, duck, tmp_path):
+    """A copy without an id goes if its text has one, and stays as one document if not, also where its text is revised."""
+    rows = [(1, "a b c", "en", "a"), (None, "a b c", "en", "b"), (None, "d | e", "en", "a"), (None, "d | e", "en", "a"), (10, "f g", "de", "a"), (9, "f g", "de", "b")]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = rows_of(queries.op6_token_counts(spark, str(tmp_path)), "source", "lang", "version", "docs", "tokens")
+    statement = oracles.ORACLES["op6_token_counts"].replace("FROM documents", f"FROM '{tmp_path}/documents.parquet/*.parquet'")
+    expected = duck.execute(f"SELECT source, lang, version, docs, tokens FROM ({statement})").fetchall()
+    assert got == sorted(expected)
