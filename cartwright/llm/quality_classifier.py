@@ -118,8 +118,8 @@ def fit(stats: np.ndarray, label: np.ndarray, trees: int = TREES, depth: int = D
 
 
 def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> BoostedTrees | None:
-    """Trees from rows of stats and label (0 or 1); None without any."""
-    rows = hash_sample(labelled.where("label IS NOT NULL"), sample_rows, "stats", "label").toPandas()
+    """Trees from rows of stats and label (0 or 1); None without any. All columns choose the sample, so an id spreads copies."""
+    rows = hash_sample(labelled.where("label IS NOT NULL"), sample_rows, *labelled.columns).select("stats", "label").toPandas()
     if rows.empty:
         return None
     rows = rows.assign(key=rows["stats"].map(tuple)).sort_values(["key", "label"])
@@ -149,5 +149,5 @@ def classify(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0)
     docs = docs.select("doc_id", "text", held_out(F.col("doc_id"), folds, fold).alias("held_out"))
     table = materialise(statistics(docs, "text", "doc_id", "held_out"), "document-statistics")
     known = labels.where("quality IS NOT NULL").select("doc_id", F.col("quality").alias("label"))
-    labelled = table.where(~F.col("held_out")).join(known, "doc_id").select("stats", "label")
+    labelled = table.where(~F.col("held_out")).join(known, "doc_id").select("stats", "label", "doc_id")
     return score(table, train(labelled))

@@ -11,6 +11,7 @@ from test_operators import PROSE, SMALL, awkward, clashing
 
 from cartwright.llm import language_id, pii, quality_classifier, queries
 from cartwright.llm.char_tagger import CLASSES, Tagger
+from cartwright.llm.sampling import hash_sample
 
 LARGER = "/root/testdata/sf0.01"
 CARD = "4111 1111 1111 1111"
@@ -167,6 +168,18 @@ def test_trees_fit_steps_and_ignore_row_order():
     assert (constant.score(np.ones((3, 4))) > 0.9).all()
 
 
+def test_copies_are_sampled_like_other_rows(spark, monkeypatch):
+    """A third of the labelled rows are empty texts; about as large a share is learned, within the bound."""
+    seen = []
+    monkeypatch.setattr(quality_classifier, "hash_sample", lambda df, rows, *keys: seen.append(hash_sample(df, 300, *keys)) or seen[-1])
+    docs = [(n, "" if n % 3 == 0 else " ".join(["word"] * (n + 1))) for n in range(3000)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    assert quality_classifier.classify(docs, labels).count() == 3000
+    words = [r["stats"][0] for r in seen[0].collect()]
+    assert 200 < len(words) < 400 and 50 < sum(w == 0 for w in words) < 150
+
+
 def test_quality_of_awkward_rows(spark):
     docs = clashing(spark)
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, None), (None, 1), (6, 0), (77, 1)], "doc_id long, quality int")
