@@ -57,4 +57,49 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_re
 FROM documents d LEFT JOIN counted USING (doc_id) LEFT JOIN gone USING (doc_id)
 """
 
-ORACLES = {"op6_token_counts": TOKEN_COUNTS, "op9_line_dedup": LINE_DEDUP}
+LEXICAL_SEARCH = r"""
+WITH doc AS (
+    SELECT row_number() OVER () AS row_id, doc_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), long AS (
+    SELECT row_id, doc_id, CAST(len(terms) AS BIGINT) AS n, terms FROM doc WHERE len(terms) > 0
+), total AS (
+    SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS words FROM long
+), item AS (
+    SELECT DISTINCT item_id, text FROM benchmark
+), asked AS (
+    SELECT item_id, term, CAST(count(*) AS BIGINT) AS times
+    FROM (
+        SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM item
+    )
+    GROUP BY item_id, term
+), posting AS (
+    SELECT row_id, term, CAST(count(*) AS BIGINT) AS tf
+    FROM (SELECT row_id, unnest(terms) AS term FROM long)
+    WHERE term IN (SELECT term FROM asked)
+    GROUP BY row_id, term
+), weight AS (
+    SELECT term, CAST(floor(1000 * ln((2 * max(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+    FROM posting, total
+    GROUP BY term
+), scored AS (
+    SELECT item_id, posting.row_id,
+           sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // words)))) AS score
+    FROM asked JOIN posting USING (term) JOIN weight USING (term) JOIN long USING (row_id), total
+    GROUP BY item_id, posting.row_id
+), ranked AS (
+    SELECT item_id, doc_id, score,
+           row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank
+    FROM scored JOIN long USING (row_id)
+    WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score
+FROM ranked
+WHERE rank <= 20
+"""
+
+ORACLES = {"op6_token_counts": TOKEN_COUNTS, "op9_line_dedup": LINE_DEDUP, "op12_lexical_search": LEXICAL_SEARCH}

@@ -11,12 +11,15 @@ from cartwright.llm import (
     decontamination,
     jaccard_join,
     language_id,
+    lexical_search,
     line_dedup,
+    minhash_dedup,
     mixing,
     oracles,
     pii,
     quality_classifier,
     quality_rules,
+    run_detection,
     suffix_dedup,
     token_counts,
 )
@@ -109,6 +112,51 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(documents(spark, sf_dir), labels)
 
 
+def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.dedup_documents(documents(spark, sf_dir))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where the end of one text in ten repeats its first words; the hash of the id says from where and how often."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    cut = docs.select("doc_id", "text", words.alias("words"), F.floor(h / 10).alias("g"))
+    cut = cut.withColumn("n", F.size("words"))
+    cut = cut.withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.col("n")).cast("int")))
+    cut = cut.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    period = F.slice("words", F.col("a") + 1, F.col("p"))
+    tail = F.slice(F.flatten(F.array_repeat(period, times)), F.lit(1), F.col("n") - F.col("a"))
+    repeated = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return cut.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op13_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = run_detection.detect_runs(_with_periods(documents(spark, sf_dir)), "doc_id")
+    longer = lambda best, run: run["length"] * best["period"] > best["length"] * run["period"]
+    best = F.aggregate(
+        "runs",
+        F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"),
+        lambda best, run: F.when(best.isNull() | longer(best, run), run).otherwise(best),
+    )
+    listed = F.transform("runs", lambda run: F.concat_ws(",", run["start"], run["length"], run["period"]))
+    listed = F.array_join(F.transform(listed, lambda run: F.concat(run, F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
@@ -121,6 +169,9 @@ def queries() -> dict[str, Query]:
         "op8_jaccard_join": op8_jaccard_join,
         "op9_line_dedup": op9_line_dedup,
         "op10_quality_classifier": op10_quality_classifier,
+        "op11_minhash_dedup": op11_minhash_dedup,
+        "op12_lexical_search": op12_lexical_search,
+        "op13_run_detection": op13_run_detection,
     }
 
 

@@ -55,9 +55,12 @@ def blocks(texts: list[bytes | None], most: int = BLOCK_BYTES) -> Iterator[tuple
 
 
 class Block:
-    """The bytes of some texts, one after the other with a line break behind each, and where their words are."""
+    """The bytes of some texts, one after the other with a line break behind each, and where their words are.
 
-    def __init__(self, texts: list[bytes], lower: bool = False):
+    A word is a run of bytes that are no `separators`, a flag per byte; a line break must be one.
+    """
+
+    def __init__(self, texts: list[bytes], lower: bool = False, separators: np.ndarray = IS_SPACE):
         joined = b"\n".join(texts) + b"\n"
         self.bytes = np.frombuffer(joined, dtype=np.uint8)
         if lower:
@@ -65,7 +68,7 @@ class Block:
         lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
         #: Text k lies at [starts[k], starts[k + 1] - 1).
         self.starts = np.concatenate([[0], np.cumsum(lengths + 1)])
-        space = IS_SPACE[self.bytes]
+        space = separators[self.bytes]
         edge = np.flatnonzero(space[1:] != space[:-1]) + 1
         if not space[0]:
             edge = np.concatenate([[0], edge])

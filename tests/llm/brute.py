@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 SPACE = " \t\n\x0b\x0c\r"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -111,3 +114,89 @@ def similar_lines(rows: list[tuple[int, str | None]], percent: int = 80) -> dict
                 lines.append(tokens)
         result[i] = (own, ",".join(gone))
     return result
+
+
+def shingle_sets(texts: list[str | None], size: int) -> list[set]:
+    """Lower-cased word shingles; a text of fewer words has its whole sequence."""
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    found = []
+    for text in texts:
+        w = words((text or "").translate(lower))
+        found.append({tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set())
+    return found
+
+
+def near_copies(texts: list[str | None], size: int, percent: int) -> list[int]:
+    """A label per text; linked texts have the same one."""
+    sets = shingle_sets(texts, size)
+    label = list(range(len(texts)))
+    holders = defaultdict(list)
+    for i, s in enumerate(sets):
+        for x in s:
+            holders[x].append(i)
+    for i, s in enumerate(sets):
+        shared = Counter(j for x in s for j in holders[x] if j < i)
+        for j, n in shared.items():
+            if 100 * n >= percent * (len(s) + len(sets[j]) - n) and label[i] != label[j]:
+                old, new = label[i], label[j]
+                label = [new if x == old else x for x in label]
+    return label
+
+
+def word_runs(w: list[str]) -> list[tuple[int, int, int]]:
+    """(start, length, period) of all runs, trying every period."""
+    found = {}
+    for q in range(1, len(w) // 3 + 1):
+        i = 0
+        while i + q < len(w):
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            if j + q - i >= max(24, 3 * q):
+                found.setdefault((i, j + q), q)
+            i = j + 1
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def run_row(doc_id: int | None, text: str | None) -> tuple:
+    """The row of the run query but for its id."""
+    w = words(text)
+    if doc_id is not None and w:
+        h = zlib.crc32(str(doc_id).encode())
+        g = h // 10
+        if h % 10 == 0:
+            a = g % len(w)
+            p = 1 + (len(w) - a) // (3 + g % 8)
+            w = [w[i] if i < a else w[a + (i - a) % p] for i in range(len(w))]
+    runs = word_runs(w)
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2])) if runs else None
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    listed = sha("".join(f"{s},{n},{q}\n" for s, n, q in runs))
+    kept = sha(" ".join(x for i, x in enumerate(w) if i not in gone))
+    return (len(runs), *(best or (None,) * 3), 1000 * best[1] // best[2] if best else None, listed, kept)
+
+
+def best_matches(documents: list[tuple], items: list[tuple], k: int = 20) -> list[tuple]:
+    """(item_id, rank, doc_id, score) by scoring every document."""
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    terms = lambda text: re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(lower))
+    counted = [(doc_id, Counter(terms(text))) for doc_id, text in documents]
+    counted = [(doc_id, c) for doc_id, c in counted if c]
+    n_docs, n_words = len(counted), sum(c.total() for _, c in counted)
+    df = Counter(t for _, c in counted for t in c)
+    found = []
+    for item_id, text in set(items):
+        scores = []
+        for doc_id, c in counted:
+            m = 75 + (25 * c.total() * n_docs) // n_words
+            score = sum(
+                math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 12 * m))
+                for t in terms(text)
+                if t in c
+            )
+            if score > 0:
+                scores.append((-score, doc_id is None, doc_id or 0))
+        for rank, (score, empty, doc_id) in enumerate(sorted(scores)[:k], 1):
+            found.append((item_id, rank, None if empty else doc_id, -score))
+    return found
