@@ -94,15 +94,25 @@ def _starts(forms: Column, size: int) -> Column:
     return F.when(F.size(forms) >= size, F.sequence(F.lit(0), F.size(forms) - size)).otherwise(F.array().cast("array<int>"))
 
 
-def windows(size: int) -> Column:
-    """(pos, size, hashes) of every window of `size` tokens of the columns typed, open and exact."""
-    kinds = ("typed", "open", "exact") if size >= LEAST_WORDS else ("exact",)
+def window_hashes(forms: DataFrame, sizes: list[int]) -> DataFrame:
+    """doc_id, row, pos, size and hash of every window of the columns typed, open and exact; equal forms of a window are listed once.
 
-    def window(pos: Column) -> Column:
-        hashes = [F.xxhash64(F.slice(F.col(kind), pos + 1, size)) for kind in kinds]
-        return F.struct(pos.alias("pos"), F.lit(size).alias("size"), F.array_distinct(F.array(*hashes)).alias("hashes"))
-
-    return F.transform(_starts(F.col("exact"), size), window)
+    The windows are rows before they are hashed, so that the hashes are compiled code. A row's number holds place and size.
+    """
+    n = F.size("exact")
+    numbered = [
+        F.when(n >= size, F.sequence(F.lit(size), (n - size) * 16 + size, F.lit(16))).otherwise(F.array().cast("array<int>"))
+        for size in sizes
+    ]
+    rows = forms.select("doc_id", "row", "typed", "open", "exact", F.explode(F.concat(*numbered)).alias("window"))
+    pos, size = F.shiftright("window", 4), F.col("window").bitwiseAND(F.lit(15))
+    hashed = lambda kind: F.xxhash64(F.slice(F.col(kind), pos + 1, size)).alias(kind)
+    rows = rows.select("doc_id", "row", pos.alias("pos"), size.alias("size"), hashed("typed"), hashed("open"), hashed("exact"))
+    worded = F.col("size") >= LEAST_WORDS
+    typed = F.when(worded & (F.col("typed") != F.col("exact")), F.col("typed"))
+    opened = F.when(worded & (F.col("open") != F.col("typed")) & (F.col("open") != F.col("exact")), F.col("open"))
+    rows = rows.select("doc_id", "row", "pos", "size", F.explode(F.array("exact", typed, opened)).alias("hash"))
+    return rows.where(F.col("hash").isNotNull())
 
 
 def templates(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
@@ -184,9 +194,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, least_cover: float = LEAST
         open_template(F.col("tokens")).alias("open"),
         exact(F.col("tokens")).alias("exact"),
     )
-    found = F.concat(*[windows(size) for size in sizes or [WINDOW]])
-    hits = forms.select("doc_id", "row", F.explode(found).alias("w"))
-    hits = hits.select("doc_id", "row", "w.pos", "w.size", F.explode("w.hashes").alias("hash"))
+    hits = window_hashes(forms, sizes or [WINDOW])
     # A bitmap of the hashes is sent to the texts, so that few windows are joined.
     hits = bitmap.within(hits, "hash", hashes, "item_hash").join(hashes, F.col("hash") == F.col("item_hash"), "left_semi")
     hits = materialise(hits.distinct(), "window-hits")
