@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartwright.llm import bitmap
 from cartwright.llm.text_blocks import Block, blocks
 from cartwright.session import materialise
 
@@ -182,7 +183,17 @@ def apply_rules(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The documents that the rules keep, with their columns as they were. Texts are read twice and not shuffled."""
-    limits = materialise(group_thresholds(measure(docs, "text", "lang", "source")), "rule-limits")
-    whole = docs.select(F.struct(*docs.columns).alias("doc"), "lang", "source", "text")
-    return judge(measure(whole, "text", "doc", "lang", "source"), limits).where("kept").select("doc.*")
+    """The documents that the rules keep, with their columns as they were.
+
+    A verdict depends on text, language and source only, so a hash of these stands for a document while it is judged. Texts of
+    kept documents are not shuffled but for the few that pass the bitmap of rejected hashes.
+    """
+    key = F.xxhash64("text", "lang", "source")
+    measured = measure(docs.select(key.alias("key"), "lang", "source", "text"), "text", "key", "lang", "source")
+    measured = materialise(measured, "rule-measures")
+    judged = judge(measured, materialise(group_thresholds(measured), "rule-limits"))
+    rejected = materialise(judged.where("NOT kept").select(F.col("key").alias("rejected_key")).distinct(), "rejected")
+    whole = docs.select(F.struct(*docs.columns).alias("doc"), key.alias("key"))
+    maybe, rest = bitmap.split(whole, "key", rejected, "rejected_key")
+    left = maybe.join(rejected, F.col("key") == F.col("rejected_key"), "left_anti")
+    return rest.select("doc.*").unionByName(left.select("doc.*"))
