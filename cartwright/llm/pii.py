@@ -82,7 +82,9 @@ def pattern_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, in order of start and then of KINDS."""
     found = [("email", s, e) for s, e in _emails(text)]
     for m in _IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m.group().split(".")):
+        # Without leading zeros, as the whole run may be longer than a number that can be read.
+        parts = [part.lstrip("0") for part in m.group().split(".")]
+        if all(len(part) <= 3 and int(part or 0) <= 255 for part in parts):
             found.append(("ip", *m.span()))
     for kind, pattern in (("card", _CARD), ("phone", _PHONE)):
         least, most = MOST_DIGITS[kind]

@@ -188,3 +188,8 @@ def test_quality_of_awkward_rows(spark):
     nothing = quality_classifier.classify(docs, labels.limit(0))
     assert {(r["score"], r["predicted"]) for r in nothing.collect()} == {(0.5, 1)}
     assert quality_classifier.classify(docs.limit(0), labels).count() == 0
+
+
+def test_long_runs_of_digits():
+    zeros = "0" * 5000
+    assert [k for k, _, _ in pii.pattern_spans(f"at {zeros}10.1.1.1 and {zeros}.{zeros}.{zeros}.{zeros} and 9{zeros}.1.1.1")] == ["ip", "ip"]

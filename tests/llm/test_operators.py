@@ -477,3 +477,10 @@ def test_token_counts_of_copies_without_id(spark, duck, tmp_path):
     statement = oracles.ORACLES["op6_token_counts"].replace("FROM documents", f"FROM '{tmp_path}/documents.parquet/*.parquet'")
     expected = duck.execute(f"SELECT source, lang, version, docs, tokens FROM ({statement})").fetchall()
     assert got == sorted(expected)
+
+
+def test_lines_of_documents_with_text_ids(spark):
+    """Ids that are no whole number come after all others."""
+    rows = [("b", PROSE), ("7", PROSE + "\nanother line of words"), ("a", "nothing here is like it")]
+    found = line_dedup.dedup_report(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert {r["doc_id"]: r["removed_lines"] for r in found} == {"b": "0", "7": "", "a": ""}
