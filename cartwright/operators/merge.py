@@ -37,20 +37,24 @@ def merge_into(
     replayed or batches arrive out of order.
     """
     with scratch_scope(spark):
-        batch = materialise(latest_per_key(batch, key, order), "merge-batch")
+        batch = latest_per_key(batch, key, order)
         table = read_if_written(spark, path)
         merged = batch
         if table is not None:
-            low, high = (batch.agg(edge(partition)).scalar() for edge in (F.min, F.max))
-            has_null = batch.agg(F.coalesce(F.max(F.col(partition).isNull()), F.lit(False))).scalar()
+            batch = materialise(batch, "merge-batch")
             # The bounds prune the scan to the days between, the semi join to the days themselves.
-            touched = batch.select(partition).where(F.col(partition).between(low, high)).distinct()
-            kept = table.where(F.col(partition).between(low, high)).join(touched, partition, "left_semi")
-            without = table.where(F.col(partition).isNull() & has_null).select(*kept.columns)
-            both = kept.unionByName(without).unionByName(batch, allowMissingColumns=True)
-            merged = materialise(latest_per_key(both, key, order), "merge-result")
-        if merged.isEmpty():
-            return
+            day = F.col(partition)
+            low, high, has_null = batch.agg(F.min(day), F.max(day), F.max(day.isNull())).first()
+            if has_null is None:
+                return
+            between = day.between(F.lit(low), F.lit(high))
+            touched = batch.select(partition).where(between).distinct()
+            kept = table.where(between).join(touched, partition, "left_semi")
+            if has_null:
+                kept = kept.unionByName(table.where(day.isNull()).select(*kept.columns))
+            both = kept.unionByName(batch, allowMissingColumns=True)
+            merged = latest_per_key(both, key, order)
+        # Partitions are replaced when all tasks are done, so the files that are read are still there.
         (
             merged.hint("rebalance", F.col(partition))
             .write.mode("overwrite")

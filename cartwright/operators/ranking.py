@@ -37,6 +37,15 @@ def _positions(df: DataFrame, keys: list[str]) -> tuple[DataFrame, dict[int, int
     return table, starts, sum(count for _, count in ordered)
 
 
+def add_positions(df: DataFrame, *keys: str, name: str = "position") -> DataFrame:
+    """Adds the place, from 1, of each row in the order of the keys, nulls first; rows with equal keys in any order."""
+    table, before, _ = _positions(df, list(keys))
+    starts = df.sparkSession.createDataFrame(list(before.items()), "partition long, first long")
+    place = F.col("first") + F.col("position").bitwiseAND(F.lit((1 << PARTITION_BITS) - 1)) + 1
+    placed = table.join(starts, F.shiftright("position", PARTITION_BITS) == F.col("partition"))
+    return placed.select(*df.columns, place.alias(name))
+
+
 def _tile_starts(rows: int, tiles: int) -> list[int]:
     """0-based rank of the first row of tiles 2..k; the first `rows % tiles` tiles hold one row more."""
     size, extra = divmod(rows, tiles)

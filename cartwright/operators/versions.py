@@ -66,6 +66,43 @@ def history(df: DataFrame, current: int | None = None) -> DataFrame:
     )
 
 
+def commit_log(df: DataFrame, parents: dict[int, int | None]) -> DataFrame:
+    """The snapshots of a table whose history has branches: `parents` names the parent of those that do not follow the one before."""
+    log = snapshot_log(df).select("snapshot_id", "parent_id", "committed_at", "added_records")
+    for snapshot_id, parent_id in parents.items():
+        parent = F.when(F.col("snapshot_id") == snapshot_id, F.lit(parent_id).cast("long")).otherwise(F.col("parent_id"))
+        log = log.withColumn("parent_id", parent)
+    return log
+
+
+def ancestors(log: DataFrame, current: int) -> DataFrame:
+    """snapshot_id of `current` and of its parents up to the first, by walking the log."""
+    return log.sparkSession.sql(
+        """WITH RECURSIVE chain(snapshot_id, parent_id) AS (
+            SELECT snapshot_id, parent_id FROM {log} WHERE snapshot_id = {current}
+            UNION ALL
+            SELECT l.snapshot_id, l.parent_id FROM {log} l JOIN chain c ON l.snapshot_id = c.parent_id
+        ) SELECT snapshot_id FROM chain""",
+        log=log,
+        current=int(current),
+    )
+
+
+def branched_history(log: DataFrame, current: int) -> DataFrame:
+    """Snapshots with a flag for the current one and its ancestors; one on a branch that was rolled back is none."""
+    reached = ancestors(log, current).select(F.col("snapshot_id").alias("reached"))
+    marked = log.join(reached, F.col("snapshot_id") == F.col("reached"), "left")
+    return marked.select(
+        F.col("committed_at").alias("made_current_at"), "snapshot_id", "parent_id", "added_records", F.col("reached").isNotNull().alias("is_current_ancestor")
+    )
+
+
+def read_branch(df: DataFrame, log: DataFrame, current: int) -> DataFrame:
+    """The rows that a reader sees when `current` is the current snapshot: those of its chain, none of abandoned snapshots."""
+    chain = log.join(ancestors(log, current), "snapshot_id").select(F.col("committed_at").alias("on_chain"))
+    return df.join(chain, F.col(INGESTED) == F.col("on_chain"), "left_semi")
+
+
 def catalog_table_as_of(
     spark: SparkSession, table: str, snapshot_id: int | None = None, timestamp: str | None = None
 ) -> DataFrame:
@@ -134,6 +171,19 @@ def schema_changes(spark: SparkSession, before: T.StructType, after: T.StructTyp
     return spark.createDataFrame(rows, "column_name string, old_type string, new_type string, change string")
 
 
+def schema_change_counts(before: DataFrame, after: DataFrame) -> DataFrame:
+    """`schema_changes` with the number of values in each column before and after, null where the column is not there."""
+
+    def counts(df: DataFrame, name: str) -> DataFrame:
+        entries = [F.struct(F.lit(c).alias("counted"), F.count(c).alias(name)) for c in df.columns]
+        return df.agg(F.array(*entries).alias("entries")).select(F.inline("entries"))
+
+    changes = schema_changes(before.sparkSession, before.schema, after.schema)
+    for df, name in ((before, "old_values"), (after, "new_values")):
+        changes = changes.join(counts(df, name), F.col("column_name") == F.col("counted"), "left").drop("counted")
+    return changes
+
+
 def reshape(
     df: DataFrame,
     rename: dict[str, str] | None = None,

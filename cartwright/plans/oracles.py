@@ -94,6 +94,14 @@ KEY = "event_time, event_type, product_id, user_id, user_session"
 RAW = ", ".join(RAW_COLUMNS)
 
 
+# Events as CSV lines; some are not as long as the header or have a word for a number.
+_LINES = """SELECT *, event_id % 13 <> 0 AND event_id % 17 <> 0 AND event_id % 19 <> 0 AS good,
+    concat(CASE WHEN event_id % 17 = 0 THEN concat_ws(',', event_id, user_id)
+                ELSE concat_ws(',', event_id, user_id, event_type, CASE WHEN event_id % 13 = 0 THEN 'n/a' ELSE cast(floor(value)::bigint AS varchar) END) END,
+           CASE WHEN event_id % 19 = 0 THEN ',extra,extra' ELSE '' END) AS line
+    FROM events"""
+
+
 def _div(num: str, den: str, scale: int) -> str:
     """Non-negative quotient rounded half up, null for a zero denominator."""
     return f"((2*({num})*{10**scale}+({den}))//nullif(2*({den}),0))/{10**scale}::double"
@@ -545,6 +553,17 @@ def oracle_sql() -> dict[str, str]:
         + " GROUP BY event_year, event_month",
         "event_sample": "SELECT * FROM events ORDER BY event_id LIMIT 5",
         "sorted_table": _with("SELECT event_date, row_number() OVER (ORDER BY event_date) AS position FROM counts", "counts"),
+        "sorted_positions": silver(f"{KEY}, row_number() OVER (ORDER BY {KEY}) AS position"),
+        "scan_csv_checked": f"""SELECT CASE WHEN good THEN event_id END AS event_id, CASE WHEN good THEN user_id END AS user_id,
+            CASE WHEN good THEN event_type END AS event_type, CASE WHEN good THEN floor(value)::bigint END AS amount,
+            CASE WHEN NOT good THEN line END AS rejected_line FROM ({_LINES})""",
+        "scan_csv_quarantine": f"""SELECT count(*) FILTER (WHERE good) AS kept, count(*) FILTER (WHERE NOT good) AS rejected, count(*) AS lines,
+            count(*) FILTER (WHERE good) AS table_rows, count(*) FILTER (WHERE NOT good) AS quarantine_rows FROM ({_LINES})""",
+        "namespace_row_counts": _with(
+            """SELECT 'shop' AS namespace, 'counted_sales' AS table_name, (SELECT count(*) FROM sales) AS row_count
+            UNION ALL SELECT 'shop', 'counted_funnel', (SELECT count(*) FROM funnel)""",
+            "sales", "funnel",
+        ),
         # cleaning and scalar rules
         "clean_brand": bronze(f"{BRONZE_ID}, {BRAND} AS brand"),
         "clean_category": bronze(f"{BRONZE_ID}, {CATEGORY} AS category_code"),
@@ -817,7 +836,48 @@ def oracle_sql() -> dict[str, str]:
         "merge_upsert_events": stg_events,
         "incremental_refresh": stg_events,
         "stream_merge_events": _with(f"SELECT {dated} FROM latest", "latest"),
+        "stream_dedupe_events": _with(
+            f"""SELECT {KEY}, min(_batch_id) AS _batch_id FROM bronze WHERE user_id IS NOT NULL AND product_id IS NOT NULL GROUP BY {KEY}""",
+            "bronze",
+        ),
+        "stream_late_events": _with(
+            f"""SELECT {KEY}, count(*) AS deliveries
+            FROM (SELECT *, event_time >= TIMESTAMP '2024-03-01' AND _batch_id='{_first[1]}' AS newer FROM bronze
+                  WHERE user_id IS NOT NULL AND product_id IS NOT NULL)
+            GROUP BY {KEY}
+            HAVING NOT bool_or(newer) AND event_time <= (SELECT max(event_time) - INTERVAL 10 DAY FROM bronze
+                WHERE event_time >= TIMESTAMP '2024-03-01' AND _batch_id='{_first[1]}' AND user_id IS NOT NULL AND product_id IS NOT NULL)""",
+            "bronze",
+        ),
+        "merge_bucketed_events": stg_events,
+        "incremental_any_order": stg_events,
+        "monthly_customers": silver(
+            "event_year::bigint AS sale_year, event_month::bigint AS sale_month, category_level1, count(distinct user_id) AS customers"
+        )
+        + " WHERE event_type='purchase' GROUP BY GROUPING SETS ((event_year, event_month, category_level1), (event_year, event_month), ())",
+        "mv_monthly_sales_changed": sales(
+            """SELECT strftime(event_date, '%Y-%m') AS month, category_level1, count(*) AS n_rows,
+            cast(sum(order_count) as bigint) AS order_count, cast(sum(unique_customers) as bigint) AS unique_customers,
+            cast(sum(cents) as bigint) AS revenue_cents, min(order_count) AS least_order_count, max(order_count) AS most_order_count,
+            cast(min(cents) as bigint) AS least_revenue_cents, cast(max(cents) as bigint) AS most_revenue_cents
+            FROM sales WHERE category_level1 <> 'economy' GROUP BY 1, 2"""
+        ),
+        "mv_segment_summary_changed": rfm(
+            """SELECT customer_segment, count(*) AS n_rows, cast(sum(cents) as bigint) AS monetary_cents,
+            cast(sum(recency) as bigint) AS recency, cast(sum(frequency) as bigint) AS frequency,
+            cast(min(recency) as bigint) AS least_recency, cast(max(recency) as bigint) AS most_recency,
+            cast(min(cents) as bigint) AS least_monetary_cents, cast(max(cents) as bigint) AS most_monetary_cents
+            FROM rfm WHERE user_id % 5 <> 0 GROUP BY customer_segment"""
+        ),
         # versions and schema evolution
+        "snapshot_branches": _with(
+            f"""SELECT made_current_at, snapshot_id, CASE snapshot_id WHEN 1 THEN NULL ELSE 1 END::bigint AS parent_id,
+            added_records, snapshot_id <> 2 AS is_current_ancestor
+            FROM (SELECT min(_ingestion_time) AS made_current_at, row_number() OVER (ORDER BY _batch_id) AS snapshot_id,
+                  count(*) AS added_records FROM v3 GROUP BY _batch_id)""",
+            "v3",
+        ),
+        "rollback_branch_read": _with(f"SELECT {dated}, payment_method FROM v3 WHERE _batch_id <> '{_second[1]}'", "v3"),
         "snapshot_list": _with(
             """SELECT 1::bigint AS snapshot_id, NULL::bigint AS parent_id, 'append' AS operation, cast(a as varchar) AS added_records,
               cast(a as varchar) AS total_records, TIMESTAMP '2024-04-01' AS committed_at FROM n
@@ -848,6 +908,16 @@ def oracle_sql() -> dict[str, str]:
         "evolve_mixed_read": _with(f"SELECT {RAW}, _batch_id, payment_method FROM v3", "v3"),
         "schema_diff": schema_rows
         + " UNION ALL SELECT 'payment_method', NULL, 'string', 'added'",
+        "schema_change_counts": _with(
+            " UNION ALL ".join(
+                f"""SELECT '{n}' AS column_name, '{t}' AS old_type, '{t}' AS new_type, 'kept' AS change,
+                (SELECT count({c}) FROM bronze) AS old_values, (SELECT count({c}) FROM v3) AS new_values"""
+                for n, t in raw_types
+                for c in [{"_source_file": "*", "event_date": "event_time", "event_year": "event_time", "event_month": "event_time"}.get(n, n)]
+            )
+            + " UNION ALL SELECT 'payment_method', NULL, 'string', 'added', NULL, (SELECT count(payment_method) FROM v3)",
+            "v3",
+        ),
         "schema_version_tag": _with(
             """SELECT event_type, user_id, price, payment_method, CASE WHEN payment_method IS NULL THEN 'Old Data (before schema change)'
             ELSE 'New Data (after schema change)' END AS data_version FROM v3

@@ -14,12 +14,13 @@ from cartwright.functions import events as ev
 from cartwright.functions import money
 from cartwright.functions import segments as sg
 from cartwright.functions.sql import register_sql_functions
-from cartwright.operators import dedupe, merge, models, quality, sinks, versions
+from cartwright.operators import buckets, dedupe, distinct_counts, ledger, merge, models, quality, ranking, rollups, sinks, versions
 from cartwright.plans import gold, reports, serving, silver
 from cartwright.plans.medallion import Medallion
 from cartwright.session import dataset_dir, materialise, read_if_written, scratch_path
 from cartwright.sources import commerce, files
 from cartwright.sources.schemas import AUDIT
+from cartwright.streaming import dedupe as stream_dedupe
 from cartwright.streaming import incremental
 
 # Parameters of the registered queries, shared with their SQL.
@@ -30,6 +31,9 @@ CATEGORIES = ["economy", "small", "uncategorized"]
 MIN_VIEWS, MAX_PURCHASE_RATE = 20, 30.0
 COMMITS = [datetime(2024, 4, day, tzinfo=timezone.utc) for day in (1, 2, 3)]
 THIRD_BATCH = "20240403_000000"
+LONG_DELAY, SHORT_DELAY, FIRST_LANDED = "4000 days", "10 days", "2024-03-01"
+FORGOTTEN_CATEGORY, FORGOTTEN_USERS = "economy", 5
+BUCKETS = 8
 PAYMENT_METHODS = ["credit_card", "paypal", "bank_transfer"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -478,6 +482,177 @@ def mv_segment_summary(i: Inputs) -> DataFrame:
     return reports.read_segments(state)
 
 
+# --- state that survives late rows, updates and deletes ---------------------------------------------
+
+
+def _landing(i: Inputs, label: str) -> tuple[str, str, str]:
+    base = i.scratch(label)
+    return f"{base}/landing", f"{base}/table", f"{base}/checkpoint"
+
+
+def stream_dedupe_events(i: Inputs) -> DataFrame:
+    """The first delivery of each valid event; the stream is started anew for the redelivery."""
+    landing, table, checkpoint = _landing(i, "stream-dedupe")
+    for number in range(len(commerce.DELIVERIES)):
+        i.delivery(number).write.mode("append").parquet(landing)
+        stream_dedupe.run_event_dedupe(i.spark, landing, i.bronze.schema, table, checkpoint, LONG_DELAY)
+    return i.spark.read.parquet(table).select(*dedupe.EVENT_KEY, "_batch_id")
+
+
+def stream_late_events(i: Inputs) -> DataFrame:
+    """Events that were older than the watermark when they landed: the older ones land after the newer ones."""
+    landing, table, checkpoint = _landing(i, "stream-late")
+    newer = (F.col("event_time") >= F.lit(FIRST_LANDED).cast("timestamp")) & (F.col("_batch_id") == commerce.DELIVERIES[0][1])
+    for landed in (i.bronze.where(newer), i.bronze.where(~newer)):
+        landed.write.mode("append").parquet(landing)
+        stream_dedupe.run_event_dedupe(i.spark, landing, i.bronze.schema, table, checkpoint, SHORT_DELAY)
+    return stream_dedupe.late_events(i.spark.read.schema(i.bronze.schema).parquet(landing), i.spark.read.parquet(table))
+
+
+def merge_bucketed_events(i: Inputs) -> DataFrame:
+    """The first load as a bucketed table, and what came later merged into its buckets."""
+    files.create_namespace(i.spark, NAMESPACE)
+    name = f"{NAMESPACE}.bucketed_events"
+    i.spark.sql(f"DROP TABLE IF EXISTS {name}")
+    buckets.create_bucketed(i.first_stg, name, i.scratch("bucketed"), "event_id", "event_date", BUCKETS)
+    later = event_model(merge.new_rows(i.bronze, i.first_stg))
+    buckets.merge_bucketed(i.spark, name, later, "event_id", "_ingestion_time", "event_date")
+    return i.spark.table(name).drop("_source_file")
+
+
+def incremental_any_order(i: Inputs) -> DataFrame:
+    """The event model when the second delivery is loaded before the first, which then comes twice."""
+    path, listed = i.scratch("any-order"), i.scratch("any-order-ledger")
+    for source in (i.delivery(1), i.bronze, i.bronze):
+        ledger.load_new_batches(i.spark, source, event_model, path, listed, "event_id", "_ingestion_time", "event_date")
+    return read_if_written(i.spark, path).drop("_source_file")
+
+
+def monthly_customers(i: Inputs) -> DataFrame:
+    """Customers by month and category, by month, and of all time, from the merged id sets of two halves of each month."""
+    bought = i.silver.where(silver.of_type("purchase"))
+    keys = {"sale_year": F.col("event_year"), "sale_month": F.col("event_month"), "category_level1": F.col("category_level1")}
+    first = F.dayofmonth("event_date") <= 15
+    halves = [distinct_counts.id_sets(bought.where(half), keys, "user_id") for half in (first, ~first)]
+    sets = materialise(distinct_counts.merge_sets(*halves), "customer-sets")
+    levels = [distinct_counts.distinct_ids(sets, *some, name="customers") for some in (list(keys), ["sale_year", "sale_month"], [])]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), levels)
+
+
+def _first_sales(i: Inputs) -> DataFrame:
+    return gold.daily_sales(silver.events_cleaned(silver.deduplicated(i.delivery(0))))
+
+
+MONTHLY_SUMMARY = rollups.Summary(
+    ("month", "category_level1"), ("order_count", "unique_customers", "revenue_cents"), ("order_count", "revenue_cents")
+)
+SEGMENT_SUMMARY = rollups.Summary(
+    ("customer_segment",), ("monetary_cents", "recency", "frequency"), ("recency", "monetary_cents")
+)
+
+
+def _maintained(i: Inputs, label: str, summary: rollups.Summary, older: DataFrame, current: DataFrame, gone: DataFrame) -> DataFrame:
+    """A summary after a first load, the changes up to the current rows, and deletes, which are applied twice."""
+    path = i.scratch(label)
+    batches = [rollups.inserted(older), rollups.signed_changes(older, current), rollups.deleted(gone)]
+    for number, changes in enumerate([*batches, batches[-1]], 1):
+        rollups.apply_changes(i.spark, path, summary, changes, min(number, len(batches)))
+    return rollups.read_summary(i.spark, path, summary)
+
+
+def mv_monthly_sales_changed(i: Inputs) -> DataFrame:
+    """The monthly summary after the redelivery has changed prices, and without a category that was deleted."""
+
+    def rows(sales: DataFrame) -> DataFrame:
+        cents = money.to_cents(F.col("total_revenue")).alias("revenue_cents")
+        month = F.date_format("event_date", "yyyy-MM").alias("month")
+        return sales.select(month, "event_date", "category_level1", "category_level2", "order_count", "unique_customers", cents)
+
+    older, current = materialise(rows(_first_sales(i)), "first-sales"), rows(i.sales)
+    gone = current.where(F.col("category_level1") == FORGOTTEN_CATEGORY)
+    return _maintained(i, "changed-sales", MONTHLY_SUMMARY, older, current, gone)
+
+
+def mv_segment_summary_changed(i: Inputs) -> DataFrame:
+    """The segment summary after customers have moved between segments and some have asked to be forgotten."""
+
+    def rows(customers: DataFrame) -> DataFrame:
+        cents = money.to_cents(F.col("monetary")).alias("monetary_cents")
+        return customers.select("user_id", "customer_segment", "recency", "frequency", cents)
+
+    first = gold.customer_rfm(silver.events_cleaned(silver.deduplicated(i.delivery(0))))
+    older, current = materialise(rows(first), "first-customers"), rows(i.customers)
+    gone = current.where(F.col("user_id") % FORGOTTEN_USERS == 0)
+    return _maintained(i, "changed-segments", SEGMENT_SUMMARY, older, current, gone)
+
+
+#: The third snapshot was made after a roll-back to the first, so the second is on an abandoned branch.
+BRANCH = {3: 1}
+
+
+def rollback_branch_read(i: Inputs) -> DataFrame:
+    """What readers see after the roll-back and the append that followed it."""
+    return versions.read_branch(i.versions, versions.commit_log(i.versions, BRANCH), 3).drop("_source_file")
+
+
+def sorted_positions(i: Inputs) -> DataFrame:
+    """The clean events with their place in the order of time; no task sees all of them."""
+    listed = i.silver.select("event_time", "event_type", "product_id", "user_id", "user_session")
+    return ranking.add_positions(listed, *listed.columns)
+
+
+LINE_SCHEMA = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("amount", T.LongType()),
+    ]
+)
+
+
+def _lines(i: Inputs) -> str:
+    """The events as CSV lines, some with a word for a number, too few or too many fields; the folder."""
+    key = F.col("event_id")
+    amount = F.when(key % 13 == 0, "n/a").otherwise(F.floor("value").cast("string"))
+    line = F.when(key % 17 == 0, F.concat_ws(",", key, "user_id")).otherwise(F.concat_ws(",", key, "user_id", "event_type", amount))
+    line = F.when(key % 19 == 0, F.concat(line, F.lit(",extra,extra"))).otherwise(line)
+    path = i.scratch("lines")
+    header = F.lit("event_id,user_id,event_type,amount")
+    # Each file has the header of a CSV file.
+    table = files.read_parquet(i.spark, f"{i.sf_dir}/events.parquet").select(line.alias("line"), (key % 4).alias("part"))
+    headers = i.spark.range(4).select(header.alias("line"), F.col("id").alias("part"), F.lit(0).alias("place"))
+    rows = headers.unionByName(table.withColumn("place", F.lit(1)))
+    rows.repartition(4, "part").sortWithinPartitions("part", "place").select("part", "line").write.partitionBy("part").text(path)
+    return f"{path}/part=*"
+
+
+def scan_csv_checked(i: Inputs) -> DataFrame:
+    """All lines of the files, read as rows or listed as rejected."""
+    return files.read_csv_checked(i.spark, _lines(i), LINE_SCHEMA)
+
+
+def scan_csv_quarantine(i: Inputs) -> DataFrame:
+    """How many lines a load keeps and rejects, and how many rows the table and the quarantine have then."""
+    table, quarantine = i.scratch("checked"), i.scratch("quarantine")
+    counts = files.ingest_checked(i.spark, _lines(i), LINE_SCHEMA, table, quarantine)
+    held = [i.spark.read.parquet(p).agg(F.count("*").alias(n)) for p, n in ((table, "table_rows"), (quarantine, "quarantine_rows"))]
+    return counts.select("*", held[0].scalar().alias("table_rows"), held[1].scalar().alias("quarantine_rows"))
+
+
+def namespace_row_counts(i: Inputs) -> DataFrame:
+    """The tables of the namespace that two models were written to, and their rows."""
+    written = {"counted_sales": i.sales, "counted_funnel": i.funnel}
+    names = [_catalog_table(i, name, df) for name, df in written.items()]
+    listed = namespace_listing(i).where(F.col("table_name").isin(list(written)))
+    counts = [i.spark.table(n).agg(F.lit(n.split(".")[1]).alias("table_name"), F.count("*").alias("row_count")) for n in names]
+    return listed.join(reduce(DataFrame.unionByName, counts), "table_name").select("namespace", "table_name", "row_count")
+
+
+def namespace_listing(i: Inputs) -> DataFrame:
+    return i.spark.sql(f"SHOW TABLES IN {NAMESPACE}").select("namespace", F.col("tableName").alias("table_name"))
+
+
 # --- the registry ----------------------------------------------------------------------------------
 
 
@@ -531,6 +706,10 @@ def _registry() -> dict[str, Callable[[Inputs], DataFrame]]:
         "data_files": data_files,
         "event_sample": event_sample,
         "sorted_table": sorted_table,
+        "sorted_positions": sorted_positions,
+        "scan_csv_checked": scan_csv_checked,
+        "scan_csv_quarantine": scan_csv_quarantine,
+        "namespace_row_counts": namespace_row_counts,
         # cleaning and scalar rules
         "clean_brand": _cleaned(lambda: ev.clean_brand(c("brand")).alias("brand")),
         "clean_category": _cleaned(lambda: category().alias("category_code")),
@@ -640,6 +819,13 @@ def _registry() -> dict[str, Callable[[Inputs], DataFrame]]:
         "incremental_refresh": incremental_refresh,
         "stream_merge_events": stream_merge_events,
         "stream_monthly_sales": stream_monthly_sales,
+        "stream_dedupe_events": stream_dedupe_events,
+        "stream_late_events": stream_late_events,
+        "merge_bucketed_events": merge_bucketed_events,
+        "incremental_any_order": incremental_any_order,
+        "monthly_customers": monthly_customers,
+        "mv_monthly_sales_changed": mv_monthly_sales_changed,
+        "mv_segment_summary_changed": mv_segment_summary_changed,
         # versions and schema evolution
         "snapshot_list": lambda i: versions.snapshots(i.versions),
         "asof_version": lambda i: versions.as_of_snapshot(i.versions, 1).drop("_source_file"),
@@ -647,12 +833,15 @@ def _registry() -> dict[str, Callable[[Inputs], DataFrame]]:
         "snapshot_compare": lambda i: versions.compare_counts(versions.as_of_snapshot(i.versions, 1), i.versions),
         "snapshot_diff": snapshot_diff,
         "snapshot_history": lambda i: versions.history(i.versions),
+        "snapshot_branches": lambda i: versions.branched_history(versions.commit_log(i.versions, BRANCH), 3),
+        "rollback_branch_read": rollback_branch_read,
         "rollback_read": lambda i: versions.as_of_snapshot(i.versions, 2).drop("_source_file"),
         "evolve_add_column": evolve_add_column,
         "evolve_mixed_read": lambda i: i.versions.select(*commerce.RAW_COLUMNS, "_batch_id", "payment_method"),
         "schema_diff": lambda i: versions.schema_changes(
             i.spark, i.bronze.schema, i.versions.schema
         ),
+        "schema_change_counts": lambda i: versions.schema_change_counts(i.bronze, i.versions),
         "schema_version_tag": schema_version_tag,
         "evolve_rename_drop_cast": evolve_rename_drop_cast,
         "partition_stats": partition_stats,

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cartwright.session import materialise
 from cartwright.sources.commerce import with_partition_columns
 from cartwright.sources.schemas import RAW_EVENT
 
@@ -28,6 +29,32 @@ def read_csv_events_as_text(spark: SparkSession, path: str) -> DataFrame:
     return read_csv_events(spark, path, as_text).withColumn("event_time", F.col("event_time").try_cast("timestamp"))
 
 
+REJECTED = "rejected_line"
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All lines of CSV files with a header: the columns of the schema, or null in all of them and the line in `rejected_line`.
+
+    A line is rejected if it has a field too few or too many, or one that is not of its column's type; a
+    reader that only casts would turn such fields into null.
+    """
+    checked = T.StructType([*schema.fields, T.StructField(REJECTED, T.StringType())])
+    options = {"header": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": REJECTED, "enforceSchema": True}
+    rows = spark.read.schema(checked).options(**options).csv(path)
+    good = F.col(REJECTED).isNull()
+    return rows.select(*[F.when(good, F.col(f.name)).alias(f.name) for f in schema], REJECTED)
+
+
+def ingest_checked(spark: SparkSession, path: str, schema: T.StructType, table: str, quarantine: str) -> DataFrame:
+    """Appends the good lines to the table and the others, with their file, to the quarantine; both and their sum as counts."""
+    rows = read_csv_checked(spark, path, schema).withColumn("source_file", F.col("_metadata.file_path"))
+    # Read once: which lines are rejected depends on all columns, which pruning would leave out of a second reading.
+    rows = materialise(rows, "checked-lines")
+    rows.where(F.col(REJECTED).isNull()).drop(REJECTED, "source_file").write.mode("append").parquet(table)
+    rows.where(F.col(REJECTED).isNotNull()).select(REJECTED, "source_file").write.mode("append").parquet(quarantine)
+    return rows.agg(F.count_if(F.col(REJECTED).isNull()).alias("kept"), F.count(REJECTED).alias("rejected"), F.count(F.lit(1)).alias("lines"))
+
+
 def events_from_rows(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     """A few hand-written raw events, with partition columns."""
     return with_partition_columns(spark.createDataFrame(rows, RAW_EVENT))

@@ -13,6 +13,7 @@ from cartwright.plans.silver import valid_events
 
 
 FILES_PER_BATCH = 10_000
+SUMMARY_KEY = ["sale_year", "sale_month", "category_level1"]
 
 
 def run_event_merge(
@@ -37,18 +38,19 @@ def run_event_merge(
 def run_monthly_sales(spark: SparkSession, landing: str, schema: T.StructType, table: str, checkpoint: str) -> None:
     """Keeps the monthly summary of arriving daily sales rows.
 
-    The state has one row per month and category. Complete mode hands over the whole summary. Each micro-batch
-    writes it as a new version below `table`, so that a reader always finds a finished one and a replay
-    writes the same version again.
+    The state has one row per month and category. Update mode hands over the rows that a micro-batch has changed; they
+    replace those of their month and category at `table`, of which only the months that are touched are written. A
+    replayed micro-batch hands over the same rows again and changes nothing.
     """
     stream = spark.readStream.schema(schema).parquet(landing)
     state = monthly_sales_state(stream)
 
-    def replace(summary: DataFrame, batch: int) -> None:
-        summary.write.mode("overwrite").parquet(f"{table}/version={batch}")
+    def replace(changed: DataFrame, batch: int) -> None:
+        month = F.format_string("%04d-%02d", F.col("sale_year"), F.col("sale_month"))
+        merge_into(changed.sparkSession, table, changed.withColumns({"month": month, "batch": F.lit(batch)}), SUMMARY_KEY, ["batch"], "month")
 
     query = (
-        state.writeStream.outputMode("complete")
+        state.writeStream.outputMode("update")
         .foreachBatch(replace)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -58,7 +60,4 @@ def run_monthly_sales(spark: SparkSession, landing: str, schema: T.StructType, t
 
 
 def read_monthly_summary(spark: SparkSession, table: str) -> DataFrame:
-    """The newest finished version."""
-    versions = spark.read.parquet(table)
-    newest = versions.agg(F.max("version")).scalar()
-    return read_monthly_sales(versions.where(F.col("version") == newest).drop("version"))
+    return read_monthly_sales(spark.read.parquet(table).drop("month", "batch"))
