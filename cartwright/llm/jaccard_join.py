@@ -8,12 +8,15 @@ A tree over all points cannot be shared out, as its boxes overlap in so many dim
 them. So its top is an exact directory. Documents of one size class (sizes within 100/PERCENT) deal their shingles into
 one group more than two linked documents of that size can differ in, plus a few, and send a fingerprint of each
 non-empty group: linked documents agree in at least one such cell. Documents also send the cells of the next class.
-Below the directory each cell has its own tree:
+Below the directory there are small trees:
 
-1. Each document is paired with the first document of its cells; pairs that pass the count bound are verified. Cells
-   whose documents are all connected by then are done, so a large group of near copies costs one pair a document.
-2. In the cells that are left an R-tree over the points finds all pairs of different components that pass the bound.
-   They are verified too. A cell with more than BLOCK documents is split into pairs of blocks.
+1. Each document is paired with the first document of its cells; pairs that pass the count bound are verified. Stars of
+   a first document and those it shares a cell with are done where all are connected by then, so a large group of near
+   copies costs one pair a document.
+2. In the stars that are left an R-tree over the points finds all pairs of different components that pass the bound.
+   The sets come along and verify them there, and only links that connect something are returned: their number follows that
+   of the documents, also where most pairs of a large group are just below the limit. A star with more than BLOCK
+   documents is split into pairs of blocks.
 
 Links inside a component that is already connected are not listed, so the result is the components, exactly.
 
@@ -45,7 +48,8 @@ SHINGLE = 4
 #: Linked: 100 * shared >= PERCENT * union.
 PERCENT = 85
 GROUPS = 256
-BLOCK = 4096
+#: Documents, and shingles of them, that meet in one task of each of two blocks.
+BLOCK, BLOCK_SHINGLES = 4096, 1 << 20
 LEAF, FAN = 16, 8
 
 _U = np.uint64
@@ -321,84 +325,62 @@ class CountTree:
         return a[fit], b[fit]
 
 
-def _tree_pairs(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs within each run of rows with equal (cell, left, right), which arrive together."""
-    held: list[pa.RecordBatch] = []
-
-    def found(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-        keys = np.stack([rows.column(k).to_numpy() for k in range(3)], axis=1)
-        edge = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1), [True]]))
-        set_keys, component, n, side = (rows.column(k).to_numpy() for k in ("set_key", "component", "n", "side"))
-        counts = rows.column("counts").combine_chunks().flatten().to_numpy().reshape(-1, GROUPS)
-        pairs = [[], []]
-        for s, e in zip(edge[:-1], edge[1:]):
-            if e - s < 2:
-                continue
-            i, j = CountTree(n[s:e], counts[s:e], component[s:e], percent).pairs()
-            # Two blocks meet in a run of their own, where pairs within one block do not count.
-            good = (keys[s, 1] == keys[s, 2]) | (side[s:e][i] != side[s:e][j])
-            pairs[0].append(set_keys[s:e][i[good]])
-            pairs[1].append(set_keys[s:e][j[good]])
-        if pairs[0]:
-            both = np.sort(np.stack([np.concatenate(p) for p in pairs], axis=1), axis=1)
-            both = np.unique(both, axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())], ["a", "b"])
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        last = [batch.column(k)[batch.num_rows - 1].as_py() for k in range(3)]
-        same = np.ones(batch.num_rows, dtype=bool)
-        for k in range(3):
-            same &= batch.column(k).to_numpy() == last[k]
-        cut = batch.num_rows if not (~same).any() else int(np.flatnonzero(~same)[-1]) + 1
-        if cut == batch.num_rows and same.all():
-            if held and [held[-1].column(k)[held[-1].num_rows - 1].as_py() for k in range(3)] != last:
-                yield from found(pa.Table.from_batches(held))
-                held = []
-            held.append(batch)
-            continue
-        yield from found(pa.Table.from_batches([*held, batch.slice(0, cut)]))
-        held = [batch.slice(cut)]
-    if held:
-        yield from found(pa.Table.from_batches(held))
-
-
-def open_pairs(
-    shared: DataFrame, labels: DataFrame, points: DataFrame, block: int = BLOCK, percent: int = PERCENT
+def _tree_links(found: pa.Table, percent: int) -> pa.Table:
+    """Links that connect the components of the sets that meet here, as few as do: the pairs of the tree, verified with the sets."""
+    keys, component, n, side = (found.column(name).to_numpy().copy() for name in ("set_key", "component", "n", "side"))
+    counts = found.column("counts").combine_chunks().flatten().to_numpy().reshape(-1, GROUPS)
+    a, b = CountTree(n, counts, component, percent).pairs()
+    if found.column("left")[0].as_py() != found.column("right")[0].as_py():
+        # Two blocks meet, where pairs within one block do not count.
+        a, b = a[side[a] != side[b]], b[side[a] != side[b]]
+    links: list[list[int]] = [[], []]
+    if len(a):
+        shingles = found.column("shingles").combine_chunks()
+        ends = np.concatenate([[0], np.cumsum(shingles.value_lengths().to_numpy())])
+        ids = np.unique(shingles.flatten().to_numpy(), return_inverse=True)[1]
+        present = np.zeros(ids.max() + 1, dtype=bool)
+        order = np.argsort(a, kind="stable")
+        a, b = a[order], b[order]
+        edge = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1], [True]]))
+        for i, s, e in zip(a[edge[:-1]], edge[:-1], edge[1:]):
+            # Pairs that earlier links have connected need no check.
+            others = b[s:e][component[b[s:e]] != component[i]]
+            mine = ids[ends[i] : ends[i + 1]]
+            present[mine] = True
+            shared = np.array([np.count_nonzero(present[ids[ends[j] : ends[j + 1]]]) for j in others], dtype=np.int64)
+            present[mine] = False
+            linked = others[100 * shared >= percent * (n[i] + n[others] - shared)]
+            joined, first = np.unique(component[linked], return_index=True)
+            links[0].extend([keys[i]] * len(first))
+            links[1].extend(keys[linked[first]])
+            component[np.isin(component, joined)] = component[i]
+    return pa.table({"a": pa.array(links[0], pa.int64()), "b": pa.array(links[1], pa.int64())})
+
+
+def open_links(
+    shared: DataFrame, labels: DataFrame, points: DataFrame, sets: DataFrame, block: int = BLOCK, percent: int = PERCENT
 ) -> DataFrame:
-    """Pairs (a, b) of sets that share a cell, are in different components and may be linked.
+    """Links (a, b) between sets that share a cell and are in different components, as many as connect something.
 
-    The first set of a cell has been paired with the others before, so it is left out.
+    Sets that share a cell have its first set in common, so they meet around it: once, however many cells they share.
     """
-    rest = shared.where("set_key <> first").select("cell", "set_key")
-    rest = rest.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left")
-    rest = materialise(rest.withColumn("component", F.coalesce("label", "set_key")).drop("label"), "cell-components")
-    cells_left = rest.groupBy("cell").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("members")
-    )
-    cells_left = cells_left.where("low <> high").select(
-        "cell", F.ceil(F.col("members") / F.lit(block)).cast("long").alias("n_blocks")
+    star = shared.where("set_key <> first").select("first", "set_key").distinct()
+    members = star.unionByName(star.select("first", F.col("first").alias("set_key")).distinct())
+    members = members.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left").join(points.select("set_key", "n"), "set_key")
+    members = materialise(members.select("first", "set_key", "n", F.coalesce("label", "set_key").alias("component")), "star-components")
+    stars_left = members.groupBy("first").agg(
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.greatest(F.count(F.lit(1)) / F.lit(block), F.sum("n") / F.lit(BLOCK_SHINGLES)).alias("blocks"),
     )
-    rows = rest.join(cells_left, "cell").join(points, "set_key")
+    stars_left = stars_left.where("low <> high").select("first", F.ceil("blocks").cast("long").alias("n_blocks"))
     side = F.pmod(F.xxhash64("set_key"), F.col("n_blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1))
-    dealt = (
-        rows.withColumn("side", side)
-        .withColumn("other", other)
-        .select(
-            "cell",
-            F.least("side", "other").alias("left"),
-            F.greatest("side", "other").alias("right"),
-            "set_key",
-            "component",
-            "n",
-            "side",
-            "counts",
-        )
-    )
-    placed = dealt.repartition("cell", "left", "right").sortWithinPartitions("cell", "left", "right")
-    return placed.mapInArrow(lambda batches: _tree_pairs(batches, percent), "a long, b long").distinct()
+    dealt = members.join(stars_left, "first").withColumn("side", side).withColumn("other", other)
+    dealt = dealt.withColumn("left", F.least("side", "other")).withColumn("right", F.greatest("side", "other"))
+    whole = dealt.join(points.select("set_key", "counts"), "set_key").join(sets.dropDuplicates(["set_key"]), "set_key")
+    whole = whole.select("first", "left", "right", "set_key", "component", "n", "side", "counts", "shingles")
+    return whole.groupBy("first", "left", "right").applyInArrow(lambda found: _tree_links(found, percent), "a long, b long")
 
 
 def set_components(
@@ -416,7 +398,7 @@ def set_components(
     stars = shared.where("set_key <> first").select(F.col("first").alias("a"), F.col("set_key").alias("b")).distinct()
     links = materialise(verified(bounded_pairs(stars, points, percent), sets, percent), "star-links")
     labels = components(links)
-    more = materialise(verified(open_pairs(shared, labels, points, block, percent), sets, percent), "tree-links")
+    more = materialise(open_links(shared, labels, points, sets, block, percent), "tree-links")
     return labels if more.isEmpty() else components(links.unionByName(more))
 
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cartwright.llm import lexical_search, minhash_dedup, queries, run_detection
+from cartwright.llm import jaccard_join, lexical_search, minhash_dedup, queries, run_detection
 from cartwright.llm.text_blocks import mix64
 
 SMALL = "/root/testdata/sf0.001"
@@ -80,20 +80,33 @@ def edited(rng, words, changes):
     return " ".join(out)
 
 
-@pytest.mark.parametrize("block", [minhash_dedup.BLOCK, 300])
-def test_groups_around_the_limit(spark, block):
+def around_the_limit():
     """Copies with few and many changes, of short and long texts: chains, pairs just above and just below the limit."""
     rng, rows = random.Random(5), []
     for size in (8, 12, 30, 80, 200):
         base = [f"b{size}x{rng.randrange(10**6)}" for _ in range(size)]
         for changes in (0, 0, 1, 1, 1, 2, 2, 3, 4, 5, size // 20, size // 15, size // 10):
             rows.append((len(rows), edited(rng, base, changes)))
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = as_rows(minhash_dedup.dedup_documents(df, block=block))
+    return rows
+
+
+@pytest.mark.parametrize("block", [minhash_dedup.BLOCK, 300])
+def test_groups_around_the_limit(spark, block):
+    rows = around_the_limit()
+    got = as_rows(minhash_dedup.dedup_documents(spark.createDataFrame(rows, "doc_id long, text string"), block=block))
     assert got == component_rows(rows)
     assert 10 < len({r[2] for r in got}) < len(rows)
 
 
+@pytest.mark.parametrize("block", [jaccard_join.BLOCK, 3])
+def test_groups_around_the_limit_by_tree(spark, block):
+    rows = around_the_limit()
+    joined = jaccard_join.join_documents(spark.createDataFrame(rows, "doc_id long, text string"), block=block)
+    label = brute.near_copies([t for _, t in rows], jaccard_join.SHINGLE, jaccard_join.PERCENT)
+    first = {l: min(d for (d, _), x in zip(rows, label) if x == l) for l in label}
+    assert as_rows(joined.select("doc_id", "component_id")) == sorted(((d, first[l]) for (d, _), l in zip(rows, label)), key=str)
+
+
 def test_no_documents(spark):
     empty = spark.createDataFrame([], SCHEMA)
     items = spark.createDataFrame([(1, "fox")], "item_id long, text string")
