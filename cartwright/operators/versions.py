@@ -198,6 +198,26 @@ def reshape(
     return df.select(*front, *[c for c in df.columns if c not in front])
 
 
+FIELD_ID, READ_BY_ID = "parquet.field.id", "spark.sql.parquet.fieldId.read.enabled"
+
+
+def with_field_ids(df: DataFrame, ids: dict[str, int]) -> DataFrame:
+    """The columns listed, each with an identity that files keep whatever its name is."""
+    return df.select(*[F.col(name).alias(name, metadata={FIELD_ID: number}) for name, number in ids.items()])
+
+
+def read_by_id(spark: SparkSession, paths: list[str], schema: T.StructType, ids: dict[str, int]) -> DataFrame:
+    """Files of several versions of a table under the names and types of `schema`, without rewriting old files.
+
+    Columns are found by identity: a renamed column is read from old files, one that files lack is null, and a whole
+    number that was widened is read from either width. The session matches columns by identity from then on, wherever
+    a schema has identities.
+    """
+    spark.conf.set(READ_BY_ID, True)
+    fields = [T.StructField(f.name, f.dataType, True, {FIELD_ID: ids[f.name]}) for f in schema if f.name in ids]
+    return spark.read.schema(T.StructType(fields)).parquet(*paths)
+
+
 def backfill(df: DataFrame, column: str, default: Column) -> DataFrame:
     """Fills the null cells of an added column."""
     return df.withColumn(column, F.coalesce(F.col(column), default))

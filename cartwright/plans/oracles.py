@@ -479,6 +479,8 @@ def oracle_sql() -> dict[str, str]:
         category_level2, category_level3, brand, brand_normalized, {_rounded('price')} AS price, {RAW_PRICE_TIER.format(p='raw_price')} AS price_tier,
         user_id, user_session, NULL::varchar AS payment_method, is_weekend, _ingestion_time, _batch_id"""
     )
+    # The model of the first delivery alone.
+    stg_first = stg_events.replace("FROM bronze", f"FROM (SELECT * FROM bronze WHERE _batch_id='{_first[1]}') AS bronze")
     monthly = f"""SELECT sale_year, sale_month, category_level1, cast(sum(order_count) as bigint) AS total_orders,
         cast(sum(unique_customers) as bigint) AS total_customers, {_usd(SUM_CENTS)} AS total_revenue FROM sales
         GROUP BY sale_year, sale_month, category_level1"""
@@ -908,6 +910,22 @@ def oracle_sql() -> dict[str, str]:
         "evolve_mixed_read": _with(f"SELECT {RAW}, _batch_id, payment_method FROM v3", "v3"),
         "schema_diff": schema_rows
         + " UNION ALL SELECT 'payment_method', NULL, 'string', 'added'",
+        "evolve_columns_by_id": _with(
+            f"""SELECT event_time AS happened_at, event_type AS kind, product_id, price AS amount, user_session,
+            CASE WHEN _batch_id='{_second[1]}' THEN _batch_id END AS batch FROM bronze""",
+            "bronze",
+        ),
+        "dq_at_write": _with(
+            f"""SELECT batch, test, column_name, failures, row_count, failures = 0 AS passed
+            FROM (SELECT (_batch_id='{_second[1]}')::int::bigint AS batch, count(DISTINCT ({KEY})) AS row_count,
+                    count(DISTINCT ({KEY})) FILTER (WHERE event_type NOT IN ('view','cart','purchase','remove_from_cart')) AS odd
+                  FROM bronze WHERE user_id IS NOT NULL AND product_id IS NOT NULL GROUP BY 1),
+            LATERAL (SELECT unnest(['not_null','not_null','not_null','accepted_values','unique']) AS test,
+                unnest(['event_id','user_id','category_code','event_type','event_id']) AS column_name,
+                unnest([0, 0, 0, odd, CASE batch WHEN 0 THEN 0 ELSE row_count END]) AS failures)""",
+            "bronze",
+        ),
+        "dq_accepted_rows": stg_first,
         "schema_change_counts": _with(
             " UNION ALL ".join(
                 f"""SELECT '{n}' AS column_name, '{t}' AS old_type, '{t}' AS new_type, 'kept' AS change,

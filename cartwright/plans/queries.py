@@ -14,7 +14,7 @@ from cartwright.functions import events as ev
 from cartwright.functions import money
 from cartwright.functions import segments as sg
 from cartwright.functions.sql import register_sql_functions
-from cartwright.operators import buckets, dedupe, distinct_counts, ledger, merge, models, quality, ranking, rollups, sinks, versions
+from cartwright.operators import buckets, dedupe, distinct_counts, gate, ledger, merge, models, quality, ranking, rollups, sinks, versions
 from cartwright.plans import gold, reports, serving, silver
 from cartwright.plans.medallion import Medallion
 from cartwright.session import dataset_dir, materialise, read_if_written, scratch_path
@@ -640,6 +640,29 @@ def scan_csv_quarantine(i: Inputs) -> DataFrame:
     return counts.select("*", held[0].scalar().alias("table_rows"), held[1].scalar().alias("quarantine_rows"))
 
 
+def evolve_columns_by_id(i: Inputs) -> DataFrame:
+    """Two deliveries, the second under other names, with a wider number and a new column, read as one table."""
+    old_ids = {"event_time": 1, "event_type": 2, "product_id": 3, "price": 4, "user_session": 5}
+    new_ids = {"happened_at": 1, "kind": 2, "product_id": 3, "amount": 4, "user_session": 5, "batch": 6}
+    paths = [i.scratch(f"by-id-{n}") for n in (0, 1)]
+    old = i.delivery(0).withColumn("product_id", F.col("product_id").cast("int"))
+    new = i.delivery(1).withColumnsRenamed({"event_time": "happened_at", "event_type": "kind", "price": "amount", "_batch_id": "batch"})
+    for df, ids, path in ((old, old_ids, paths[0]), (new, new_ids, paths[1])):
+        versions.with_field_ids(df, ids).write.parquet(path)
+    return versions.read_by_id(i.spark, paths, new.select(*new_ids).schema, new_ids)
+
+
+def _gate(i: Inputs) -> gate.Gate:
+    """The event model of both deliveries behind a gate; the second holds keys of the first and other kinds are not accepted."""
+    tests = gate.Gate(i.spark, i.scratch("gate"), "event_id", ["event_id", "user_id", "category_code"], {"event_type": EVENT_TYPES})
+    for number in range(len(commerce.DELIVERIES)):
+        tests.write(event_model(i.delivery(number)), number)
+    return tests
+
+
+EVENT_TYPES = ["view", "cart", "purchase", "remove_from_cart"]
+
+
 def namespace_row_counts(i: Inputs) -> DataFrame:
     """The tables of the namespace that two models were written to, and their rows."""
     written = {"counted_sales": i.sales, "counted_funnel": i.funnel}
@@ -841,6 +864,7 @@ def _registry() -> dict[str, Callable[[Inputs], DataFrame]]:
         "schema_diff": lambda i: versions.schema_changes(
             i.spark, i.bronze.schema, i.versions.schema
         ),
+        "evolve_columns_by_id": evolve_columns_by_id,
         "schema_change_counts": lambda i: versions.schema_change_counts(i.bronze, i.versions),
         "schema_version_tag": schema_version_tag,
         "evolve_rename_drop_cast": evolve_rename_drop_cast,
@@ -849,6 +873,8 @@ def _registry() -> dict[str, Callable[[Inputs], DataFrame]]:
         "dq_unique": lambda i: quality.check_unique(i.model_tables),
         "dq_not_null": lambda i: quality.check_rows(i.model_tables, "not_null"),
         "dq_accepted_values": lambda i: quality.check_rows(i.model_tables, "accepted_values"),
+        "dq_at_write": lambda i: _gate(i).results(),
+        "dq_accepted_rows": lambda i: _gate(i).read().drop("_source_file", "batch"),
         "dq_report": lambda i: quality.report(i.model_tables),
     }
 

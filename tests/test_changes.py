@@ -6,7 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from cartwright.operators import buckets, distinct_counts, ledger, ranking, rollups, versions
+from cartwright.operators import buckets, distinct_counts, gate, ledger, ranking, rollups, versions
 from cartwright.operators.dedupe import EVENT_KEY
 from cartwright.plans import silver
 from cartwright.session import read_if_written, scratch_path
@@ -204,3 +204,40 @@ def test_rejected_lines_are_kept_apart(spark, folder):
     assert sorted_rows(spark.read.parquet(table)) == sorted([(1, "x", 2.5), (5, "quoted, text", None), (None, None, None)], key=str)
     assert {r[0] for r in spark.read.parquet(quarantine).select("rejected_line").collect()} == {"2,y", "3,z,1,9", "four,x,1", "6,x,none"}
     assert schema.names == ["a", "b", "c"]
+
+
+# --- judged batches, columns by identity -----------------------------------------------------------
+
+
+def test_gate_shows_accepted_batches_only(spark):
+    schema = "k string, v int, kind string"
+    tests = gate.Gate(spark, scratch_path(spark, "gate-test"), "k", ["k", "v"], {"kind": ["x", "y"]})
+    batches = [
+        ([("a", 1, "x"), ("b", 2, None)], True),
+        ([("a", 1, "x")], False),
+        ([("c", 1, "x"), ("c", 2, "x")], False),
+        ([("d", None, "x"), (None, 1, "z")], False),
+        ([("e", 1, "y")], True),
+    ]
+    for number, (rows, accepted) in enumerate(batches):
+        for _ in range(2):
+            assert tests.write(spark.createDataFrame(rows, schema), number) == accepted
+    assert sorted_rows(tests.read().select("k")) == [("a",), ("b",), ("e",)]
+    failures = {(r["batch"], r["test"], r["column_name"]): r["failures"] for r in tests.results().collect()}
+    assert {key: n for key, n in failures.items() if n} == {
+        (1, "unique", "k"): 1,
+        (2, "unique", "k"): 1,
+        (3, "not_null", "k"): 1,
+        (3, "not_null", "v"): 1,
+        (3, "accepted_values", "kind"): 1,
+    }
+
+
+def test_columns_follow_their_identity(spark, folder):
+    old = spark.createDataFrame([(1, "p", 7)], "a int, b string, gone int")
+    new = spark.createDataFrame([(2**40, "q", "r")], "wide long, renamed string, b string")
+    ids = {"wide": 1, "renamed": 2, "b": 4}
+    versions.with_field_ids(old, {"a": 1, "b": 2, "gone": 3}).write.parquet(f"{folder}/old")
+    versions.with_field_ids(new, ids).write.parquet(f"{folder}/new")
+    rows = versions.read_by_id(spark, [f"{folder}/old", f"{folder}/new"], new.schema, ids)
+    assert sorted_rows(rows) == [(1, "p", None), (2**40, "q", "r")]
