@@ -49,9 +49,7 @@ HEADLINE = [
     "top_products",
     "merge_upsert_events",
     "merge_bucketed_events",
-    "incremental_any_order",
     "monthly_customers",
-    "mv_monthly_sales_changed",
     "dq_at_write",
     "dq_report",
 ]
