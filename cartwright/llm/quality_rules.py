@@ -4,8 +4,10 @@
 follow from the counts. Everything else is adaptive: per language and source the ratios of `RATIOS` go into
 quantile sketches of logarithmic buckets. Sketches merge by adding counts, in any order and with the same
 result, so that small groups take the thresholds of their language and those of a small language the thresholds
-of the whole corpus. A threshold is the median plus a multiple of the spread between median and upper quartile;
-a document above any threshold of its group is rejected.
+of the whole corpus. A threshold is the median plus a multiple of the spread between lower quartile and median, which
+bad documents don't widen while they are under half of a group. Beyond that the wider groups hold: the threshold of a
+source is at most BOUND times that of its language, and that of a language at most BOUND times that of the corpus. A
+document above any threshold of its group is rejected.
 
 Defined results: a null or empty text has only zero counts and fails the base rules; null language or source form
 groups of their own; repeated rows get equal verdicts; an empty table gives an empty result. Documents that
@@ -32,8 +34,8 @@ WINDOW = 5
 MIN_WORDS, MAX_REPEAT_PERCENT = 10, 20
 
 #: Ratio, and the least spread that counts for it: a ratio may exceed the median by SPREADS times that anyway.
-RATIOS = {"symbols_per_word": 0.04, "upper_share": 0.04, "dup_line_share": 0.12, "repeat_share": 0.04, "odd_word_chars": 1.0}
-SPREADS = 5.0
+RATIOS = {"symbols_per_word": 0.02, "upper_share": 0.015, "dup_line_share": 0.07, "repeat_share": 0.03, "odd_word_chars": 0.5}
+SPREADS, BOUND = 5.0, 2.0
 #: Relative error of a sketch; smaller values than LEAST_VALUE count as 0.
 ACCURACY, LEAST_VALUE, ZERO_BUCKET = 0.02, 1e-4, -(1 << 20)
 #: Documents that a group needs for thresholds of its own.
@@ -136,9 +138,9 @@ def sketch_limits(sketches: DataFrame, *keys: str, spreads: float = SPREADS) ->
     group = Window.partitionBy(*keys, "ratio")
     upto = merged.withColumn("upto", F.sum("docs").over(group.orderBy("bucket"))).withColumn("n", F.sum("docs").over(group))
     at = lambda rank: _edge(F.min(F.when(F.col("upto") >= rank * F.col("n"), F.col("bucket"))))
-    quartiles = upto.groupBy(*keys, "ratio").agg(F.max("n").alias("n"), at(0.5).alias("middle"), at(0.75).alias("upper"))
+    quartiles = upto.groupBy(*keys, "ratio").agg(F.max("n").alias("n"), at(0.25).alias("lower"), at(0.5).alias("middle"))
     least = F.element_at(F.create_map(*[F.lit(x) for pair in RATIOS.items() for x in pair]), F.col("ratio"))
-    limit = F.col("middle") + spreads * F.greatest(least, F.col("upper") - F.col("middle"))
+    limit = F.col("middle") + spreads * F.greatest(least, F.col("middle") - F.col("lower"))
     # One entry per ratio.
     entries = F.collect_list(F.struct("ratio", limit.alias("limit")))
     return quartiles.groupBy(*keys).agg(F.max("n").alias("n"), F.map_from_entries(entries).alias("limits"))
@@ -154,12 +156,12 @@ def group_thresholds(measured: DataFrame, group_docs: int = GROUP_DOCS) -> DataF
         F.col("lang").alias("l"), F.col("n").alias("lang_n"), F.col("limits").alias("lang_limits")
     )
     corpus = sketch_limits(sketches).select("limits").scalar()
-    chosen = F.when(F.col("n") >= group_docs, F.col("limits")).when(F.col("lang_n") >= group_docs, F.col("lang_limits"))
-    return (
-        sketch_limits(sketches, "lang", "source")
-        .join(by_lang, F.col("lang").eqNullSafe(F.col("l")))
-        .select("lang", "source", F.coalesce(chosen, corpus).alias("limits"))
-    )
+    bounded = lambda limits, wider: F.transform_values(limits, lambda name, limit: F.least(limit, BOUND * wider[name]))
+    joined = sketch_limits(sketches, "lang", "source").join(by_lang, F.col("lang").eqNullSafe(F.col("l"))).withColumn("corpus", corpus)
+    of_lang = F.when(F.col("lang_n") >= group_docs, bounded(F.col("lang_limits"), F.col("corpus"))).otherwise(F.col("corpus"))
+    joined = joined.withColumn("of_lang", of_lang)
+    own = F.when(F.col("n") >= group_docs, bounded(F.col("limits"), F.col("of_lang"))).otherwise(F.col("of_lang"))
+    return joined.select("lang", "source", own.alias("limits"))
 
 
 def judge(measured: DataFrame, limits: DataFrame) -> DataFrame:

@@ -200,6 +200,39 @@ def test_rules_separate_labelled_documents(spark):
     assert share[1] > 0.9 and share[0] < 0.1
 
 
+def measured_rows(spark, rows):
+    """Measures of documents of 100 words, 10 lines and 400 letters: id, source and what differs from a plain document."""
+    plain = {"n_words": 100, "word_chars": 500, "n_symbols": 0, "n_dup_lines": 0, "n_repeat_words": 0, "n_lines": 10, "n_letters": 400, "n_upper": 8}
+    values = [(n, "x", source, *({**plain, **other}).values()) for n, source, other in rows]
+    return spark.createDataFrame(values, "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in plain))
+
+
+def verdicts(measured):
+    return {r["doc_id"]: r["kept"] for r in quality_rules.judge(measured, quality_rules.group_thresholds(measured)).collect()}
+
+
+def test_each_rule_rejects(spark):
+    bad = [{"n_symbols": 12}, {"n_upper": 60}, {"n_dup_lines": 5}, {"n_repeat_words": 18}, {"word_chars": 900}]
+    rows = [(n, f"s{n % 2}", {"word_chars": 490 + n % 20}) for n in range(600)]
+    got = verdicts(measured_rows(spark, rows + [(1000 + k, "s0", other) for k, other in enumerate(bad)]))
+    assert [got[1000 + k] for k in range(len(bad))] == [False] * len(bad)
+    assert all(got[n] for n in range(600))
+
+
+@pytest.mark.parametrize("percent", [10, 30, 45, 80])
+def test_a_hot_source_loses_its_junk(spark, percent):
+    rows = [(n, "hot" if n < 500 else f"s{n % 2}", {"n_symbols": 50} if n < 500 and n % 100 < percent else {}) for n in range(1500)]
+    got = verdicts(measured_rows(spark, rows))
+    assert all(got[n] == (not other) for n, _, other in rows)
+
+
+def test_thresholds_follow_the_group(spark):
+    """A source whose documents all have some symbols keeps them; what is kept there is rejected elsewhere."""
+    rows = [(n, "code" if n < 500 else "prose", {"n_symbols": 8 + n % 9} if n < 500 else {}) for n in range(1500)]
+    got = verdicts(measured_rows(spark, [*rows, (2000, "prose", {"n_symbols": 15}), (2001, "code", {"n_symbols": 60})]))
+    assert all(got[n] for n in range(1500)) and not got[2000] and not got[2001]
+
+
 def test_sketches_merge_in_any_order(spark):
     values = spark.range(1000).select(F.lit("x").alias("lang"), (F.col("id") % 7).cast("string").alias("source"), (F.col("id") + 1).alias("n_symbols"))
     counts = {c: F.lit(n).cast("long") for c, n in {"n_words": 100, "word_chars": 500, "n_dup_lines": 0, "n_repeat_words": 0, "n_lines": 5, "n_letters": 400, "n_upper": 4}.items()}
@@ -207,7 +240,7 @@ def test_sketches_merge_in_any_order(spark):
     merged = quality_rules.sketch_limits(sketches, "lang").first()
     again = quality_rules.sketch_limits(sketches.orderBy(F.desc("bucket")).repartition(5), "lang").first()
     assert merged == again and merged["n"] == 1000
-    # Median 5, upper quartile 7.5 symbols a word, within the accuracy of the sketch.
+    # Median 5, lower quartile 2.5 symbols a word, within the accuracy of the sketch.
     assert abs(merged["limits"]["symbols_per_word"] - (5 + quality_rules.SPREADS * 2.5)) < 1
 
 
