@@ -522,6 +522,12 @@ def oracle_sql() -> dict[str, str]:
         "sink_partitioned_roundtrip": silver(CLEAN_COLUMNS.format(weekend="is_weekend")),
         "sink_append": bronze(f"{RAW}, _batch_id"),
         "compact_sorted": sales(f"SELECT {SALES_COLUMNS} FROM sales"),
+        "curve_roundtrip": silver(KEY),
+        "curve_file_ranges": silver(
+            """count(*) AS row_count, min(event_time) AS least_event_time, max(event_time) AS greatest_event_time,
+            min(product_id) AS least_product_id, max(product_id) AS greatest_product_id,
+            min(user_id) AS least_user_id, max(user_id) AS greatest_user_id"""
+        ),
         "sync_status": _with(
             f"SELECT table_name, n AS source_rows, n AS target_rows, true AS ok FROM ({gold_counts})",
             "sales", "counts", "buyers", "products",

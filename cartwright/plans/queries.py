@@ -14,7 +14,7 @@ from cartwright.functions import events as ev
 from cartwright.functions import money
 from cartwright.functions import segments as sg
 from cartwright.functions.sql import register_sql_functions
-from cartwright.operators import buckets, dedupe, distinct_counts, gate, ledger, merge, models, quality, ranking, rollups, sinks, versions
+from cartwright.operators import buckets, curves, dedupe, distinct_counts, gate, ledger, merge, models, quality, ranking, rollups, sinks, versions
 from cartwright.plans import gold, reports, serving, silver
 from cartwright.plans.medallion import Medallion
 from cartwright.session import dataset_dir, materialise, read_if_written, scratch_path
@@ -206,6 +206,25 @@ def compact_sorted(i: Inputs) -> DataFrame:
     return i.spark.read.parquet(path)
 
 
+def _clustered(i: Inputs) -> str:
+    """Where the clean events lie clustered by time, product and user."""
+    path = i.scratch("curve")
+    listed = i.silver.select("event_time", "event_type", "product_id", "user_id", "user_session")
+    curves.write_clustered(listed, path, "event_time", "product_id", "user_id")
+    return path
+
+
+def curve_roundtrip(i: Inputs) -> DataFrame:
+    return i.spark.read.parquet(_clustered(i))
+
+
+def curve_file_ranges(i: Inputs) -> DataFrame:
+    """What the ranges of all files say of the table."""
+    ranges = curves.file_ranges(i.spark, _clustered(i), "event_time", "product_id", "user_id")
+    ends = [f(f"{n}_{c}").alias(f"{n}_{c}") for c in ("event_time", "product_id", "user_id") for n, f in (("least", F.min), ("greatest", F.max))]
+    return ranges.agg(F.sum("row_count").alias("row_count"), *ends)
+
+
 def _serving_targets(i: Inputs) -> dict[str, tuple[DataFrame, str]]:
     return {name: (df, i.scratch(f"serve-{name}")) for name, df in i.gold_tables().items()}
 
@@ -707,6 +726,8 @@ def _registry() -> dict[str, Callable[[Inputs], DataFrame]]:
         "sink_partitioned_roundtrip": sink_partitioned_roundtrip,
         "sink_append": sink_append,
         "compact_sorted": compact_sorted,
+        "curve_roundtrip": curve_roundtrip,
+        "curve_file_ranges": curve_file_ranges,
         "sync_status": sync_status,
         "export_csv_projected": export_csv_projected,
         "export_csv_single": export_csv_single,
