@@ -46,7 +46,7 @@ def add_positions(df: DataFrame, *keys: str, name: str = "position") -> DataFram
     return placed.select(*df.columns, place.alias(name))
 
 
-def _tile_starts(rows: int, tiles: int) -> list[int]:
+def tile_starts(rows: int, tiles: int) -> list[int]:
     """0-based rank of the first row of tiles 2..k; the first `rows % tiles` tiles hold one row more."""
     size, extra = divmod(rows, tiles)
     starts = [tile * size + min(tile, extra) for tile in range(1, tiles)]
@@ -59,13 +59,24 @@ def _cut_rows(df: DataFrame, value: Column, tie: str, tiles: int) -> list[tuple]
     keys = ["missing", "known", "tie"]
     table, before, rows = _positions(df.select(missing.alias("missing"), known.alias("known"), F.col(tie).alias("tie")), keys)
     wanted = []
-    for start in _tile_starts(rows, tiles):
+    for start in tile_starts(rows, tiles):
         partition = max((p for p, first in before.items() if first <= start), key=lambda p: before[p])
         wanted.append((partition << PARTITION_BITS) + start - before[partition])
     found = table.where(F.col("position").isin(wanted)).orderBy("position").collect()
     return [(row["missing"], row["known"], row["tie"]) for row in found]
 
 
+def tile_by_cuts(value: Column, tie: Column, cuts: list[tuple]) -> Column:
+    """The tile of a row, given null flag, value and tie of the first row of each later tile."""
+    missing, known = _sort_keys(value)
+    tile = F.lit(1)
+    for cut_missing, cut_known, cut_tie in cuts:
+        later = (known > F.lit(cut_known)) | ((known == F.lit(cut_known)) & (tie >= F.lit(cut_tie)))
+        reached = (missing > F.lit(cut_missing)) | ((missing == F.lit(cut_missing)) & later)
+        tile = tile + reached.cast("int")
+    return tile
+
+
 def add_ntiles(df: DataFrame, tiles: int, values: dict[str, Column], tie: str) -> DataFrame:
     """Adds one tile number column per numeric entry of `values`, ascending by value, then by the unique `tie`.
 
@@ -74,15 +85,7 @@ def add_ntiles(df: DataFrame, tiles: int, values: dict[str, Column], tie: str) -
     """
     df = materialise(df, "ntile-input")
     cuts = run_together(*[lambda v=value: _cut_rows(df, v, tie, tiles) for value in values.values()])
-    scores = {}
-    for (name, value), value_cuts in zip(values.items(), cuts):
-        missing, known = _sort_keys(value)
-        score = F.lit(1)
-        for cut_missing, cut_known, cut_tie in value_cuts:
-            later = (known > F.lit(cut_known)) | ((known == F.lit(cut_known)) & (F.col(tie) >= F.lit(cut_tie)))
-            reached = (missing > F.lit(cut_missing)) | ((missing == F.lit(cut_missing)) & later)
-            score = score + reached.cast("int")
-        scores[name] = score
+    scores = {name: tile_by_cuts(value, F.col(tie), found) for (name, value), found in zip(values.items(), cuts)}
     return df.withColumns(scores)
 
 

@@ -877,6 +877,12 @@ def oracle_sql() -> dict[str, str]:
             cast(min(cents) as bigint) AS least_monetary_cents, cast(max(cents) as bigint) AS most_monetary_cents
             FROM rfm WHERE user_id % 5 <> 0 GROUP BY customer_segment"""
         ),
+        "rfm_scores_maintained": _with(
+            """SELECT user_id, ntile(5) OVER (ORDER BY last_purchase_date, user_id) AS r_score,
+            ntile(5) OVER (ORDER BY frequency, user_id) AS f_score, ntile(5) OVER (ORDER BY cents, user_id) AS m_score
+            FROM buyers WHERE user_id % 5 <> 0""",
+            "buyers",
+        ),
         # versions and schema evolution
         "snapshot_branches": _with(
             f"""SELECT made_current_at, snapshot_id, CASE snapshot_id WHEN 1 THEN NULL ELSE 1 END::bigint AS parent_id,

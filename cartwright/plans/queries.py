@@ -14,7 +14,7 @@ from cartwright.functions import events as ev
 from cartwright.functions import money
 from cartwright.functions import segments as sg
 from cartwright.functions.sql import register_sql_functions
-from cartwright.operators import buckets, curves, dedupe, distinct_counts, gate, ledger, merge, models, quality, ranking, rollups, sinks, versions
+from cartwright.operators import buckets, curves, dedupe, distinct_counts, gate, ledger, merge, models, quality, ranking, rollups, sinks, tiles, versions
 from cartwright.plans import gold, reports, serving, silver
 from cartwright.plans.medallion import Medallion
 from cartwright.session import dataset_dir, materialise, read_if_written, scratch_path
@@ -605,6 +605,28 @@ def mv_segment_summary_changed(i: Inputs) -> DataFrame:
     return _maintained(i, "changed-segments", SEGMENT_SUMMARY, older, current, gone)
 
 
+RFM_TILING = tiles.Tiling(("last_day", "frequency", "monetary_cents"), "user_id", gold.SCORE_TILES)
+
+
+def rfm_scores_maintained(i: Inputs) -> DataFrame:
+    """Scores from kept counts after a first load, the redelivery, and deletes, which are applied twice."""
+
+    def rows(customers: DataFrame) -> DataFrame:
+        day, cents = F.unix_date("last_purchase_date"), money.to_cents(F.col("monetary"))
+        return customers.select("user_id", day.alias("last_day"), "frequency", cents.alias("monetary_cents"))
+
+    first = gold.rfm_base(silver.events_cleaned(silver.deduplicated(i.delivery(0))))
+    older, current = materialise(rows(first), "first-customers"), materialise(rows(i.customers), "customers-now")
+    forgotten = F.col("user_id") % FORGOTTEN_USERS == 0
+    path = i.scratch("rfm-tiles")
+    tiles.apply_batch(i.spark, path, RFM_TILING, rollups.inserted(older), 1)
+    tiles.apply_batch(i.spark, path, RFM_TILING, rollups.signed_changes(older, current), 2)
+    for _ in range(2):
+        tiles.apply_batch(i.spark, path, RFM_TILING, rollups.deleted(current.where(forgotten)), 3)
+    names = {"last_day": "r_score", "frequency": "f_score", "monetary_cents": "m_score"}
+    return tiles.add_kept_tiles(current.where(~forgotten), path, RFM_TILING, names).select("user_id", *names.values())
+
+
 #: The third snapshot was made after a roll-back to the first, so the second is on an abandoned branch.
 BRANCH = {3: 1}
 
@@ -870,6 +892,7 @@ def _registry() -> dict[str, Callable[[Inputs], DataFrame]]:
         "monthly_customers": monthly_customers,
         "mv_monthly_sales_changed": mv_monthly_sales_changed,
         "mv_segment_summary_changed": mv_segment_summary_changed,
+        "rfm_scores_maintained": rfm_scores_maintained,
         # versions and schema evolution
         "snapshot_list": lambda i: versions.snapshots(i.versions),
         "asof_version": lambda i: versions.as_of_snapshot(i.versions, 1).drop("_source_file"),
