@@ -76,9 +76,9 @@ def shingles(text: str | None, size: int = 4) -> frozenset:
     return frozenset(tuple(tokens[i : i + size]) for i in range(len(tokens) - size + 1))
 
 
-def jaccard_components(rows: list[tuple[int, str | None]], percent: int = 85) -> dict[int, tuple[int, int]]:
+def jaccard_components(rows: list[tuple[int, str | None]], percent: int = 85, size: int = 4) -> dict[int, tuple[int, int]]:
     """doc_id to (n_shingles, component_id), over all pairs."""
-    sets = {i: shingles(t) for i, t in rows}
+    sets = {i: shingles(t, size) for i, t in rows}
     parent = {i: i for i in sets}
 
     def root(x: int) -> int:
