@@ -85,6 +85,17 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
             delete_path(spark, path)
 
 
+def materialise_alone(spark: SparkSession, build: Callable[[], DataFrame], label: str) -> DataFrame:
+    """Like `materialise` for the result of `build`; what `build` itself materialised is deleted."""
+    path = scratch_path(spark, label)
+    with scratch_scope(spark):
+        df = build()
+        df.write.parquet(path)
+    if (held := _written.get()) is not None:
+        held.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def run_together(*actions: Callable[[], object]) -> list:
     """Runs the actions at the same time, within the caller's scratch scope; results in order."""
     with ThreadPoolExecutor(len(actions)) as pool:
