@@ -14,9 +14,9 @@ Below the directory there are small trees:
    a first document and those it shares a cell with are done where all are connected by then, so a large group of near
    copies costs one pair a document.
 2. In the stars that are left an R-tree over the points finds all pairs of different components that pass the bound.
-   The sets come along and verify them there, and only links that connect something are returned: their number follows that
-   of the documents, also where most pairs of a large group are just below the limit. A star with more than BLOCK
-   documents is split into pairs of blocks.
+   The points of a star meet first, and the sets of those that have a partner then verify the pairs where they meet. Only
+   links that connect something are returned: their number follows that of the documents, also where most pairs of a large
+   group are just below the limit. A star with more than BLOCK documents is split into pairs of blocks.
 
 Links inside a component that is already connected are not listed, so the result is the components, exactly.
 
@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 from cartwright.llm import bitmap
 from cartwright.llm.components import components
 from cartwright.llm.text_blocks import Block, blocks, mix64
-from cartwright.session import materialise
+from cartwright.session import materialise, materialise_alone
 
 SHINGLE = 4
 #: Linked: 100 * shared >= PERCENT * union.
@@ -325,14 +325,26 @@ class CountTree:
         return a[fit], b[fit]
 
 
-def _tree_links(found: pa.Table, percent: int) -> pa.Table:
-    """Links that connect the components of the sets that meet here, as few as do: the pairs of the tree, verified with the sets."""
-    keys, component, n, side = (found.column(name).to_numpy().copy() for name in ("set_key", "component", "n", "side"))
+def _tree_pairs(found: pa.Table, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes of the pairs of the points that meet here whose bound allows a link between components."""
+    component, n, side = (found.column(name).to_numpy() for name in ("component", "n", "side"))
     counts = found.column("counts").combine_chunks().flatten().to_numpy().reshape(-1, GROUPS)
     a, b = CountTree(n, counts, component, percent).pairs()
     if found.column("left")[0].as_py() != found.column("right")[0].as_py():
         # Two blocks meet, where pairs within one block do not count.
         a, b = a[side[a] != side[b]], b[side[a] != side[b]]
+    return a, b
+
+
+def _tree_members(found: pa.Table, percent: int) -> pa.Table:
+    """The rows that are in some pair of the tree, without their counts."""
+    return found.drop_columns("counts").take(pa.array(np.unique(np.concatenate(_tree_pairs(found, percent)))))
+
+
+def _tree_links(found: pa.Table, percent: int) -> pa.Table:
+    """Links that connect the components of the sets that meet here, as few as do: the pairs of the tree, verified with the sets."""
+    keys, component, n = (found.column(name).to_numpy().copy() for name in ("set_key", "component", "n"))
+    a, b = _tree_pairs(found, percent)
     links: list[list[int]] = [[], []]
     if len(a):
         shingles = found.column("shingles").combine_chunks()
@@ -378,8 +390,13 @@ def open_links(
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1))
     dealt = members.join(stars_left, "first").withColumn("side", side).withColumn("other", other)
     dealt = dealt.withColumn("left", F.least("side", "other")).withColumn("right", F.greatest("side", "other"))
-    whole = dealt.join(points.select("set_key", "counts"), "set_key").join(sets.dropDuplicates(["set_key"]), "set_key")
-    whole = whole.select("first", "left", "right", "set_key", "component", "n", "side", "counts", "shingles")
+    counts = points.select("set_key", "counts")
+    met = dealt.select("first", "left", "right", "set_key", "component", "n", "side")
+    # The points go first: a set is sent only where its point has a partner.
+    pointed = met.join(counts, "set_key").select(*met.columns, "counts").groupBy("first", "left", "right")
+    met = materialise(pointed.applyInArrow(lambda found: _tree_members(found, percent), met.schema), "tree-members")
+    sets = bitmap.within(sets, "set_key", met, "set_key").dropDuplicates(["set_key"])
+    whole = met.join(counts, "set_key").join(sets, "set_key").select(*met.columns, "counts", "shingles")
     return whole.groupBy("first", "left", "right").applyInArrow(lambda found: _tree_links(found, percent), "a long, b long")
 
 
@@ -396,7 +413,9 @@ def set_components(
     sets = materialise(sets_of(docs, points, size), "sets")
     points = points.drop("row")
     stars = shared.where("set_key <> first").select(F.col("first").alias("a"), F.col("set_key").alias("b")).distinct()
-    links = materialise(verified(bounded_pairs(stars, points, percent), sets, percent), "star-links")
+    likely = materialise(bounded_pairs(stars, points, percent), "likely-pairs")
+    paired = bitmap.within(sets, "set_key", likely.select(F.explode(F.array("a", "b")).alias("paired")), "paired")
+    links = materialise(verified(likely, paired, percent), "star-links")
     labels = components(links)
     more = materialise(open_links(shared, labels, points, sets, block, percent), "tree-links")
     return labels if more.isEmpty() else components(links.unionByName(more))
@@ -417,19 +436,23 @@ def join_documents(docs: DataFrame, block: int = BLOCK, size: int = SHINGLE, per
     return joined.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
 
 
-def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Of each component the row with the smallest id (then row key), and every document without words.
-
-    The columns are those of `docs`. Fully repeated rows of a survivor are reduced to one.
-    """
+def copies(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """touched_id, touched_row and is_best of the rows that go or, if is_best, of which one stays."""
     placed = join_documents(docs, size=size, percent=percent).select("doc_id", "row", "n_shingles", "component")
     rows = materialise(placed.groupBy("component", "doc_id", "row").agg(F.count(F.lit(1)).alias("copies")), "rows")
     rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"), F.col("copies"))
     best = rows.where("component IS NOT NULL").groupBy("component").agg(F.min(rank).alias("best"))
     is_best = (F.col("row") == F.col("best.row")) & F.col("doc_id").eqNullSafe(F.col("best.doc_id"))
     marked = rows.join(best, "component").withColumn("is_best", is_best).where("NOT is_best OR copies > 1")
-    touched = marked.select(F.col("doc_id").alias("touched_id"), F.col("row").alias("touched_row"), "is_best")
-    touched = materialise(touched, "copies")
+    return marked.select(F.col("doc_id").alias("touched_id"), F.col("row").alias("touched_row"), "is_best")
+
+
+def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Of each component the row with the smallest id (then row key), and every document without words.
+
+    The columns are those of `docs`. Fully repeated rows of a survivor are reduced to one.
+    """
+    touched = materialise_alone(docs.sparkSession, lambda: copies(docs, size, percent), "copies")
     whole = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", row_key().alias("row"))
     maybe, rest = bitmap.split(whole, "row", touched, "touched_row")
     same = (F.col("row") == F.col("touched_row")) & F.col("doc_id").eqNullSafe(F.col("touched_id"))
