@@ -6,8 +6,10 @@ which drops most pairs unseen; what is left is verified with the sets.
 
 A tree over all points cannot be shared out, as its boxes overlap in so many dimensions that a search visits most of
 them. So its top is an exact directory. Documents of one size class (sizes within 100/PERCENT) deal their shingles into
-one group more than two linked documents of that size can differ in, plus a few, and send a fingerprint of each
-non-empty group: linked documents agree in at least one such cell. Documents also send the cells of the next class.
+more groups than two linked documents of that size can differ in, and send a fingerprint of each non-empty group:
+linked documents agree in at least one such cell. Documents also send the cells of the next class. There are so many
+groups that few documents fill no more of them than they can differ in; a cell of a single shingle would bring together
+all documents with a common phrase.
 Below the directory there are small trees:
 
 1. Each document is paired with the first document of its cells; pairs that pass the count bound are verified. Stars of
@@ -97,12 +99,30 @@ def most_different(largest: int, percent: int = PERCENT) -> int:
     return 2 * largest * (100 - percent) // (100 + percent)
 
 
+@lru_cache(maxsize=1024)
+def directory_groups(size_class: int, percent: int = PERCENT) -> int:
+    """Groups of a class, so many that its smallest sets, too, fill more of them than linked sets can differ in.
+
+    That is meant up to two standard deviations; the smallest sets are those of the class before that send its cells.
+    """
+    starts = class_starts(percent)
+    k, least = most_different(int(starts[size_class + 1]) - 1, percent), int(starts[max(0, size_class - 1)])
+    groups = k + 5 + k // 50
+    while groups < least:
+        each = least / groups
+        empty = np.exp(-each)
+        if groups * (1 - empty) - 2 * np.sqrt(groups * empty * (1 - (1 + each) * empty)) > k:
+            break
+        groups += 1 + groups // 100
+    return groups
+
+
 def cells(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """The fingerprints of a set's cells. Two linked sets that differ have one in common.
 
     With k the most that linked sets of the class differ in, at most k groups differ; a set with more than
-    k non-empty groups shares one of these with each linked set. A set that has no more also sends
-    each shingle by itself, which covers the pairs of two such sets.
+    k non-empty groups shares one of these with each linked set. A set that has no more also sends the first
+    shingles by hash, of which two linked sets share one (a prefix filter). This covers the pairs of two such sets.
     """
     n, found = len(shingles), []
     starts = class_starts(percent)
@@ -111,7 +131,7 @@ def cells(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
         k = most_different(int(starts[size_class + 1]) - 1, percent)
         if not k:
             continue
-        groups = k + 5 + k // 50
+        groups = directory_groups(size_class, percent)
         group = (shingles >> _U(20)) % _U(groups)
         order = np.argsort(group, kind="stable")
         group = group[order]
@@ -120,7 +140,7 @@ def cells(shingles: np.ndarray, percent: int = PERCENT) -> np.ndarray:
         content = np.add.reduceat(mix64(shingles[order]), first)
         found.append(mix64(content + group[first] * _U(0x9E3779B97F4A7C15) + salt))
         if len(first) <= k:
-            found.append(mix64(shingles + salt + _U(1)))
+            found.append(mix64(np.sort(mix64(shingles + salt + _U(1)))[: n - -(-n * percent // 100) + 1]))
     return np.concatenate(found) if found else np.zeros(0, dtype=_U)
 
 

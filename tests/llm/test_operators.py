@@ -288,6 +288,37 @@ def test_linked_sets_share_a_cell():
                 assert len(np.intersect1d(jaccard_join.cells(a), jaccard_join.cells(b)))
 
 
+def test_cells_are_fewer_than_shingles():
+    """At a lower limit, too, sets fill more groups than they may differ in and send no shingle alone."""
+    import numpy as np
+
+    draw = np.random.default_rng(6)
+    sent = size = 0
+    for n in [*range(100, 1000, 30), 3000]:
+        a = np.unique(draw.integers(0, 2**63, n, dtype=np.int64).astype(np.uint64))
+        gone = 20 * n // 181
+        b = np.unique(np.concatenate([a[gone:], draw.integers(0, 2**63, gone, dtype=np.int64).astype(np.uint64)]))
+        shared = len(np.intersect1d(a, b))
+        assert 100 * shared >= 80 * (len(a) + len(b) - shared)
+        cells = jaccard_join.cells(a, 80)
+        assert len(np.intersect1d(cells, jaccard_join.cells(b, 80)))
+        sent, size = sent + len(cells), size + len(a)
+    assert sent < 0.8 * size
+
+
+def test_sets_in_few_groups_share_a_cell():
+    """Sets that fill few groups are found by their first shingles."""
+    import numpy as np
+
+    draw = np.random.default_rng(7)
+    for n in [*range(10, 60), 300]:
+        a, other = np.split(draw.permutation(1 << 20)[: 2 * n].astype(np.uint64), 2)  # all in one group
+        gone = 15 * n // 186
+        b = np.concatenate([a[gone:], other[:gone]])
+        cells, others = jaccard_join.cells(np.sort(a)), jaccard_join.cells(np.sort(b))
+        assert len(np.intersect1d(cells, others)) and len(cells) < n
+
+
 def test_tree_finds_all_pairs():
     import numpy as np
 
