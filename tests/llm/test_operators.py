@@ -548,3 +548,34 @@ def test_lines_of_documents_with_text_ids(spark):
     rows = [("b", PROSE), ("7", PROSE + "\nanother line of words"), ("a", "nothing here is like it")]
     found = line_dedup.dedup_report(spark.createDataFrame(rows, "doc_id string, text string")).collect()
     assert {r["doc_id"]: r["removed_lines"] for r in found} == {"b": "0", "7": "", "a": ""}
+
+
+def test_places_of_unique_ids_cost_nothing(spark):
+    """Only rows of an id with several different texts carry a hash of the text; removed lines are the same."""
+    rows = [(1, "a b c d e"), (1, "a b c d f"), (2, "x y z"), (2, "x y z"), (None, "k l m"), (None, "x y z"), (3, "a b c d e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    placed = line_dedup.placed(docs, line_dedup.shared_ids(docs)).collect()
+    assert {(r["doc_id"], r["row"] != 0) for r in placed} == {(1, True), (2, False), (None, True), (3, False)}
+    found = {(r["doc_id"], r["n_lines"], r["removed_lines"]) for r in line_dedup.dedup_report(docs).collect()}
+    assert {(3, 1, "0"), (2, 1, "")} <= found
+
+
+def test_shuffle_files_go_with_their_write(spark, tmp_path):
+    """The setting holds for the writes only, however many run at the same time."""
+    import threading
+
+    from cartwright import session
+
+    before = spark.conf.get(session.SHUFFLE_CLEANUP)
+    both = threading.Barrier(2)
+
+    def write():
+        with session.shuffles_deleted(spark):
+            both.wait(60)
+            assert spark.conf.get(session.SHUFFLE_CLEANUP) == "true"
+            both.wait(60)
+
+    session.run_together(write, write)
+    assert spark.conf.get(session.SHUFFLE_CLEANUP) == before
+    table = session.materialise(spark.range(100).repartition(3, "id"), "test-written")
+    assert table.count() == 100 and spark.conf.get(session.SHUFFLE_CLEANUP) == before
